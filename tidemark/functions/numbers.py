@@ -35,15 +35,20 @@ def millions_text(column) -> Column:
 
 def indicator_text(name, value, percent=PERCENT_INDICATORS, billions=BILLION_INDICATORS,
                    thousands=THOUSAND_INDICATORS) -> Column:
-    """Two decimals with the unit the indicator is shown in; null gives ``N/A``."""
+    """Two decimals with the unit the indicator is shown in; null gives ``N/A``.
+
+    ``format_number`` with a pattern rounds the exact binary value; ``format_string`` would round
+    its shortest decimal text and differ on ties.
+    """
     name = F.col(name) if isinstance(name, str) else name
     value = F.col(value) if isinstance(value, str) else value
+    text = F.call_function("format_number", value, F.lit("0.00"))
     return (
         F.when(value.isNull(), "N/A")
-        .when(name.isin(*percent), F.format_string("%.2f%%", value))
-        .when(name.isin(*billions), F.format_string("$%.2fB", value))
-        .when(name.isin(*thousands), F.format_string("%.2fK", value))
-        .otherwise(F.format_string("%.2f", value))
+        .when(name.isin(*percent), F.concat(text, F.lit("%")))
+        .when(name.isin(*billions), F.concat(F.lit("$"), text, F.lit("B")))
+        .when(name.isin(*thousands), F.concat(text, F.lit("K")))
+        .otherwise(text)
     )
 
 

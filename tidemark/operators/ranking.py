@@ -139,3 +139,18 @@ def latest_per_key(df: DataFrame, keys: Iterable[str], order: Iterable[str]) ->
     newest_row = F.max_by(F.struct(*order, *rest) if rest else F.struct(*order), F.struct(*order)).alias("r")
     grouped = df.groupBy(*keys).agg(newest_row)
     return grouped.select(*[F.col(c) if c in keys else F.col(f"r.{c}") for c in df.columns])
+
+
+def chronological_split(df: DataFrame, key: str, order: Iterable[str], tenths: int = 8) -> DataFrame:
+    """``part`` is ``train`` for the first ``int(n * tenths / 10)`` rows of each series, else ``test``."""
+    totals = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+    placed = with_positions(df, [key], order)
+    limit = F.floor(F.col("__n") * tenths / F.lit(10).cast("decimal(3,0)"))
+    part = F.when(F.col("position") <= limit, "train").otherwise("test")
+    return placed.join(totals, F.col(key).eqNullSafe(F.col("__key"))).withColumn("part", part).drop("__key", "__n", "position")
+
+
+def repeatable_split(df: DataFrame, keys: Iterable[str], share: float = 0.8, seed: int = 42) -> DataFrame:
+    """Random split that depends on the key and seed only, so a rerun of a lost task agrees."""
+    draw = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
+    return df.withColumn("part", F.when(draw < int(share * 1_000_000), "train").otherwise("test"))

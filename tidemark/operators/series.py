@@ -123,12 +123,11 @@ def category_pairs(left: DataFrame, right: DataFrame, mapping: dict[str, str], n
 
     ``mapping`` takes a left category to its right one; the join is one equi-join on both columns.
     """
-    pairs = [F.lit(x) for pair in ((r, l) for l, r in mapping.items()) for x in pair]
-    renamed = right.select(
-        F.try_element_at(F.create_map(*pairs), F.col("series")).alias("series"), "period",
-        F.col("value").alias(names[1])).filter(F.col("series").isNotNull())
-    mapped = left.filter(F.col("series").isin(*mapping))
-    return mapped.withColumnRenamed("value", names[0]).join(renamed, ["series", "period"])
+    pairs = [F.lit(item) for pair in mapping.items() for item in pair]
+    mapped = left.select("series", "period", F.col("value").alias(names[0]),
+                         F.try_element_at(F.create_map(*pairs), F.col("series")).alias("__other"))
+    other = right.select(F.col("series").alias("__other"), "period", F.col("value").alias(names[1]))
+    return mapped.filter(F.col("__other").isNotNull()).join(other, ["__other", "period"]).drop("__other")
 
 
 def sliding_windows(df: DataFrame, length: int, boundary: str = "features") -> DataFrame:
