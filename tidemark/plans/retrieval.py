@@ -1 +1,97 @@
-from tidemark.plans import query  # noqa: F401
+"""Vector, text and hybrid search."""
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import search
+from tidemark.plans import query
+
+CENTROIDS = """
+x AS (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label, i, avg(v) AS v FROM x GROUP BY ALL),
+q AS (SELECT label AS query_id, list(v ORDER BY i) AS vec FROM c GROUP BY label),
+s AS (SELECT query_id, vec_id, label, round(list_cosine_similarity(vec, embedding::DOUBLE[]) + 1, 9) AS score FROM q, embeddings)"""
+
+
+def _queries(t):
+    """One query per label: the mean of its vectors."""
+    return search.centroids(t.embeddings, "label", "embedding").select(F.col("label").cast("bigint").alias("query_id"), "vector")
+
+
+def _hits(vectors, t, k, threshold):
+    return search.cosine_top_k(vectors, _queries(t), "vec_id", "embedding", k, threshold)
+
+
+def _shown(hits):
+    return hits.select("query_id", F.col("doc_id").alias("vec_id"), F.round("score", 6).alias("score"), "rank")
+
+
+@query("cosine_top_k", oracle=f"""
+WITH {CENTROIDS} SELECT query_id, vec_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+FROM s WHERE score >= 1.3 QUALIFY rank <= 3""")
+def cosine_top_k(t):
+    return _shown(_hits(t.embeddings, t, 3, 1.3))
+
+
+@query("cosine_top_10", oracle=f"""
+WITH {CENTROIDS} SELECT query_id, vec_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+FROM s QUALIFY rank <= 10""")
+def cosine_top_10(t):
+    return _shown(_hits(t.embeddings, t, 10, None))
+
+
+@query("cosine_filtered", oracle=f"""
+WITH {CENTROIDS} SELECT query_id, vec_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+FROM s WHERE label BETWEEN 2 AND 5 QUALIFY rank <= 3""")
+def cosine_filtered(t):
+    return _shown(_hits(search.within_dates(t.embeddings, "label", 2, 5), t, 3, None))
+
+
+@query("approx_knn")
+def approx_knn(t):
+    signed = search.lsh_signature(t.embeddings, "embedding")
+    return _shown(search.approx_knn(signed, _queries(t), "vec_id", "embedding", 10))
+
+
+@query("text_match", oracle="""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) > 1) AS toks FROM documents),
+q AS (SELECT DISTINCT item_id AS query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) > 1)) AS term FROM benchmark),
+st AS (SELECT count(*) AS n, avg(len(toks)) AS mean FROM d WHERE len(toks) > 0),
+e AS (SELECT doc_id, len(toks) AS len, unnest(toks) AS term FROM d),
+tf AS (SELECT doc_id, len, term, count(*) AS tf FROM e WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len / mean))), 9) AS score
+      FROM q JOIN tf USING (term) JOIN df USING (term), st GROUP BY ALL)
+SELECT query_id, doc_id, round(score, 5) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s QUALIFY rank <= 10""")
+def text_match(t):
+    questions = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
+    hits = search.text_match(t.documents, questions, "doc_id", ["text"], 10)
+    return hits.withColumn("score", F.round("score", 5))
+
+
+@query("hybrid_search")
+def hybrid_search(t):
+    documents, questions = t.documents, t.benchmark.select(F.col("item_id").alias("query_id"), "text")
+    model = search.embedding_model(documents, "text", 256)
+    lexical = search.text_match(documents, questions, "doc_id", ["text", "source"], 30)
+    vectors = search.embed(questions, "text", model).filter(F.col("vector").isNotNull())
+    semantic = search.cosine_top_k(search.embed(documents, "text", model), vectors, "doc_id", "vector", 30, None)
+    return search.hybrid(lexical, semantic).withColumn("score", F.round("score", 6))
+
+
+@query("embed_missing")
+def embed_missing(t):
+    stored = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
+    made = search.embed_missing(t.documents.select("doc_id", "text"), stored, "doc_id", "text", 256)
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x))
+    return made.select("doc_id", F.size("vector").alias("dims"), F.round(norm, 6).alias("norm"))
+
+
+@query("context_assembly", oracle=f"""
+WITH {CENTROIDS},
+g AS (SELECT query_id, vec_id, score FROM s WHERE score >= 1.2 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10),
+r AS (SELECT query_id, text, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k
+      FROM g JOIN documents ON doc_id = vec_id WHERE length(text) > 30 QUALIFY k <= 5)
+SELECT query_id, md5(string_agg(text, chr(10) ORDER BY k)) AS context, round(max(score), 6) AS best_score, count(*) AS texts FROM r GROUP BY query_id""")
+def context_assembly(t):
+    made = search.context(_hits(t.embeddings, t, 10, 1.2), t.documents, "doc_id", "text", threshold=1.2)
+    return made.select("query_id", F.md5("context").alias("context"), F.round("best_score", 6).alias("best_score"), "texts")
