@@ -60,12 +60,20 @@ def outer_by_name(left: DataFrame, right: DataFrame, key: str, fallback: str) ->
     return left.join(right, key, "full")
 
 
-def upsert(target: DataFrame, incoming: DataFrame, keys: Iterable[str], force: bool) -> DataFrame:
+def upsert(target: DataFrame, incoming: DataFrame, keys: Iterable[str], force: bool, order: Iterable[str] = ()) -> DataFrame:
     """Target with the incoming rows: absent keys are added, present ones replaced with ``force``.
 
-    Two anti joins; neither side is multiplied. An incoming key must occur once.
+    Two anti joins; neither side is multiplied. When a key can repeat in the incoming rows, ``order``
+    says in which sequence they arrive: the last one counts with ``force``, else the first.
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order)
+    if order:
+        stamp = F.struct(*order)
+        pick = F.max_by if force else F.min_by
+        rest = [c for c in incoming.columns if c not in keys]
+        one = incoming.groupBy(*keys).agg(pick(F.struct(*rest), stamp).alias("__row"))
+        incoming = one.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in incoming.columns])
+    incoming = incoming.select(*target.columns)
     if force:
         return new_rows_only(target, incoming, keys).unionByName(incoming)
     return target.unionByName(new_rows_only(incoming, target, keys))

@@ -1 +1,99 @@
-from tidemark.plans import query  # noqa: F401
+"""Loads, upserts, feedback and transcripts."""
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import joins, quality, ranking
+from tidemark.plans import query
+from tidemark.plans.joins import titled
+from tidemark.session import run_folder
+from tidemark.sources import sinks
+
+
+@query("checked_summary", oracle="""
+SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderstatus""")
+def checked_summary(t):
+    orders, target = t.orders, run_folder(t.spark, "summary")
+
+    def build():
+        return orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+    quality.checked_build(t.spark, target, build, [(orders, ">=", 1)], [(lambda df: df.filter(F.col("n") <= 0), "eq", 0)])
+    return t.spark.read.parquet(target)
+
+
+@query("incremental_by_mark", oracle="SELECT o_orderkey, year(o_orderdate) AS yr FROM orders")
+def incremental_by_mark(t):
+    source, target = t.orders.select("o_orderkey", F.year("o_orderdate").alias("yr")), run_folder(t.spark, "yearly")
+    quality.append_past_mark(t.spark, source, target, "yr", 0, 1997, ["yr"])
+    quality.append_past_mark(t.spark, source, target, "yr", 0, None, ["yr"])
+    quality.append_past_mark(t.spark, source, target, "yr", 0, None, ["yr"])
+    return t.spark.read.parquet(target)
+
+
+@query("notice_load", oracle="""
+WITH d AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, lang, source FROM documents),
+s AS (SELECT d.* FROM d JOIN labels USING (doc_id))
+SELECT doc_id, lang, source FROM s UNION ALL
+SELECT doc_id, lang, source FROM d WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.title IS NOT DISTINCT FROM d.title
+  AND s.lang IS NOT DISTINCT FROM d.lang AND s.source IS NOT DISTINCT FROM d.source)""")
+def notice_load(t):
+    """The labelled documents are stored first; then all documents arrive, twice."""
+    notices, target = titled(t.documents), run_folder(t.spark, "notices")
+    sinks.append(notices.join(t.labels, "doc_id", "left_semi"), target)
+    for _ in range(2):
+        quality.append_new_rows(t.spark, notices, target, ["title", "lang", "source"])
+    return t.spark.read.parquet(target).select("doc_id", "lang", "source")
+
+
+def _sides(t):
+    stored = t.customer.filter(F.col("c_acctbal") >= 0).select("c_custkey", "c_mktsegment", F.round("c_acctbal", 2).alias("balance"))
+    incoming = t.customer.filter(F.col("c_acctbal") < 5000).select("c_custkey", F.lit("CHANGED").alias("c_mktsegment"), F.lit(0.0).alias("balance"))
+    return stored, incoming
+
+
+@query("upsert", oracle="""
+SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_acctbal < 0 THEN 0 ELSE round(c_acctbal, 2) END AS balance FROM customer""")
+def upsert(t):
+    return joins.upsert(*_sides(t), ["c_custkey"], force=False)
+
+
+@query("upsert_forced", oracle="""
+SELECT c_custkey, CASE WHEN c_acctbal < 5000 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_acctbal < 5000 THEN 0 ELSE round(c_acctbal, 2) END AS balance FROM customer""")
+def upsert_forced(t):
+    return joins.upsert(*_sides(t), ["c_custkey"], force=True)
+
+
+FEEDBACK = """
+f AS (SELECT user_id AS conv_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 AS turn, ts, event_id,
+  CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN -1 ELSE 0 END AS liked FROM events),
+l AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY ts DESC, event_id DESC) = 1)"""
+
+
+def _with_feedback(t):
+    liked = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "error", -1).otherwise(0)
+    given = t.events.select(F.col("user_id").alias("conv_id"), (F.get_json_object("props", "$.k").cast("bigint") % 4).alias("turn"),
+                            "ts", "event_id", liked.alias("liked"))
+    messages = t.conversations.select("conv_id", "turn", "role")
+    return quality.apply_feedback(messages, given, ["conv_id", "turn"], ["ts", "event_id"], "liked")
+
+
+@query("apply_feedback", oracle=f"""
+WITH {FEEDBACK} SELECT c.conv_id, c.turn, c.role, l.liked FROM conversations c LEFT JOIN l ON l.conv_id = c.conv_id AND l.turn = c.turn""")
+def apply_feedback(t):
+    return _with_feedback(t)
+
+
+@query("feedback_totals", oracle=f"""
+WITH {FEEDBACK} SELECT c.role, count(*) FILTER (l.liked = 1) AS likes, count(*) FILTER (l.liked = -1) AS dislikes, count(*) AS messages
+FROM conversations c LEFT JOIN l ON l.conv_id = c.conv_id AND l.turn = c.turn GROUP BY c.role""")
+def feedback_totals(t):
+    return _with_feedback(t).groupBy("role").agg(
+        F.count_if(F.col("liked") == 1).alias("likes"), F.count_if(F.col("liked") == -1).alias("dislikes"), F.count(F.lit(1)).alias("messages"))
+
+
+@query("session_transcript", oracle="""
+SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS message FROM conversations""")
+def session_transcript(t):
+    return ranking.with_positions(t.conversations, ["conv_id"], ["turn"], "message")

@@ -1 +1,66 @@
-from tidemark.plans import query  # noqa: F401
+"""Forecasts and fitted models."""
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import forecasts, models, series
+from tidemark.plans import query
+from tidemark.plans.joins import EVENT_TYPES, daily
+
+LAGS = 7
+
+
+@query("forecast_bounds", oracle="""
+WITH m AS (SELECT l_returnflag || l_linestatus AS series, date_trunc('month', l_shipdate)::DATE AS period, sum(l_quantity) AS value FROM lineitem GROUP BY ALL),
+x AS (SELECT *, year(period) * 12 + month(period) AS x FROM m),
+t AS (SELECT series, regr_slope(value, x) AS b, regr_intercept(value, x) AS a, max(period) AS last FROM x GROUP BY series),
+f AS (SELECT x.series, period, value, a + b * x AS line, month(period) AS moy FROM x JOIN t USING (series)),
+s AS (SELECT series, moy, avg(value - line) AS season FROM f GROUP BY ALL),
+h AS (SELECT f.series, period, value, line + season AS pred FROM f JOIN s USING (series, moy)),
+d AS (SELECT series, stddev_pop(value - pred) AS sd FROM h GROUP BY series),
+u AS (SELECT series, (last + to_months(k::INT))::DATE AS period, a, b FROM t, (SELECT unnest([1, 2, 3]) AS k)),
+n AS (SELECT u.series, period, NULL::DOUBLE AS value, a + b * (year(period) * 12 + month(period)) + coalesce(season, 0) AS pred
+      FROM u LEFT JOIN s ON s.series = u.series AND s.moy = month(period))
+SELECT series, CAST(period AS VARCHAR) AS period, round(pred, 3) AS pred, round(pred - 1.2815515655446004 * sd, 3) AS lower,
+  round(pred + 1.2815515655446004 * sd, 3) AS upper, value IS NULL AS future
+FROM (SELECT * FROM h UNION ALL SELECT * FROM n) JOIN d USING (series)""")
+def forecast_bounds(t):
+    rows = t.lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("flags"), "l_shipdate", "l_quantity")
+    bounds = forecasts.forecast_bounds(forecasts.monthly_series(rows, "flags", "l_shipdate", "l_quantity"))
+    return bounds.select("series", F.col("period").cast("string").alias("period"), *[F.round(c, 3).alias(c) for c in ("pred", "lower", "upper")],
+                         F.col("value").isNull().alias("future"))
+
+
+@query("lag_model_fit")
+def lag_model_fit(t):
+    return forecasts.lag_model(daily(t), LAGS).withColumn("weight", F.round("weight", 6))
+
+
+@query("recursive_forecast")
+def recursive_forecast(t):
+    rows = forecasts.recursive_forecast(daily(t), LAGS, 30)
+    return rows.select("series", F.col("period").cast("string").alias("period"), "step", F.round("predicted", 6).alias("predicted"))
+
+
+@query("forecast_tagged")
+def forecast_tagged(t):
+    table = forecasts.tagged_forecast(daily(t), LAGS, 30, EVENT_TYPES)
+    return table.select(F.col("period").cast("string").alias("period"), "source", *[F.round(e, 6).alias(e) for e in EVENT_TYPES])
+
+
+@query("topics")
+def topics(t):
+    return models.topics(t.documents, "text").withColumn("weight", F.round("weight", 6))
+
+
+@query("text_label")
+def text_label(t):
+    return models.label_texts(t.documents, t.labels, "doc_id", "text", "quality", {0: "negative", 1: "positive"}).withColumn("score", F.round("score", 4))
+
+
+@query("category_prediction")
+def category_prediction(t):
+    k = F.get_json_object("props", "$.k").cast("double")
+    rows = t.events.groupBy(F.col("event_type").alias("category"), F.to_date("ts").alias("period")).agg(
+        F.avg(k).alias("sentiment"), F.avg("value").alias("trend"))
+    table = models.predict_categories(rows, [*EVENT_TYPES, "refund"], "sentiment", "trend")
+    return table.select("category", F.round("predicted_trend", 4).alias("predicted_trend"), F.round("today_trend", 4).alias("today_trend"), "error")

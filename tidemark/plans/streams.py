@@ -1 +1,49 @@
-from tidemark.plans import query  # noqa: F401
+"""Stream forms and time buckets."""
+
+from pyspark.sql import functions as F
+
+from tidemark.plans import query
+from tidemark.session import run_folder
+from tidemark.streaming import flows
+
+
+@query("stream_append", oracle="SELECT event_id, event_type, round(value, 4) AS value FROM events")
+def stream_append(t):
+    landed = flows.landed_files(t.spark, t.path("events") + "*", t.events.schema)
+    target = run_folder(t.spark, "landed")
+    flows.run(landed.select("event_id", "event_type", F.round("value", 4).alias("value")), target, target + "-progress")
+    return t.spark.read.parquet(target)
+
+
+@query("stream_dedup", oracle="SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(t):
+    landed = flows.landed_files(t.spark, t.path("events") + "*", t.events.schema)
+    target = run_folder(t.spark, "unseen")
+    unseen = flows.unseen_keys(landed.select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "90 days")
+    flows.run(unseen.select("user_id", "event_type"), target, target + "-progress")
+    return t.spark.read.parquet(target)
+
+
+def _bucket_sql(unit):
+    return f"""SELECT event_type, strftime(date_trunc('{unit}', ts), '%Y-%m-%d') AS bucket, count(*) AS n, round(avg(value), 6) AS mean
+FROM events GROUP BY ALL"""
+
+
+def _buckets(t, unit):
+    rows = flows.buckets(t.events, ["event_type"], "ts", "value", unit)
+    return rows.select("event_type", F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "n", F.round("mean", 6).alias("mean"))
+
+
+@query("bucket_day", oracle=_bucket_sql("day"))
+def bucket_day(t):
+    return _buckets(t, "date")
+
+
+@query("bucket_week", oracle=_bucket_sql("week"))
+def bucket_week(t):
+    return _buckets(t, "week")
+
+
+@query("bucket_month", oracle=_bucket_sql("month"))
+def bucket_month(t):
+    return _buckets(t, "month")
