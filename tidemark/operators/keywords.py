@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import tokens
 from tidemark.operators.ranking import top_per_key
+from tidemark.session import pin
 
 
 def word_counts(df: DataFrame, text: str, *keys: str, stop_words: Iterable[str] = (), drop_category: str | None = None) -> DataFrame:
@@ -25,11 +26,13 @@ def top_words(counts: DataFrame, key: str, n: int = 15) -> DataFrame:
 def documents_with(df: DataFrame, doc: str, text: str, key: str, words: DataFrame) -> DataFrame:
     """Each chosen word with every document of its category that has it as a token.
 
-    Tokens are made distinct inside the row, then joined on (category, word): an equality join
-    whose small side the planner broadcasts by measured size, and that AQE splits otherwise.
+    Tokens are made distinct inside the row, then joined on (category, word). The chosen words are
+    written first, so that their measured size decides at planning time: under the threshold they
+    are broadcast and the tokens are not shuffled, beyond it AQE splits hot words.
     """
+    words = pin(words.select(key, "word"))
     found = df.select(doc, key, F.explode(F.array_distinct(tokens(text))).alias("word"))
-    return found.join(words.select(key, "word"), [key, "word"])
+    return found.join(words, [key, "word"])
 
 
 def first_documents(matches: DataFrame, key: str, doc: str, n: int = 3) -> DataFrame:

@@ -33,10 +33,9 @@ def with_positions(df: DataFrame, keys: Iterable[str], order: Iterable[str], pos
     """
     keys, order = list(keys), list(order)
     sort = [F.col(k) for k in keys] + [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     low_bits = F.lit((1 << 33) - 1)
     placed = pin(
-        df.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
+        df.repartitionByRange(*sort).sortWithinPartitions(*sort)
         .withColumn("__part", F.spark_partition_id())
         .withColumn("__row", F.monotonically_increasing_id().bitwiseAND(low_bits))
     )
@@ -152,5 +151,6 @@ def chronological_split(df: DataFrame, key: str, order: Iterable[str], tenths: i
 
 def repeatable_split(df: DataFrame, keys: Iterable[str], share: float = 0.8, seed: int = 42) -> DataFrame:
     """Random split that depends on the key and seed only, so a rerun of a lost task agrees."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 1_000_000
     return df.withColumn("part", F.when(draw < int(share * 1_000_000), "train").otherwise("test"))

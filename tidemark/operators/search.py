@@ -175,7 +175,7 @@ def text_match(documents: DataFrame, queries: DataFrame, doc_id: str, fields: It
     fields = list(fields)
     lists = documents.select(doc_id, *[tokens(f).alias(f"t{i}") for i, f in enumerate(fields)])
     asked = queries.select("query_id", F.array_distinct(tokens("text")).alias("terms"))
-    vocabulary = asked.select(F.explode("terms").alias("term")).distinct()
+    vocabulary = pin(asked.select(F.explode("terms").alias("term")).distinct())
     stats = lists.agg(*[F.struct(
         F.count_if(F.size(f"t{i}") > 0).alias("n"), F.avg(F.nullif(F.size(f"t{i}"), F.lit(0))).alias("length")).alias(f"s{i}")
         for i in range(len(fields))]).first()
@@ -199,7 +199,7 @@ def _text_hits(lists, block, doc_id, shape, k, k1, b):
     ids = [row["query_id"] for row in block]
     terms = sorted({term["term"] for row in block for term in row["terms"]})
     place = {term: i for i, term in enumerate(terms)}
-    pairs = [(place[term["term"]], q) for q, row in enumerate(block) for term in row["terms"]]
+    pairs = sorted((place[term["term"]], q) for q, row in enumerate(block) for term in row["terms"])
     counts = {place[term["term"]]: tuple(term[f"f{i}"] or 0 for i in range(len(shape))) for row in block for term in row["terms"]}
     id_type = lists.schema[doc_id].dataType.simpleString()
     query_type = "bigint" if isinstance(ids[0], int) else "string"
@@ -209,10 +209,11 @@ def _text_hits(lists, block, doc_id, shape, k, k1, b):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        known = pa.array(terms, pa.string())
-        member = np.zeros((len(terms), len(ids)))
-        for term, q in pairs:
-            member[term, q] = 1.0
+        known, width = pa.array(terms, pa.string()), len(ids)
+        # Queries of each term, as one flat list with a start and a length per term.
+        askers = np.array([q for _, q in pairs], dtype="int64")
+        degree = np.bincount([term for term, _ in pairs], minlength=len(terms))
+        first = np.cumsum(degree) - degree
         df = np.array([counts[i] for i in range(len(terms))], dtype="float64")
         idf = [np.log(1.0 + (n - df[:, f] + 0.5) / (df[:, f] + 0.5)) for f, (n, _) in enumerate(shape)]
         best = [(np.empty(0), np.empty(0, dtype=object)) for _ in ids]
@@ -220,17 +221,21 @@ def _text_hits(lists, block, doc_id, shape, k, k1, b):
             for start in range(0, large.num_rows, 256):
                 batch = large.slice(start, 256)
                 rows, names = batch.num_rows, np.asarray(batch.column(0).to_pylist(), dtype=object)
-                scores = np.zeros((rows, len(ids)))
+                scores = np.zeros((rows, width))
                 for f, (_, mean) in enumerate(shape):
                     column = batch.column(f + 1)
                     size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
                     code = pc.fill_null(pc.index_in(column.flatten(), known), -1).to_numpy(zero_copy_only=False)
                     row = np.repeat(np.arange(rows), size)[code >= 0]
-                    cell = row * len(terms) + code[code >= 0]
-                    tf = np.bincount(cell, minlength=rows * len(terms)).reshape(rows, len(terms)).astype("float64")
+                    cell, tf = np.unique(row * len(terms) + code[code >= 0], return_counts=True)
+                    row, term = cell // len(terms), cell % len(terms)
                     norm = k1 * (1.0 - b + b * size / (mean or 1.0))
-                    weight = idf[f] * tf * (k1 + 1.0) / np.maximum(tf + norm[:, None], 1e-300)
-                    scores = np.maximum(scores, weight @ member)
+                    weight = idf[f][term] * tf * (k1 + 1.0) / (tf + norm[row])
+                    repeat = degree[term]
+                    step = np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
+                    query = askers[np.repeat(first[term], repeat) + step]
+                    total = np.bincount(np.repeat(row, repeat) * width + query, np.repeat(weight, repeat), rows * width)
+                    scores = np.maximum(scores, total.reshape(rows, width))
                 scores = np.round(scores, 9)
                 for q in range(len(ids)):
                     one = scores[:, q]
@@ -262,7 +267,7 @@ def hybrid(lexical: DataFrame, semantic: DataFrame, lexical_weight: float = 0.3,
     both = normalised(lexical, "lexical").join(normalised(semantic, "semantic"), ["query_id", "doc_id"], "full")
     left, right = F.coalesce("lexical", F.lit(0.0)), F.coalesce("semantic", F.lit(0.0))
     score = (left * lexical_weight + right * semantic_weight) / (lexical_weight + semantic_weight)
-    scored = both.select("query_id", "doc_id", F.round(score, 12).alias("score"))
+    scored = both.select("query_id", "doc_id", F.round(score, 8).alias("score"))
     return top_per_key(scored, ["query_id"], [F.col("score").desc(), F.col("doc_id").asc()], k)
 
 

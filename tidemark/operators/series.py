@@ -160,10 +160,9 @@ def future_spine(df: DataFrame, steps: int, unit: str = "day") -> DataFrame:
 
 
 def trailing_months(df: DataFrame, stamp: str, months: int) -> DataFrame:
-    """Rows within ``months`` of the newest stamp in the data, a scalar subquery."""
-    last = df.agg(F.max(stamp)).scalar()
-    lower = F.add_months(last, -months)
-    return df.filter((F.to_date(stamp) >= lower) & (F.col(stamp) <= last))
+    """Rows within ``months`` of the newest stamp in the data; the bound is a scalar subquery."""
+    span = F.make_ym_interval(F.lit(0), F.lit(months))
+    return df.filter(F.col(stamp) >= df.agg(F.max(stamp) - span).scalar())
 
 
 def trailing_days(df: DataFrame, stamp: str, as_of, days: int) -> DataFrame:

@@ -68,17 +68,42 @@ def text_match(t):
     return hits.withColumn("score", F.round("score", 5))
 
 
-@query("hybrid_search")
+BM25_FIELD = """
+t{f} AS (SELECT doc_id, list_filter(regexp_split_to_array(lower({f}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: length(w) > 1) AS toks FROM documents),
+n{f} AS (SELECT count(*) AS n, avg(len(toks)) AS mean FROM t{f} WHERE len(toks) > 0),
+e{f} AS (SELECT doc_id, len(toks) AS len, unnest(toks) AS term FROM t{f}),
+c{f} AS (SELECT doc_id, len, term, count(*) AS tf FROM e{f} WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+d{f} AS (SELECT term, count(*) AS df FROM c{f} GROUP BY term),
+s{f} AS (SELECT query_id, doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len / mean))) AS score
+      FROM q JOIN c{f} USING (term) JOIN d{f} USING (term), n{f} GROUP BY ALL)"""
+
+
+@query("hybrid_search", oracle=f"""
+WITH q AS (SELECT DISTINCT item_id AS query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: length(w) > 1)) AS term FROM benchmark),
+{BM25_FIELD.format(f='text')}, {BM25_FIELD.format(f='source')},
+lx AS (SELECT query_id, doc_id, round(max(score), 9) AS score FROM (SELECT * FROM stext UNION ALL SELECT * FROM ssource) GROUP BY query_id, doc_id
+       QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(max(score), 9) DESC, doc_id) <= 30),
+sx AS (SELECT item_id AS query_id, d.vec_id AS doc_id, round(list_cosine_similarity(a.embedding::DOUBLE[], d.embedding::DOUBLE[]) + 1, 12) AS score
+       FROM benchmark JOIN embeddings a ON a.vec_id = item_id, embeddings d JOIN documents ON doc_id = d.vec_id
+       QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, d.vec_id) <= 30),
+ln AS (SELECT query_id, doc_id, coalesce((score - min(score) OVER p) / nullif(max(score) OVER p - min(score) OVER p, 0), 1) AS l FROM lx WINDOW p AS (PARTITION BY query_id)),
+sn AS (SELECT query_id, doc_id, coalesce((score - min(score) OVER p) / nullif(max(score) OVER p - min(score) OVER p, 0), 1) AS s FROM sx WINDOW p AS (PARTITION BY query_id)),
+f AS (SELECT query_id, doc_id, round(coalesce(l, 0) * 0.3 + coalesce(s, 0) * 0.7, 8) AS score FROM ln FULL JOIN sn USING (query_id, doc_id))
+SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM f QUALIFY rank <= 10""")
 def hybrid_search(t):
-    documents, questions = t.documents, t.benchmark.select(F.col("item_id").alias("query_id"), "text")
-    model = search.embedding_model(documents, "text", 256)
-    lexical = search.text_match(documents, questions, "doc_id", ["text", "source"], 30)
-    vectors = search.embed(questions, "text", model).filter(F.col("vector").isNotNull())
-    semantic = search.cosine_top_k(search.embed(documents, "text", model), vectors, "doc_id", "vector", 30, None)
+    """Benchmark items as queries over documents; both take their vectors from the embeddings by number."""
+    documents, items, vectors = t.documents, t.benchmark.select(F.col("item_id").alias("query_id"), "text"), t.embeddings
+    lexical = search.text_match(documents, items, "doc_id", ["text", "source"], 30)
+    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")).join(items.select("query_id"), "query_id")
+    stored = vectors.select(F.col("vec_id").alias("doc_id"), "embedding").join(documents.select("doc_id"), "doc_id", "left_semi")
+    semantic = search.cosine_top_k(stored, asked, "doc_id", "embedding", 30, None)
     return search.hybrid(lexical, semantic).withColumn("score", F.round("score", 6))
 
 
-@query("embed_missing")
+@query("embed_missing", oracle="""
+SELECT doc_id, CASE WHEN len(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) > 1)) > 0 THEN 256 END AS dims,
+  CASE WHEN len(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) > 1)) > 0 THEN 1.0 END AS norm
+FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)""")
 def embed_missing(t):
     stored = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
     made = search.embed_missing(t.documents.select("doc_id", "text"), stored, "doc_id", "text", 256)

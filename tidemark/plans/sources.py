@@ -90,7 +90,10 @@ def html_fields(t):
         F.array_join(pages.links("html"), " ").alias("links"), pages.tag_text("html", "time", "no date").alias("date"))
 
 
-@query("html_body")
+@query("html_body", oracle="""
+SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(
+    regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) AS body FROM pages""")
 def html_body(t):
     return pages.element_text(t.pages, "page_id", "html", "article", {}, "no body")
 
@@ -166,7 +169,10 @@ def sink_csv(t):
     return readers.read_csv(t.spark, path, T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType())]))
 
 
-@query("json_records")
+@query("json_records", oracle="""
+SELECT o_orderkey, '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus
+  || '","o_totalprice":' || o_totalprice || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+  || '","o_orderpriority":"' || o_orderpriority || '"}' AS record FROM orders""")
 def json_records(t):
     rows = t.orders
     return rows.select("o_orderkey", sinks.json_records(rows).alias("record"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(app_name: str = "tidemark", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -32,20 +32,17 @@ def build(app_name: str = "tidemark", master: str | None = None, shuffle_partiti
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach.
+    """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``. Only a local master, where driver and executors are
-    one machine, may fall back to a temporary folder; a cluster without the setting is an error.
+    Only a local master, where driver and executors are one machine, may fall back to a temporary
+    folder; a cluster without the setting is an error.
     """
-    context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-        folder = context.getCheckpointDir()
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -54,11 +51,14 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def pin(df):
-    """Materialise ``df`` in the shared folder, so later reads see one fixed set of rows.
+def pin(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back.
 
-    Used where a value depends on physical placement (partition ids) or where several jobs
-    read one costly result; survives the loss of executors.
+    Used where a value depends on physical placement, where several jobs read one costly result,
+    and where a later join should know the measured size of a small side: the planner sees the
+    file size and broadcasts or not by its threshold. Lineage ends here, so a lost executor costs
+    no recomputation.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = run_folder(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
