@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import sliding_windows
+from tidemark.session import pin
 
 # 80 % band of a normal distribution.
 BAND = 1.2815515655446004
@@ -26,32 +27,34 @@ def forecast_bounds(df: DataFrame, periods: int = 3, band: float = BAND) -> Data
     """Fitted history and ``periods`` future months with ``lower`` and ``upper``.
 
     Linear trend per series plus the mean residual of the calendar month; the band comes from the
-    spread of what is left. Everything is an aggregate over the monthly rows, at most one row per
-    series and calendar month.
+    spread of what is left. One scan and one shuffle after the monthly sums: all steps are windows
+    over a series, which has at most one row per calendar month.
     """
-    known = df.filter(F.col("value").isNotNull()).withColumn("x", _month_number("period"))
-    trend = known.groupBy(F.col("series").alias("__s")).agg(
-        F.coalesce(F.regr_slope("value", "x"), F.lit(0.0)).alias("slope"),
-        F.coalesce(F.regr_intercept("value", "x"), F.avg("value")).alias("intercept"),
-        F.max("period").alias("last"))
-    line = F.col("intercept") + F.col("slope") * F.col("x")
-    fitted = known.join(trend, F.col("series") == F.col("__s")).withColumn("line", line)
-    fitted = fitted.withColumn("moy", F.month("period"))
-    season = F.avg(F.col("value") - F.col("line")).over(Window.partitionBy("series", "moy"))
-    history = fitted.withColumn("pred", F.col("line") + season)
-    seasons = fitted.groupBy(F.col("series").alias("__s"), F.col("moy").alias("__m")).agg(F.avg(F.col("value") - F.col("line")).alias("season"))
-    spread = history.groupBy(F.col("series").alias("__s")).agg(F.stddev_pop(F.col("value") - F.col("pred")).alias("sd"))
-    step = F.explode(F.sequence(F.lit(1), F.lit(periods)))
-    future = trend.select(F.col("__s").alias("series"), "slope", "intercept", "last", step.alias("step"))
-    future = future.withColumn("period", F.add_months("last", F.col("step")))
-    future = future.withColumn("x", _month_number("period")).withColumn("line", line)
-    future = future.join(seasons, (F.col("series") == F.col("__s")) & (F.month("period") == F.col("__m")), "left")
-    future = future.withColumn("pred", F.col("line") + F.coalesce("season", F.lit(0.0)))
-    rows = history.select("series", "period", "value", "pred").unionByName(
-        future.select("series", "period", F.lit(None).cast("double").alias("value"), "pred"))
+    whole = Window.partitionBy("series")
+    known = df.filter(F.col("value").isNotNull()).withColumn("x", _month_number("period")).withColumn("moy", F.month("period"))
+    fitted = known.withColumns({
+        "slope": F.coalesce(F.regr_slope("value", "x").over(whole), F.lit(0.0)),
+        "intercept": F.coalesce(F.regr_intercept("value", "x").over(whole), F.avg("value").over(whole)),
+        "last": F.max("period").over(whole),
+    })
+    fitted = fitted.withColumn("line", F.col("intercept") + F.col("slope") * F.col("x"))
+    fitted = fitted.withColumn("season", F.avg(F.col("value") - F.col("line")).over(Window.partitionBy("series", "moy")))
+    fitted = fitted.withColumn("pred", F.col("line") + F.col("season")).withColumns({
+        "sd": F.stddev_pop(F.col("value") - F.col("line") - F.col("season")).over(whole),
+        "seasons": F.collect_set(F.struct("moy", "season")).over(whole),
+    })
+
+    def ahead(step):
+        period = F.add_months("last", step)
+        season = F.get(F.filter("seasons", lambda s: s["moy"] == F.month(period)), F.lit(0))["season"]
+        pred = F.col("intercept") + F.col("slope") * _month_number(period) + F.coalesce(season, F.lit(0.0))
+        return F.struct(period.alias("period"), F.lit(None).cast("double").alias("value"), pred.alias("pred"))
+
+    own = F.array(F.struct("period", "value", "pred"))
+    future = F.transform(F.sequence(F.lit(1), F.lit(periods)), ahead)
+    rows = fitted.select("series", "sd", F.inline(F.when(F.col("period") == F.col("last"), F.concat(own, future)).otherwise(own)))
     width = F.lit(band) * F.col("sd")
-    return rows.join(spread, F.col("series") == F.col("__s")).select(
-        "series", "period", "value", "pred", (F.col("pred") - width).alias("lower"), (F.col("pred") + width).alias("upper"))
+    return rows.select("series", "period", "value", "pred", (F.col("pred") - width).alias("lower"), (F.col("pred") + width).alias("upper"))
 
 
 def lag_model(df: DataFrame, length: int) -> DataFrame:
@@ -80,16 +83,16 @@ def _weights(df: DataFrame, length: int) -> DataFrame:
     return lag_model(df, length).groupBy(F.col("series").alias("__s")).agg(listed.alias("weights"))
 
 
-def predict_windows(df: DataFrame, length: int) -> DataFrame:
+def predict_windows(df: DataFrame, length: int, weights: DataFrame | None = None) -> DataFrame:
     """One-step predictions for every evaluation window: ``series, period, target, predicted``."""
     windows = sliding_windows(df, length, "evaluation")
-    joined = windows.join(_weights(df, length), F.col("series") == F.col("__s"))
+    joined = windows.join(weights or _weights(df, length), F.col("series") == F.col("__s"))
     terms = F.zip_with(F.reverse("inputs"), F.slice("weights", F.lit(2), F.lit(length)), lambda a, b: a * b)
     predicted = F.aggregate(terms, F.get("weights", F.lit(0)), lambda acc, x: acc + x)
     return joined.select("series", "period", "target", predicted.alias("predicted"))
 
 
-def recursive_forecast(df: DataFrame, length: int, steps: int = 30) -> DataFrame:
+def recursive_forecast(df: DataFrame, length: int, steps: int = 30, weights: DataFrame | None = None) -> DataFrame:
     """``steps`` daily predictions past the end; each one joins the window of the next.
 
     Sequential within a series by nature and parallel across series. The state is an array of
@@ -99,7 +102,7 @@ def recursive_forecast(df: DataFrame, length: int, steps: int = 30) -> DataFrame
     tail = df.filter(F.col("value").isNotNull()).withColumn("k", rank).filter(F.col("k") <= length)
     recent = F.transform(F.sort_array(F.collect_list(F.struct("k", "value"))), lambda r: r["value"])
     state = tail.groupBy("series").agg(F.max("period").alias("last"), recent.alias("recent"))
-    joined = state.filter(F.size("recent") == length).join(_weights(df, length), F.col("series") == F.col("__s"))
+    joined = state.filter(F.size("recent") == length).join(weights or _weights(df, length), F.col("series") == F.col("__s"))
 
     def roll(acc, _):
         terms = F.zip_with(F.slice(acc, F.lit(1), F.lit(length)), F.slice("weights", F.lit(2), F.lit(length)), lambda a, b: a * b)
@@ -114,11 +117,12 @@ def recursive_forecast(df: DataFrame, length: int, steps: int = 30) -> DataFrame
 
 def tagged_forecast(df: DataFrame, length: int, steps: int, names: list[str]) -> DataFrame:
     """``period, source`` and one column per series, with source PREDICTION, REAL or FUTURE."""
-    tested = predict_windows(df, length)
-    future = recursive_forecast(df, length, steps)
-    long = (
-        tested.select("period", F.lit("PREDICTION").alias("source"), "series", F.col("predicted").alias("value"))
-        .unionByName(tested.select("period", F.lit("REAL").alias("source"), "series", F.col("target").alias("value")))
-        .unionByName(future.select("period", F.lit("FUTURE").alias("source"), "series", F.col("predicted").alias("value")))
-    )
+    df = pin(df)
+    weights = pin(_weights(df, length))
+    tested = predict_windows(df, length, weights)
+    both = F.array(F.struct(F.lit("PREDICTION").alias("source"), F.col("predicted").alias("value")),
+                   F.struct(F.lit("REAL").alias("source"), F.col("target").alias("value")))
+    future = recursive_forecast(df, length, steps, weights)
+    long = tested.select("period", "series", F.inline(both)).unionByName(
+        future.select("period", "series", F.lit("FUTURE").alias("source"), F.col("predicted").alias("value")))
     return long.groupBy("period", "source").pivot("series", names).agg(F.avg("value")).orderBy("period", "source")

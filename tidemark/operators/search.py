@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,11 +179,12 @@ def text_match(documents: DataFrame, queries: DataFrame, doc_id: str, fields: It
     stats = lists.agg(*[F.struct(
         F.count_if(F.size(f"t{i}") > 0).alias("n"), F.avg(F.nullif(F.size(f"t{i}"), F.lit(0))).alias("length")).alias(f"s{i}")
         for i in range(len(fields))]).first()
-    frequency = None
-    for i in range(len(fields)):
-        seen = lists.select(F.explode(F.array_distinct(f"t{i}")).alias("term")).join(vocabulary, "term", "left_semi")
-        counted = seen.groupBy("term").agg(F.count(F.lit(1)).alias(f"f{i}"))
-        frequency = counted if frequency is None else frequency.join(counted, "term", "full")
+    def marked(i):
+        return F.transform(F.array_distinct(f"t{i}"), lambda t: F.struct(F.lit(i).alias("field"), t.alias("term")))
+
+    pairs = F.concat(*[marked(i) for i in range(len(fields))])
+    seen = lists.select(F.inline(pairs)).join(vocabulary, "term", "left_semi")
+    frequency = seen.groupBy("term").agg(*[F.count_if(F.col("field") == i).alias(f"f{i}") for i in range(len(fields))])
     weighted = pin(asked.select("query_id", F.explode("terms").alias("term")).join(frequency, "term")
                    .groupBy("query_id").agg(F.collect_list(F.struct("term", *[f"f{i}" for i in range(len(fields))])).alias("terms")))
     shape = [(row["n"], row["length"]) for row in stats]
@@ -255,11 +256,14 @@ def _text_hits(lists, block, doc_id, shape, k, k1, b):
 
 
 def normalised(hits: DataFrame, out: str) -> DataFrame:
-    """Scores min-max scaled per query; equal scores all become 1."""
-    bounds = hits.groupBy(F.col("query_id").alias("__q")).agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
-    span = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    scaled = F.coalesce((F.col("score") - F.col("lo")) / span, F.lit(1.0))
-    return hits.join(bounds, F.col("query_id") == F.col("__q")).select("query_id", "doc_id", scaled.alias(out))
+    """Scores min-max scaled per query; equal scores all become 1.
+
+    Hits are top lists, so a query has a bounded number of them and the window stays small.
+    """
+    per_query = Window.partitionBy("query_id")
+    low, high = F.min("score").over(per_query), F.max("score").over(per_query)
+    scaled = F.coalesce((F.col("score") - low) / F.nullif(high - low, F.lit(0.0)), F.lit(1.0))
+    return hits.select("query_id", "doc_id", scaled.alias(out))
 
 
 def hybrid(lexical: DataFrame, semantic: DataFrame, lexical_weight: float = 0.3, semantic_weight: float = 0.7, k: int = 10) -> DataFrame:

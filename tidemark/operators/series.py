@@ -97,23 +97,26 @@ def newest_delta(df: DataFrame, skip_nulls: bool = True) -> DataFrame:
 
 
 def trend_steps(df: DataFrame) -> DataFrame:
-    """Per row the previous value, growth in percent (0 after a zero) and ratio (1 after a zero)."""
-    previous = F.lag("value").over(_ordered())
-    steps = df.withColumn("previous", previous).filter(F.col("previous").isNotNull())
-    growth = F.when(F.col("previous") != 0, (F.col("value") - F.col("previous")) / F.nullif(F.col("previous"), F.lit(0.0)) * 100.0)
-    ratio = F.when(F.col("previous") != 0, F.col("value") / F.nullif(F.col("previous"), F.lit(0.0)))
-    return steps.withColumn("growth", F.coalesce(growth, F.lit(0.0))).withColumn("ratio", F.coalesce(ratio, F.lit(1.0)))
+    """Per row the previous known value, growth in percent (0 after a zero) and ratio (1 after a zero).
+
+    Null where the row or everything before it is null.
+    """
+    before = _ordered().rowsBetween(Window.unboundedPreceding, -1)
+    steps = df.withColumn("previous", F.last("value", ignorenulls=True).over(before))
+    valid = F.col("value").isNotNull() & F.col("previous").isNotNull()
+    ratio = F.col("value") / F.nullif(F.col("previous"), F.lit(0.0))
+    growth = (F.col("value") - F.col("previous")) / F.nullif(F.col("previous"), F.lit(0.0)) * 100.0
+    return steps.withColumn("growth", F.when(valid, F.coalesce(growth, F.lit(0.0)))).withColumn(
+        "ratio", F.when(valid, F.coalesce(ratio, F.lit(1.0))))
 
 
 def trend_statistics(df: DataFrame) -> DataFrame:
     """Mean growth, ratio variance and ratio coefficient of variation per series, 0 under two points."""
-    steps = trend_steps(df.filter(F.col("value").isNotNull()))
-    stats = steps.groupBy("series").agg(
+    stats = trend_steps(df).groupBy("series").agg(
         F.avg("growth").alias("g"), F.var_pop("ratio").alias("v"),
         F.stddev_pop("ratio").alias("s"), F.avg("ratio").alias("m"))
-    everyone = df.select("series").distinct()
-    cv = F.when(F.col("m") != 0, F.col("s") / F.nullif(F.col("m"), F.lit(0.0)))
-    return everyone.join(stats, "series", "left").select(
+    cv = F.col("s") / F.nullif(F.col("m"), F.lit(0.0))
+    return stats.select(
         "series", F.coalesce("g", F.lit(0.0)).alias("trend_growth"),
         F.coalesce("v", F.lit(0.0)).alias("trend_var"), F.coalesce(cv, F.lit(0.0)).alias("trend_cv"))
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import geometry, text
 from tidemark.operators import joins, keywords, ranking, reshape, series
 from tidemark.plans import query
+from tidemark.session import pin
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -51,7 +52,7 @@ m(l, r) AS (VALUES ('click', 'purchase'), ('view', 'signup'), ('error', 'view'))
 SELECT m.l AS series, CAST(a.period AS VARCHAR) AS period, round(a.v, 6) AS spend, round(b.v, 6) AS price
 FROM m JOIN d a ON a.event_type = m.l JOIN d b ON b.event_type = m.r AND b.period = a.period""")
 def category_pair_join(t):
-    rows = daily(t)
+    rows = pin(daily(t))
     mapping = {"click": "purchase", "view": "signup", "error": "view"}
     pairs = series.category_pairs(rows, rows, mapping, ("spend", "price"))
     return pairs.select("series", F.col("period").cast("string").alias("period"), F.round("spend", 6).alias("spend"), F.round("price", 6).alias("price"))
