@@ -10,11 +10,11 @@ MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query("group_mean", oracle="""
-SELECT user_id, round(avg(value), 6) AS mean_value, round(avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)), 6) AS mean_k
+SELECT user_id, round(avg(value), 8) AS mean_value, round(avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)), 8) AS mean_k
 FROM events GROUP BY user_id""")
 def group_mean(t):
     k = F.get_json_object("props", "$.k").cast("double")
-    return t.events.groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("mean_value"), F.round(F.avg(k), 6).alias("mean_k"))
+    return t.events.groupBy("user_id").agg(F.round(F.avg("value"), 8).alias("mean_value"), F.round(F.avg(k), 8).alias("mean_k"))
 
 
 @query("group_sum_positive", oracle="""
@@ -31,21 +31,21 @@ FLAG_ROWS = [(flag, status) for flag in "ANRX" for status in "FO"]
 
 
 @query("conditional_matrix", oracle=" UNION ALL ".join(f"""
-SELECT '{flag}{status}' AS category, {', '.join(f"round(coalesce(sum({m}), 0) / 1e6, 6) AS {m}" for m in MEASURES)}
+SELECT '{flag}{status}' AS category, {', '.join(f"round(coalesce(sum({m}), 0) / 1e6, 8) AS {m}" for m in MEASURES)}
 FROM lineitem WHERE l_returnflag = '{flag}' AND l_linestatus = '{status}'""" for flag, status in FLAG_ROWS))
 def conditional_matrix(t):
     rows = {f + s: (F.col("l_returnflag") == f) & (F.col("l_linestatus") == s) for f, s in FLAG_ROWS}
     matrix = aggregates.condition_matrix(t.lineitem, rows, MEASURES)
-    return matrix.select("category", *[F.round(m, 6).alias(m) for m in MEASURES])
+    return matrix.select("category", *[F.round(m, 8).alias(m) for m in MEASURES])
 
 
 @query("column_totals", oracle="""
-SELECT round(sum(l_quantity) / 1e6, 6) AS l_quantity, round(sum(l_extendedprice) / 1e6, 6) AS l_extendedprice,
-  round(sum(l_discount) / 1e6, 6) AS l_discount, round(sum(l_tax) / 1e6, 6) AS l_tax,
-  round(greatest(sum(l_quantity), sum(l_extendedprice), sum(l_discount), sum(l_tax)) / 1e6 * 1.1, 6) AS axis_bound FROM lineitem""")
+SELECT round(sum(l_quantity) / 1e6, 8) AS l_quantity, round(sum(l_extendedprice) / 1e6, 8) AS l_extendedprice,
+  round(sum(l_discount) / 1e6, 8) AS l_discount, round(sum(l_tax) / 1e6, 8) AS l_tax,
+  round(greatest(sum(l_quantity), sum(l_extendedprice), sum(l_discount), sum(l_tax)) / 1e6 * 1.1, 8) AS axis_bound FROM lineitem""")
 def column_totals(t):
     totals = aggregates.column_totals(t.lineitem, MEASURES)
-    return totals.select(*[F.round(c, 6).alias(c) for c in totals.columns])
+    return totals.select(*[F.round(c, 8).alias(c) for c in totals.columns])
 
 
 @query("collect_values", oracle="""
@@ -75,7 +75,7 @@ SELECT word, count(*) AS count FROM (
   SELECT unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) > 1)) AS word FROM documents)
 GROUP BY word""")
 def word_count(t):
-    return keywords.word_counts(t.documents, "text")
+    return keywords.word_counts(t.wide("documents"), "text")
 
 
 @query("max_or_default", oracle="""
@@ -102,14 +102,14 @@ def distinct_per_group(t):
 
 
 def _wide(statistic):
-    cells = ", ".join(f"round({statistic}(value) FILTER (event_type = '{e}'), 6) AS {e}" for e in EVENT_TYPES)
+    cells = ", ".join(f"round({statistic}(value) FILTER (event_type = '{e}'), 8) AS {e}" for e in EVENT_TYPES)
     return f"SELECT strftime(ts, '%Y-%m-%d') AS day, {cells} FROM events GROUP BY 1"
 
 
 def _pivoted(t, statistic):
     rows = t.events.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", "value")
     wide = reshape.pivot(rows, ["day"], "event_type", EVENT_TYPES, "value", statistic)
-    return wide.select("day", *[F.round(e, 6).alias(e) for e in EVENT_TYPES])
+    return wide.select("day", *[F.round(e, 8).alias(e) for e in EVENT_TYPES])
 
 
 @query("pivot_mean", oracle=_wide("avg"))
@@ -124,23 +124,23 @@ def pivot_max(t):
 
 @query("row_mean", oracle="""
 SELECT l_orderkey, l_linenumber, l_partkey, round((coalesce(nullif(l_discount, 0), 0) + coalesce(nullif(l_tax, 0), 0) + l_quantity)
-  / (1 + (l_discount <> 0)::INT + (l_tax <> 0)::INT), 6) AS mean FROM lineitem""")
+  / (1 + (l_discount <> 0)::INT + (l_tax <> 0)::INT), 8) AS mean FROM lineitem""")
 def row_mean(t):
     from tidemark.functions.numbers import row_mean as mean
     cells = [F.nullif("l_discount", F.lit(0.0)), F.nullif("l_tax", F.lit(0.0)), F.col("l_quantity")]
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.round(mean(cells), 6).alias("mean"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.round(mean(cells), 8).alias("mean"))
 
 
 @query("consolidate_sparse", oracle="""
 SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN value > 50 THEN 'HIGH' ELSE 'LOW' END AS source,
-  round(avg(value) FILTER (event_type = 'click'), 6) AS click, round(avg(value) FILTER (event_type = 'view'), 6) AS view
+  round(avg(value) FILTER (event_type = 'click'), 8) AS click, round(avg(value) FILTER (event_type = 'view'), 8) AS view
 FROM events GROUP BY 1, 2""")
 def consolidate_sparse(t):
     source = F.when(F.col("value") > 50, "HIGH").otherwise("LOW").alias("source")
     sparse = t.events.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), source,
                              *[F.when(F.col("event_type") == e, F.col("value")).alias(e) for e in ("click", "view")])
     folded = aggregates.consolidate(sparse, ["day", "source"], ["click", "view"])
-    return folded.select("day", "source", F.round("click", 6).alias("click"), F.round("view", 6).alias("view"))
+    return folded.select("day", "source", F.round("click", 8).alias("click"), F.round("view", 8).alias("view"))
 
 
 USER_STEPS = """
@@ -170,10 +170,10 @@ def trend_variance(t):
 
 @query("trend_cv", oracle=f"""
 WITH {USER_STEPS}
-SELECT a.series, round(coalesce(CASE WHEN avg(r) <> 0 THEN stddev_pop(r) / avg(r) END, 0), 6) AS trend_cv
+SELECT a.series, round(coalesce(CASE WHEN avg(r) <> 0 THEN stddev_pop(r) / avg(r) END, 0), 8) AS trend_cv
 FROM a LEFT JOIN s USING (series) GROUP BY 1""")
 def trend_cv(t):
-    return _user_trend(t).select("series", F.round("trend_cv", 6).alias("trend_cv"))
+    return _user_trend(t).select("series", F.round("trend_cv", 8).alias("trend_cv"))
 
 
 @query("rollup_path", oracle="""
@@ -213,19 +213,19 @@ def session_summary(t):
 
 @query("regression_metrics", oracle="""
 SELECT l_returnflag, count(*) AS n, round(avg(power(l_extendedprice - l_quantity * 1500, 2)), 2) AS mse,
-  round(1 - sum(power(l_extendedprice - l_quantity * 1500, 2)) / sum(power(l_extendedprice - m, 2)), 6) AS r2
+  round(1 - sum(power(l_extendedprice - l_quantity * 1500, 2)) / sum(power(l_extendedprice - m, 2)), 8) AS r2
 FROM (SELECT *, avg(l_extendedprice) OVER (PARTITION BY l_returnflag) AS m FROM lineitem) GROUP BY l_returnflag""")
 def regression_metrics(t):
     rows = t.lineitem.withColumn("predicted", F.col("l_quantity") * 1500)
     stats = aggregates.regression_metrics(rows, ["l_returnflag"], "l_extendedprice", "predicted")
-    return stats.select("l_returnflag", "n", F.round("mse", 2).alias("mse"), F.round("r2", 6).alias("r2"))
+    return stats.select("l_returnflag", "n", F.round("mse", 2).alias("mse"), F.round("r2", 8).alias("r2"))
 
 
 @query("period_mean_or_zero", oracle="""
-SELECT user_id, round(coalesce(avg(value) FILTER (CAST(ts AS DATE) = DATE '2024-01-15'), 0), 6) AS mean FROM events GROUP BY user_id""")
+SELECT user_id, round(coalesce(avg(value) FILTER (CAST(ts AS DATE) = DATE '2024-01-15'), 0), 8) AS mean FROM events GROUP BY user_id""")
 def period_mean_or_zero(t):
     that_day = F.to_date("ts") == F.lit("2024-01-15").cast("date")
-    return t.events.groupBy("user_id").agg(F.round(aggregates.mean_or_zero("value", that_day), 6).alias("mean"))
+    return t.events.groupBy("user_id").agg(F.round(aggregates.mean_or_zero("value", that_day), 8).alias("mean"))
 
 
 def _spend(t):

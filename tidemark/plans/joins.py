@@ -15,10 +15,10 @@ def daily(t, value="value"):
 
 
 @query("outer_merge_series", oracle="""
-SELECT strftime(ts, '%Y-%m-%d') AS period, round(avg(value) FILTER (event_type = 'click'), 6) AS click,
-  round(avg(value) FILTER (event_type = 'view' AND value > 150), 6) AS view_high,
-  round(avg(value) FILTER (event_type = 'purchase' AND value > 200), 6) AS purchase_high, NULL::DOUBLE AS refund
-FROM events WHERE event_type = 'click' OR (event_type = 'view' AND value > 150) OR (event_type = 'purchase' AND value > 200)
+SELECT strftime(ts, '%Y-%m-%d') AS period, round(avg(value) FILTER (event_type = 'click' AND value > 0), 8) AS click,
+  round(avg(value) FILTER (event_type = 'view' AND value > 150), 8) AS view_high,
+  round(avg(value) FILTER (event_type = 'purchase' AND value > 200), 8) AS purchase_high, NULL::DOUBLE AS refund
+FROM events WHERE (event_type = 'click' AND value > 0) OR (event_type = 'view' AND value > 150) OR (event_type = 'purchase' AND value > 200)
 GROUP BY 1""")
 def outer_merge_series(t):
     events = t.events
@@ -31,7 +31,7 @@ def outer_merge_series(t):
         ("chargeback", one("chargeback", 0.0)), ("click", one("click", 0.0)), ("view_high", one("view", 150.0)),
         ("refund", one("refund", 0.0)), ("purchase_high", one("purchase", 200.0))])
     names = [c for c in merged.columns if c != "period"]
-    return merged.orderBy("period").select(F.col("period").cast("string").alias("period"), *[F.round(c, 6).alias(c) for c in names])
+    return merged.orderBy("period").select(F.col("period").cast("string").alias("period"), *[F.round(c, 8).alias(c) for c in names])
 
 
 @query("merge_chain", oracle="""
@@ -49,13 +49,13 @@ def merge_chain(t):
 @query("category_pair_join", oracle="""
 WITH d AS (SELECT event_type, CAST(ts AS DATE) AS period, avg(value) AS v FROM events GROUP BY ALL),
 m(l, r) AS (VALUES ('click', 'purchase'), ('view', 'signup'), ('error', 'view'))
-SELECT m.l AS series, CAST(a.period AS VARCHAR) AS period, round(a.v, 6) AS spend, round(b.v, 6) AS price
+SELECT m.l AS series, CAST(a.period AS VARCHAR) AS period, round(a.v, 8) AS spend, round(b.v, 8) AS price
 FROM m JOIN d a ON a.event_type = m.l JOIN d b ON b.event_type = m.r AND b.period = a.period""")
 def category_pair_join(t):
     rows = pin(daily(t))
     mapping = {"click": "purchase", "view": "signup", "error": "view"}
     pairs = series.category_pairs(rows, rows, mapping, ("spend", "price"))
-    return pairs.select("series", F.col("period").cast("string").alias("period"), F.round("spend", 6).alias("spend"), F.round("price", 6).alias("price"))
+    return pairs.select("series", F.col("period").cast("string").alias("period"), F.round("spend", 8).alias("spend"), F.round("price", 8).alias("price"))
 
 
 def titled(df):
@@ -112,7 +112,7 @@ top AS (SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang O
 WITH {TOP_WORDS}
 SELECT DISTINCT tok.lang, tok.word, tok.doc_id FROM tok JOIN top ON tok.lang = top.lang AND tok.word = top.word""")
 def keyword_documents(t):
-    documents = t.documents
+    documents = t.wide("documents")
     chosen = keywords.top_words(keywords.word_counts(documents, "text", "lang"), "lang", 15)
     return keywords.documents_with(documents, "doc_id", "text", "lang", chosen).select("lang", "word", "doc_id")
 
@@ -148,7 +148,7 @@ def parent_children(t):
 
 
 @query("ring_centroid", oracle="""
-SELECT n_nationkey, n_name, round(n_nationkey * 5.0 + 2 + coalesce(w, 0) / 2.0, 6) AS lon, round(n_regionkey * 10.0 - 20 + 1.5, 6) AS lat
+SELECT n_nationkey, n_name, round(n_nationkey * 5.0 + 2 + coalesce(w, 0) / 2.0, 8) AS lon, round(n_regionkey * 10.0 - 20 + 1.5, 8) AS lat
 FROM nation LEFT JOIN (SELECT s_nationkey, count(*) AS w FROM supplier GROUP BY 1) ON s_nationkey = n_nationkey""")
 def ring_centroid(t):
     # One rectangle per nation, as wide as it has suppliers; its centre is known.
@@ -159,4 +159,4 @@ def ring_centroid(t):
     corners = [(west, south), (east, south), (east, north), (west, north), (west, south)]
     ring = F.array(*[F.struct(x.alias("lon"), y.alias("lat")) for x, y in corners])
     centre = geometry.centroid(F.array(ring))
-    return box.select("n_nationkey", "n_name", centre.alias("c")).select("n_nationkey", "n_name", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"))
+    return box.select("n_nationkey", "n_name", centre.alias("c")).select("n_nationkey", "n_name", F.round("c.lon", 8).alias("lon"), F.round("c.lat", 8).alias("lat"))

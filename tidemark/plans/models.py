@@ -86,12 +86,12 @@ def forecast_tagged(t):
 
 @query("topics")
 def topics(t):
-    return models.topics(t.documents, "text").withColumn("weight", F.round("weight", 6))
+    return models.topics(t.wide("documents"), "text").withColumn("weight", F.round("weight", 6))
 
 
 @query("text_label")
 def text_label(t):
-    return models.label_texts(t.documents, t.labels, "doc_id", "text", "quality", {0: "negative", 1: "positive"}).withColumn("score", F.round("score", 4))
+    return models.label_texts(t.wide("documents"), t.labels, "doc_id", "text", "quality", {0: "negative", 1: "positive"}).withColumn("score", F.round("score", 4))
 
 
 @query("category_prediction", oracle="""

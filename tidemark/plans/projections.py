@@ -214,14 +214,14 @@ def format_indicator(t):
 
 
 @query("combined_score", oracle="""
-WITH trend AS (SELECT user_id, avg(value) AS trend FROM events WHERE event_type = 'purchase' GROUP BY 1)
-SELECT d.doc_id, round(d.n_chars * (1 + coalesce(t.trend, 0) / 100), 6) AS score
+WITH trend AS (SELECT user_id, max(value) AS trend FROM events WHERE event_type = 'purchase' GROUP BY 1)
+SELECT d.doc_id, round(d.n_chars * (1 + coalesce(t.trend, 0) / 100), 4) AS score
 FROM documents d LEFT JOIN trend t ON t.user_id = d.doc_id""")
 def combined_score(t):
     bought = t.events.filter(F.col("event_type") == "purchase")
-    trend = bought.groupBy(F.col("user_id").alias("doc_id")).agg(F.avg("value").alias("trend"))
+    trend = bought.groupBy(F.col("user_id").alias("doc_id")).agg(F.max("value").alias("trend"))
     joined = t.documents.select("doc_id", "n_chars").join(trend, "doc_id", "left")
-    return joined.select("doc_id", F.round(numbers.weighted_score(F.col("n_chars"), F.col("trend")), 6).alias("score"))
+    return joined.select("doc_id", F.round(numbers.weighted_score(F.col("n_chars"), F.col("trend")), 4).alias("score"))
 
 
 @query("clean_money", oracle="""

@@ -64,7 +64,7 @@ s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * t
 SELECT query_id, doc_id, round(score, 5) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s QUALIFY rank <= 10""")
 def text_match(t):
     questions = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
-    hits = search.text_match(t.documents, questions, "doc_id", ["text"], 10)
+    hits = search.text_match(t.wide("documents"), questions, "doc_id", ["text"], 10)
     return hits.withColumn("score", F.round("score", 5))
 
 
@@ -92,7 +92,7 @@ f AS (SELECT query_id, doc_id, round(coalesce(l, 0) * 0.3 + coalesce(s, 0) * 0.7
 SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM f QUALIFY rank <= 10""")
 def hybrid_search(t):
     """Benchmark items as queries over documents; both take their vectors from the embeddings by number."""
-    documents, items, vectors = t.documents, t.benchmark.select(F.col("item_id").alias("query_id"), "text"), t.embeddings
+    documents, items, vectors = t.wide("documents"), t.benchmark.select(F.col("item_id").alias("query_id"), "text"), t.embeddings
     lexical = search.text_match(documents, items, "doc_id", ["text", "source"], 30)
     asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")).join(items.select("query_id"), "query_id")
     stored = vectors.select(F.col("vec_id").alias("doc_id"), "embedding").join(documents.select("doc_id"), "doc_id", "left_semi")
@@ -106,7 +106,7 @@ SELECT doc_id, CASE WHEN len(list_filter(regexp_split_to_array(lower(text), '[^\
 FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)""")
 def embed_missing(t):
     stored = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
-    made = search.embed_missing(t.documents.select("doc_id", "text"), stored, "doc_id", "text", 256)
+    made = search.embed_missing(t.wide("documents").select("doc_id", "text"), stored, "doc_id", "text", 256)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x))
     return made.select("doc_id", F.size("vector").alias("dims"), F.round(norm, 6).alias("norm"))
 

@@ -155,7 +155,7 @@ r AS (SELECT *, (row_number() OVER (PARTITION BY lang, word ORDER BY doc_id) - 1
 SELECT lang, word, chunk, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS items FROM r GROUP BY ALL""")
 def related_items(t):
     """Related documents of each top word, all of them, in lists of a hundred."""
-    documents = t.documents
+    documents = t.wide("documents")
     top = keywords.top_words(keywords.word_counts(documents, "text", "lang"), "lang", 15)
     matches = keywords.documents_with(documents, "doc_id", "text", "lang", top)
     lists = ranking.list_chunks(matches, ["lang", "word"], "doc_id", ["doc_id"], 100)

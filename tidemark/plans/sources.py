@@ -78,9 +78,9 @@ def read_xml(t):
 
 
 @query("html_fields", oracle="""
-SELECT page_id, trim(replace(replace(replace(replace(replace(replace(replace(
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
            regexp_replace(regexp_extract(html, '(?s)<title(?:\\s[^>]*)?>(.*?)</title>', 1), '<[^>]*>', '', 'g'),
-           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')) AS title,
+           '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&nbsp;?', ' ', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&amp;?', '&', 'g')) AS title,
        array_to_string(regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1), ' ') AS links,
        'no date' AS date
 FROM pages""")
@@ -91,15 +91,15 @@ def html_fields(t):
 
 
 @query("html_body", oracle="""
-SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
     regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>', '', 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) AS body FROM pages""")
+    '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) AS body FROM pages""")
 def html_body(t):
     return pages.element_text(t.pages, "page_id", "html", "article", {}, "no body")
 
 
 @query("html_text", oracle="""
-SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
     regexp_replace(regexp_replace(
       regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
         '(?s)<script(\\s[^>]*)?>.*?</script>', ' ', 'g'),
@@ -107,7 +107,7 @@ SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(repl
         '(?s)<sup(\\s[^>]*)?>.*?</sup>', ' ', 'g'),
         '(?s)<table(\\s[^>]*)?>.*?</table>', ' ', 'g'),
       '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
+    '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&nbsp;?', ' ', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&amp;?', '&', 'g'),
     '\\s+', ' ', 'g')) AS text
 FROM pages""")
 def html_text(t):

@@ -25,13 +25,13 @@ def stream_dedup(t):
 
 
 def _bucket_sql(unit):
-    return f"""SELECT event_type, strftime(date_trunc('{unit}', ts), '%Y-%m-%d') AS bucket, count(*) AS n, round(avg(value), 6) AS mean
+    return f"""SELECT event_type, strftime(date_trunc('{unit}', ts), '%Y-%m-%d') AS bucket, count(*) AS n, round(avg(value), 8) AS mean
 FROM events GROUP BY ALL"""
 
 
 def _buckets(t, unit):
     rows = flows.buckets(t.events, ["event_type"], "ts", "value", unit)
-    return rows.select("event_type", F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "n", F.round("mean", 6).alias("mean"))
+    return rows.select("event_type", F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "n", F.round("mean", 8).alias("mean"))
 
 
 @query("bucket_day", oracle=_bucket_sql("day"))

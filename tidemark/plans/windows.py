@@ -19,26 +19,26 @@ def gapped(t):
 
 
 def shown(df, *columns):
-    return df.select("series", F.col("period").cast("string").alias("period"), *[F.round(c, 6).alias(c) for c in columns])
+    return df.select("series", F.col("period").cast("string").alias("period"), *[F.round(c, 8).alias(c) for c in columns])
 
 
 @query("forward_fill", oracle=f"""
-WITH {GAPPED} SELECT series, CAST(period AS VARCHAR) AS period, round(value, 6) AS value,
-  round(last_value(value IGNORE NULLS) {PAST}, 6) AS filled FROM d""")
+WITH {GAPPED} SELECT series, CAST(period AS VARCHAR) AS period, round(value, 8) AS value,
+  round(last_value(value IGNORE NULLS) {PAST}, 8) AS filled FROM d""")
 def forward_fill(t):
     return shown(series.forward_fill(gapped(t)), "value", "filled")
 
 
 @query("fill_both", oracle=f"""
 WITH {GAPPED} SELECT series, CAST(period AS VARCHAR) AS period,
-  round(coalesce(last_value(value IGNORE NULLS) {PAST}, first_value(value IGNORE NULLS) {AHEAD}), 6) AS filled FROM d""")
+  round(coalesce(last_value(value IGNORE NULLS) {PAST}, first_value(value IGNORE NULLS) {AHEAD}), 8) AS filled FROM d""")
 def fill_both(t):
     return shown(series.fill_both(gapped(t)), "filled")
 
 
 @query("fill_mean", oracle=f"""
 WITH {GAPPED} SELECT series, CAST(period AS VARCHAR) AS period,
-  round((last_value(value IGNORE NULLS) {PAST} + first_value(value IGNORE NULLS) {AHEAD}) / 2, 6) AS filled FROM d""")
+  round((last_value(value IGNORE NULLS) {PAST} + first_value(value IGNORE NULLS) {AHEAD}) / 2, 8) AS filled FROM d""")
 def fill_mean(t):
     return shown(series.fill_mean(gapped(t)), "filled")
 
@@ -70,11 +70,11 @@ def previous_run_value(t):
 WITH {GAPPED},
 l AS (SELECT *, first_value(value) OVER (PARTITION BY series ORDER BY CASE WHEN value IS NOT NULL THEN period END DESC NULLS LAST) AS latest FROM d),
 p AS (SELECT series, arg_max(value, period) AS previous FROM l WHERE value <> latest GROUP BY series)
-SELECT DISTINCT l.series, round(l.latest, 6) AS latest, round(p.previous, 6) AS previous
+SELECT DISTINCT l.series, round(l.latest, 8) AS latest, round(p.previous, 8) AS previous
 FROM l LEFT JOIN p USING (series) WHERE l.latest IS NOT NULL""")
 def latest_and_previous(t):
     rows = series.latest_and_previous(gapped(t))
-    return rows.select("series", F.round("latest", 6).alias("latest"), F.round("previous", 6).alias("previous"))
+    return rows.select("series", F.round("latest", 8).alias("latest"), F.round("previous", 8).alias("previous"))
 
 
 @query("dedup_latest", oracle="""
@@ -89,12 +89,12 @@ def _delta(value):
     return f"""
 WITH {value},
 r AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period DESC) AS k FROM d{{where}})
-SELECT a.series, round(a.value, 6) AS current, round(b.value, 6) AS previous, round(a.value - b.value, 6) AS delta
+SELECT a.series, round(a.value, 8) AS current, round(b.value, 8) AS previous, round(a.value - b.value, 8) AS delta
 FROM (SELECT * FROM r WHERE k = 1) a LEFT JOIN (SELECT * FROM r WHERE k = 2) b USING (series)"""
 
 
 def _rounded(df, *columns):
-    return df.select("series", *[F.round(c, 6).alias(c) for c in columns])
+    return df.select("series", *[F.round(c, 8).alias(c) for c in columns])
 
 
 @query("indicator_delta", oracle=_delta(GAPPED).format(where=" WHERE value IS NOT NULL"))
@@ -109,14 +109,14 @@ def indicator_delta_with_nulls(t):
 
 def _windows(t, boundary):
     rows = series.sliding_windows(daily(t), 7, boundary)
-    return rows.select("series", F.col("period").cast("string").alias("period"), F.round("target", 6).alias("target"),
-                       F.posexplode("inputs").alias("lag", "input")).withColumn("input", F.round("input", 6))
+    return rows.select("series", F.col("period").cast("string").alias("period"), F.round("target", 8).alias("target"),
+                       F.posexplode("inputs").alias("lag", "input")).withColumn("input", F.round("input", 8))
 
 
 def _window_sql(last):
     return f"""
 WITH {DAILY}, n AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period) AS k, count(*) OVER (PARTITION BY series) AS n FROM d)
-SELECT a.series, CAST(a.period AS VARCHAR) AS period, round(a.value, 6) AS target, CAST(b.k - a.k + 7 AS INTEGER) AS lag, round(b.value, 6) AS input
+SELECT a.series, CAST(a.period AS VARCHAR) AS period, round(a.value, 8) AS target, CAST(b.k - a.k + 7 AS INTEGER) AS lag, round(b.value, 8) AS input
 FROM n a JOIN n b ON a.series = b.series AND b.k BETWEEN a.k - 7 AND a.k - 1 WHERE a.k > 7 AND a.k <= a.n - {last}"""
 
 
@@ -136,20 +136,20 @@ c AS (SELECT lang, word, count(*) AS count FROM tok GROUP BY lang, word),
 r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY count, word) - 1 AS k, count(*) OVER (PARTITION BY lang) AS n FROM c)
 SELECT lang, word, count, k - (n * 7) // 10 + 1 AS rank FROM r WHERE k >= (n * 7) // 10 AND k < (n * 8) // 10 AND k < (n * 7) // 10 + 15""")
 def rank_band_words(t):
-    counts = keywords.word_counts(t.documents, "text", "lang")
+    counts = keywords.word_counts(t.wide("documents"), "text", "lang")
     return ranking.rank_band(counts, "lang", "word", "count")
 
 
 @query("top_words", oracle=f"WITH {TOP_WORDS} SELECT lang, word, n AS count, rank FROM top")
 def top_words(t):
-    return keywords.top_words(keywords.word_counts(t.documents, "text", "lang"), "lang", 15)
+    return keywords.top_words(keywords.word_counts(t.wide("documents"), "text", "lang"), "lang", 15)
 
 
 @query("first_links", oracle=f"""
 WITH {TOP_WORDS}, m AS (SELECT DISTINCT tok.lang, tok.word, tok.doc_id FROM tok JOIN top ON tok.lang = top.lang AND tok.word = top.word)
 SELECT lang, word, doc_id, row_number() OVER (PARTITION BY lang, word ORDER BY doc_id) AS rank FROM m QUALIFY rank <= 3""")
 def first_links(t):
-    documents = t.documents
+    documents = t.wide("documents")
     top = keywords.top_words(keywords.word_counts(documents, "text", "lang"), "lang", 15)
     matches = keywords.documents_with(documents, "doc_id", "text", "lang", top)
     return keywords.first_documents(matches, "lang", "doc_id", 3).select("lang", "word", "doc_id", "rank")
@@ -189,8 +189,8 @@ def batch_number(t):
 
 @query("min_max_scale", oracle=f"""
 WITH {DAILY}, b AS (SELECT *, min(value) OVER (PARTITION BY series) AS lo, max(value) OVER (PARTITION BY series) AS hi FROM d)
-SELECT series, CAST(period AS VARCHAR) AS period, round(CASE WHEN hi = lo THEN 0 ELSE (value - lo) / (hi - lo) END, 6) AS scaled,
-  round(value, 6) AS restored FROM b""")
+SELECT series, CAST(period AS VARCHAR) AS period, round(CASE WHEN hi = lo THEN 0 ELSE (value - lo) / (hi - lo) END, 8) AS scaled,
+  round(value, 8) AS restored FROM b""")
 def min_max_scale(t):
     scaled = scaling.min_max(daily(t)).withColumn("restored", scaling.inverse_min_max())
     return shown(scaled, "scaled", "restored")
@@ -201,13 +201,13 @@ WITH {DAILY}, b AS (SELECT series, min(value) AS lo, quantile_cont(value, 0.6) A
 SELECT series, CAST(period AS VARCHAR) AS period, """
 
 
-@query("robust_scale", oracle=ROBUST + """round(CASE WHEN hi = lo THEN value ELSE (value - lo) / (hi - lo) END, 6) AS scaled
+@query("robust_scale", oracle=ROBUST + """round(CASE WHEN hi = lo THEN value ELSE (value - lo) / (hi - lo) END, 8) AS scaled
 FROM d JOIN b USING (series)""")
 def robust_scale(t):
     return shown(scaling.robust(daily(t)), "scaled")
 
 
-@query("inverse_scale", oracle=ROBUST + "round(value, 6) AS restored FROM d JOIN b USING (series)")
+@query("inverse_scale", oracle=ROBUST + "round(value, 8) AS restored FROM d JOIN b USING (series)")
 def inverse_scale(t):
     return shown(scaling.robust(daily(t)).withColumn("restored", scaling.inverse_robust()), "restored")
 
@@ -222,7 +222,7 @@ i AS (SELECT *, CASE indicator WHEN 'click' THEN '***' WHEN 'purchase' THEN '***
 SELECT indicator, importance,
   CASE indicator WHEN 'click' THEN printf('%.2f%%', latest) WHEN 'purchase' THEN printf('$%.2fB', latest) WHEN 'view' THEN printf('%.2fK', latest) ELSE printf('%.2f', latest) END AS latest,
   coalesce(CASE indicator WHEN 'click' THEN printf('%.2f%%', previous) WHEN 'purchase' THEN printf('$%.2fB', previous) WHEN 'view' THEN printf('%.2fK', previous) ELSE printf('%.2f', previous) END, 'N/A') AS previous,
-  round(latest - previous, 6) AS delta FROM i""")
+  round(latest - previous, 8) AS delta FROM i""")
 def indicator_table(t):
     """The economic-indicator table: filled series, latest and previous different value, delta, display text."""
     filled = series.forward_fill(gapped(t)).select("series", "period", F.col("filled").alias("value"))
@@ -233,5 +233,5 @@ def indicator_table(t):
         F.col("series").alias("indicator"), importance.alias("importance"),
         numbers.indicator_text("series", "latest", *units).alias("latest"),
         numbers.indicator_text("series", "previous", *units).alias("previous"),
-        F.round(F.col("latest") - F.col("previous"), 6).alias("delta"))
+        F.round(F.col("latest") - F.col("previous"), 8).alias("delta"))
     return table.orderBy(F.length("importance").desc(), F.col("indicator").desc())

@@ -7,9 +7,9 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Named character references that the expressions decode; ``&amp;`` last, so that no text
-# is decoded twice.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": " ", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+# Named character references that the expressions decode, with or without the closing semicolon;
+# ``amp`` last, so that no text is decoded twice.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "nbsp": " ", "copy": "©", "middot": "·", "amp": "&"}
 
 
 def _column(column) -> Column:
@@ -18,8 +18,8 @@ def _column(column) -> Column:
 
 def unescape(column) -> Column:
     column = _column(column)
-    for reference, character in ENTITIES.items():
-        column = F.replace(column, F.lit(reference), F.lit(character))
+    for name, character in ENTITIES.items():
+        column = F.regexp_replace(column, f"&{name};?", character)
     return column
 
 

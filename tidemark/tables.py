@@ -24,6 +24,16 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
+    def wide(self, name: str) -> DataFrame:
+        """The table for work that is heavy per row.
+
+        Stored in fewer splits than there are cores it is spread over them first; a table of many
+        files, as any large one is, comes back as it is stored, without a shuffle.
+        """
+        df = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
