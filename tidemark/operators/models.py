@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, IDF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
@@ -15,17 +15,21 @@ from tidemark.session import pin
 
 
 def topics(documents: DataFrame, text: str, k: int = 5, seed: int = 100, words: int = 10,
-           vocabulary: int = 1 << 16, iterations: int = 10, min_documents: float = 2.0) -> DataFrame:
+           vocabulary: int = 1 << 16, iterations: int = 10, min_documents: int = 2) -> DataFrame:
     """``topic, rank, word, weight`` of a topic model over all documents.
 
-    The model, and with it the driver, holds at most ``vocabulary`` words and ``k`` weights each.
+    The model, and with it the driver, holds at most ``vocabulary`` words, the most frequent ones, and
+    ``k`` weights each. The fit samples rows by partition, so topics repeat for the same partitioning.
     """
     listed = documents.select(tokens(text).alias("tokens")).filter(F.size("tokens") > 0)
-    vectorizer = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocabulary, minDF=min_documents).fit(listed)
+    seen = listed.select(F.explode(F.array_distinct("tokens")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # Chosen here and not by the vectorizer, whose choice among equally frequent words varies.
+    chosen = seen.filter(F.col("n") >= min_documents).orderBy(F.col("n").desc(), "word").limit(vocabulary).collect()
+    terms = [row["word"] for row in chosen]
+    vectorizer = CountVectorizerModel.from_vocabulary(terms, "tokens", "features")
     counted = pin(vectorizer.transform(listed).select("features"))
     model = LDA(k=k, seed=seed, maxIter=iterations, optimizer="online").fit(counted)
     described = model.describeTopics(words)
-    terms = vectorizer.vocabulary
     spark = documents.sparkSession
     lookup = spark.createDataFrame(list(enumerate(terms)), "place int, word string")
     pairs = described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t"))

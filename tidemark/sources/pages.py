@@ -59,7 +59,7 @@ def list_items(df: DataFrame, html: str, *keys: str) -> DataFrame:
         .select(
             *keys, (F.col("position") + 1).cast("bigint").alias("position"),
             tag_text("item", "a", "").alias("name"),
-            F.filter(F.transform(caption, F.trim), lambda t: t != "").alias("tokens"),
+            F.filter(F.transform(caption, lambda t: F.trim(t)), lambda t: t != "").alias("tokens"),
         )
     )
 
