@@ -7,14 +7,30 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import tokens
+from tidemark.functions.text import TOKEN_BREAK
 from tidemark.operators.ranking import top_per_key
 from tidemark.session import pin
 
 
+def token_rows(df: DataFrame, text: str, *keys: str, stop_words: Iterable[str] = (), drop_category: str | None = None,
+               distinct: bool = False) -> DataFrame:
+    """``keys, word``: one row per token, or per distinct token of a text.
+
+    The token rule of :mod:`tidemark.functions.text`, with the tests on single words after the
+    explode, where they are compiled instead of interpreted per array.
+    """
+    pieces = F.split(F.lower(text), TOKEN_BREAK)
+    words = df.select(*keys, F.explode(F.array_distinct(pieces) if distinct else pieces).alias("word"))
+    words = words.filter(F.length("word") > 1)
+    stop = [word.lower() for word in stop_words]
+    if stop:
+        words = words.filter(~F.col("word").isin(*stop))
+    return words.filter(F.col("word") != F.lower(drop_category)) if drop_category else words
+
+
 def word_counts(df: DataFrame, text: str, *keys: str, stop_words: Iterable[str] = (), drop_category: str | None = None) -> DataFrame:
     """``keys, word, count``: partial counts in each task, then one shuffle of distinct words."""
-    words = df.select(*keys, F.explode(tokens(text, stop_words, drop_category)).alias("word"))
+    words = token_rows(df, text, *keys, stop_words=stop_words, drop_category=drop_category)
     return words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -31,7 +47,7 @@ def documents_with(df: DataFrame, doc: str, text: str, key: str, words: DataFram
     are broadcast and the tokens are not shuffled, beyond it AQE splits hot words.
     """
     words = pin(words.select(key, "word"))
-    found = df.select(doc, key, F.explode(F.array_distinct(tokens(text))).alias("word"))
+    found = token_rows(df, text, doc, key, distinct=True)
     return found.join(words, [key, "word"])
 
 

@@ -33,6 +33,10 @@ def _blocks(queries: DataFrame, query_id: str, size: int = QUERY_BLOCK) -> Itera
         yield queries.filter(chosen).orderBy(query_id).collect()
 
 
+def _kind(queries: DataFrame) -> str:
+    return queries.schema["query_id"].dataType.simpleString()
+
+
 def _merge_top(parts: list[DataFrame], k: int) -> DataFrame:
     hits = reduce(DataFrame.unionByName, parts)
     return top_per_key(hits, ["query_id"], [F.col("score").desc(), F.col("doc_id").asc()], k)
@@ -75,21 +79,63 @@ def lsh_signature(vectors: DataFrame, vector: str, tables: int = 8, bits: int =
     return vectors.mapInArrow(sign, schema)
 
 
-def _vector_hits(vectors, block, doc_id, vector, k, threshold, offset, buckets):
+def _keeper(ids: list, k: int, query_type: str, doc_type: str):
+    """Two functions for the tasks: merge scored rows into the running top lists, and emit those.
+
+    They hold all they need, so they travel with the job and the package need not be on the executors.
+    """
+
+    def keep(best, scores, names, floor):
+        import numpy as np
+
+        lowest = np.array([s[-1] if len(s) == k else -np.inf for s, _ in best])
+        highest = scores.max(axis=0) if len(scores) else np.full(len(ids), -np.inf)
+        for q in np.flatnonzero((highest >= np.maximum(lowest, floor)) & (highest > -np.inf)):
+            one = scores[:, q]
+            bound = max(floor, lowest[q])
+            if len(one) > k:
+                bound = max(bound, np.partition(one, len(one) - k)[len(one) - k])
+            chosen = (one >= bound) & (one > -np.inf)
+            s = np.concatenate([best[q][0], one[chosen]])
+            d = np.concatenate([best[q][1], names[chosen]])
+            order = sorted(range(len(s)), key=lambda i: (-s[i], d[i]))[:k]
+            best[q] = (s[order], d[order])
+
+    def emit(best):
+        import pyarrow as pa
+
+        kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+        found = [(ids[q], d, float(s)) for q in range(len(ids)) for s, d in zip(*best[q])]
+        columns = list(zip(*found)) or [(), (), ()]
+        kind = (kinds[query_type], kinds[doc_type], pa.float64())
+        arrays = [pa.array(list(c), t) for c, t in zip(columns, kind)]
+        return pa.RecordBatch.from_arrays(arrays, names=["query_id", "doc_id", "score"])
+
+    return keep, emit
+
+
+def _id_types(block: list, df: DataFrame, doc_id: str, query_type: str) -> tuple[list, str]:
+    doc_type = df.schema[doc_id].dataType.simpleString()
+    for kind in (query_type, doc_type):
+        if kind not in ("bigint", "int", "string"):
+            raise ValueError(f"ids are bigint, int or string, not {kind}")
+    return [row["query_id"] for row in block], doc_type
+
+
+def _vector_hits(vectors, block, doc_id, vector, k, threshold, offset, buckets, query_type):
     """Running top ``k`` per query over each task's rows; optionally only rows sharing a bucket."""
-    ids = [row["query_id"] for row in block]
+    ids, doc_type = _id_types(block, vectors, doc_id, query_type)
     targets = [row["vector"] for row in block]
     wanted = [row["buckets"] for row in block] if buckets else None
-    id_type = vectors.schema[doc_id].dataType.simpleString()
-    query_type = "bigint" if isinstance(ids[0], int) else "string"
+    keep, emit = _keeper(ids, k, query_type, doc_type)
 
     def search(batches):
         import numpy as np
-        import pyarrow as pa
 
         queries = np.asarray(targets, dtype="float64")
         queries = queries / np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-300)
         codes = np.asarray(wanted) if wanted is not None else None
+        floor = -np.inf if threshold is None else threshold
         best = [(np.empty(0), np.empty(0, dtype=object)) for _ in ids]
         for batch in batches:
             column = batch.column(0)
@@ -102,36 +148,24 @@ def _vector_hits(vectors, block, doc_id, vector, k, threshold, offset, buckets):
                 raise ValueError(f"vectors of length {rows.shape[1]}, queries of {queries.shape[1]}")
             names = np.asarray(batch.column(1).to_pylist(), dtype=object)[known]
             norms = np.linalg.norm(rows, axis=1)
-            keep = norms > 0
+            usable = norms > 0
             if codes is not None:
                 own = np.asarray(batch.column(2).filter(batch.column(0).is_valid()).to_pylist())
-                near = (own[:, None, :] == codes[None, :, :]).any(axis=2)
-                keep &= near.any(axis=1)
-            if not keep.any():
+                near = np.zeros((len(own), len(ids)), dtype=bool)
+                for table in range(own.shape[1]):
+                    near |= own[:, table, None] == codes[None, :, table]
+                usable &= near.any(axis=1)
+            if not usable.any():
                 continue
-            rows, names, norms = rows[keep], names[keep], norms[keep]
             # Rounded, so that equal vectors get equal scores wherever they are computed.
-            scores = np.round(rows @ queries.T / norms[:, None] + offset, 12)
+            scores = np.round(rows[usable] @ queries.T / norms[usable, None] + offset, 12)
             if codes is not None:
-                scores = np.where(near[keep], scores, -np.inf)
-            for q in range(len(ids)):
-                one = scores[:, q]
-                floor = -np.inf if threshold is None else threshold
-                if len(one) > k:
-                    floor = max(floor, np.partition(one, len(one) - k)[len(one) - k])
-                chosen = (one >= floor) & (one > -np.inf)
-                s = np.concatenate([best[q][0], one[chosen]])
-                d = np.concatenate([best[q][1], names[chosen]])
-                order = sorted(range(len(s)), key=lambda i: (-s[i], d[i]))[:k]
-                best[q] = (s[order], d[order])
-        found = [(ids[q], d, float(s)) for q in range(len(ids)) for s, d in zip(*best[q])]
-        yield pa.RecordBatch.from_pylist(
-            [{"query_id": a, "doc_id": b, "score": c} for a, b, c in found],
-            schema=pa.schema([("query_id", pa.int64() if query_type == "bigint" else pa.string()),
-                              ("doc_id", pa.int64() if id_type == "bigint" else pa.string()), ("score", pa.float64())]))
+                scores = np.where(near[usable], scores, -np.inf)
+            keep(best, scores, names[usable], floor)
+        yield emit(best)
 
     columns = [F.col(vector).alias("v"), F.col(doc_id).alias("d"), *([F.col("buckets")] if buckets else [])]
-    return vectors.select(*columns).mapInArrow(search, f"query_id {query_type}, doc_id {id_type}, score double")
+    return vectors.select(*columns).mapInArrow(search, f"query_id {query_type}, doc_id {doc_type}, score double")
 
 
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, doc_id: str, vector: str, k: int = 3,
@@ -140,9 +174,9 @@ def cosine_top_k(vectors: DataFrame, queries: DataFrame, doc_id: str, vector: st
 
     ``queries`` has ``query_id`` and ``vector``. Null and zero vectors are never hits.
     """
-    parts = [_vector_hits(vectors, block, doc_id, vector, k, threshold, offset, False)
+    parts = [_vector_hits(vectors, block, doc_id, vector, k, threshold, offset, False, _kind(queries))
              for block in _blocks(queries, "query_id") if block]
-    return _merge_top(parts, k)
+    return _merge_top(parts or [_no_hits(vectors, queries, doc_id)], k)
 
 
 def within_dates(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
@@ -160,9 +194,9 @@ def approx_knn(signed: DataFrame, queries: DataFrame, doc_id: str, vector: str,
     raise recall and cost.
     """
     keyed = lsh_signature(queries.withColumn("vector", F.col("vector").cast("array<float>")), "vector", tables, bits, seed)
-    parts = [_vector_hits(signed, block, doc_id, vector, k, None, 1.0, True)
+    parts = [_vector_hits(signed, block, doc_id, vector, k, None, 1.0, True, _kind(queries))
              for block in _blocks(keyed, "query_id") if block]
-    return _merge_top(parts, k)
+    return _merge_top(parts or [_no_hits(signed, queries, doc_id)], k)
 
 
 def text_match(documents: DataFrame, queries: DataFrame, doc_id: str, fields: Iterable[str], k: int = 10,
@@ -174,36 +208,41 @@ def text_match(documents: DataFrame, queries: DataFrame, doc_id: str, fields: It
     """
     fields = list(fields)
     lists = documents.select(doc_id, *[tokens(f).alias(f"t{i}") for i, f in enumerate(fields)])
-    asked = queries.select("query_id", F.array_distinct(tokens("text")).alias("terms"))
-    vocabulary = pin(asked.select(F.explode("terms").alias("term")).distinct())
-    stats = lists.agg(*[F.struct(
-        F.count_if(F.size(f"t{i}") > 0).alias("n"), F.avg(F.nullif(F.size(f"t{i}"), F.lit(0))).alias("length")).alias(f"s{i}")
-        for i in range(len(fields))]).first()
-    def marked(i):
-        return F.transform(F.array_distinct(f"t{i}"), lambda t: F.struct(F.lit(i).alias("field"), t.alias("term")))
-
-    pairs = F.concat(*[marked(i) for i in range(len(fields))])
-    seen = lists.select(F.inline(pairs)).join(vocabulary, "term", "left_semi")
-    frequency = seen.groupBy("term").agg(*[F.count_if(F.col("field") == i).alias(f"f{i}") for i in range(len(fields))])
-    weighted = pin(asked.select("query_id", F.explode("terms").alias("term")).join(frequency, "term")
-                   .groupBy("query_id").agg(F.collect_list(F.struct("term", *[f"f{i}" for i in range(len(fields))])).alias("terms")))
-    shape = [(row["n"], row["length"]) for row in stats]
-    parts = [_text_hits(lists, block, doc_id, shape, k, k1, b) for block in _blocks(weighted, "query_id", QUERY_BLOCK // 4) if block]
-    if not parts:
-        id_type = documents.schema[doc_id].dataType.simpleString()
-        query_type = queries.schema["query_id"].dataType.simpleString()
-        parts = [documents.sparkSession.createDataFrame([], f"query_id {query_type}, doc_id {id_type}, score double")]
-    return _merge_top(parts, k)
-
-
-def _text_hits(lists, block, doc_id, shape, k, k1, b):
-    ids = [row["query_id"] for row in block]
+    asked = queries.select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
+    # One pass gives document frequencies and lengths: every text also counts under the empty term.
+    marker = queries.sparkSession.createDataFrame([("",)], "term string")
+    vocabulary = pin(asked.select("term").unionByName(marker).distinct())
+    per_field = lists.select(F.posexplode(F.array(*[f"t{i}" for i in range(len(fields))])).alias("field", "terms"))
+    filled = per_field.filter(F.size("terms") > 0).withColumn("length", F.size("terms"))
+    terms = F.explode(F.array_append(F.array_distinct("terms"), F.lit(""))).alias("term")
+    seen = filled.select("field", "length", terms).join(vocabulary, "term", "left_semi")
+    frequency = pin(seen.groupBy("term").agg(
+        *[F.count_if(F.col("field") == i).alias(f"f{i}") for i in range(len(fields))],
+        *[F.avg(F.when(F.col("field") == i, F.col("length"))).alias(f"l{i}") for i in range(len(fields))]))
+    stats = frequency.filter(F.col("term") == "").first()
+    if stats is None:
+        return _merge_top([_no_hits(documents, queries, doc_id)], k)
+    weights = F.collect_list(F.struct("term", *[f"f{i}" for i in range(len(fields))])).alias("terms")
+    weighted = asked.join(frequency, "term").groupBy("query_id").agg(weights)
+    shape = [(stats[f"f{i}"], stats[f"l{i}"]) for i in range(len(fields))]
+    parts = [_text_hits(lists, block, doc_id, shape, k, k1, b, _kind(queries))
+             for block in _blocks(weighted, "query_id", QUERY_BLOCK // 4) if block]
+    return _merge_top(parts or [_no_hits(documents, queries, doc_id)], k)
+
+
+def _no_hits(documents: DataFrame, queries: DataFrame, doc_id: str) -> DataFrame:
+    fields = [T.StructField("query_id", queries.schema["query_id"].dataType),
+              T.StructField("doc_id", documents.schema[doc_id].dataType), T.StructField("score", T.DoubleType())]
+    return documents.sparkSession.createDataFrame([], T.StructType(fields))
+
+
+def _text_hits(lists, block, doc_id, shape, k, k1, b, query_type):
+    ids, doc_type = _id_types(block, lists, doc_id, query_type)
     terms = sorted({term["term"] for row in block for term in row["terms"]})
     place = {term: i for i, term in enumerate(terms)}
     pairs = sorted((place[term["term"]], q) for q, row in enumerate(block) for term in row["terms"])
-    counts = {place[term["term"]]: tuple(term[f"f{i}"] or 0 for i in range(len(shape))) for row in block for term in row["terms"]}
-    id_type = lists.schema[doc_id].dataType.simpleString()
-    query_type = "bigint" if isinstance(ids[0], int) else "string"
+    counts = {place[term["term"]]: [term[f"f{i}"] for i in range(len(shape))] for row in block for term in row["terms"]}
+    keep, emit = _keeper(ids, k, query_type, doc_type)
 
     def search(batches):
         import numpy as np
@@ -219,8 +258,8 @@ def _text_hits(lists, block, doc_id, shape, k, k1, b):
         idf = [np.log(1.0 + (n - df[:, f] + 0.5) / (df[:, f] + 0.5)) for f, (n, _) in enumerate(shape)]
         best = [(np.empty(0), np.empty(0, dtype=object)) for _ in ids]
         for large in batches:
-            for start in range(0, large.num_rows, 256):
-                batch = large.slice(start, 256)
+            for start in range(0, large.num_rows, 512):
+                batch = large.slice(start, 512)
                 rows, names = batch.num_rows, np.asarray(batch.column(0).to_pylist(), dtype=object)
                 scores = np.zeros((rows, width))
                 for f, (_, mean) in enumerate(shape):
@@ -238,21 +277,10 @@ def _text_hits(lists, block, doc_id, shape, k, k1, b):
                     total = np.bincount(np.repeat(row, repeat) * width + query, np.repeat(weight, repeat), rows * width)
                     scores = np.maximum(scores, total.reshape(rows, width))
                 scores = np.round(scores, 9)
-                for q in range(len(ids)):
-                    one = scores[:, q]
-                    floor = np.partition(one, rows - k)[rows - k] if rows > k else 0.0
-                    chosen = (one >= floor) & (one > 0)
-                    s = np.concatenate([best[q][0], one[chosen]])
-                    d = np.concatenate([best[q][1], names[chosen]])
-                    order = sorted(range(len(s)), key=lambda i: (-s[i], d[i]))[:k]
-                    best[q] = (s[order], d[order])
-        found = [(ids[q], d, float(s)) for q in range(len(ids)) for s, d in zip(*best[q])]
-        yield pa.RecordBatch.from_pylist(
-            [{"query_id": a, "doc_id": c, "score": s} for a, c, s in found],
-            schema=pa.schema([("query_id", pa.int64() if query_type == "bigint" else pa.string()),
-                              ("doc_id", pa.int64() if id_type == "bigint" else pa.string()), ("score", pa.float64())]))
+                keep(best, np.where(scores > 0, scores, -np.inf), names, -np.inf)
+        yield emit(best)
 
-    return lists.mapInArrow(search, f"query_id {query_type}, doc_id {id_type}, score double")
+    return lists.mapInArrow(search, f"query_id {query_type}, doc_id {doc_type}, score double")
 
 
 def normalised(hits: DataFrame, out: str) -> DataFrame:

@@ -16,7 +16,7 @@ SECTION_SQL = " ".join(
 
 @query("section_extract", oracle=f"SELECT doc_id, CASE {SECTION_SQL} ELSE 'not found' END AS section FROM documents")
 def section_extract(t):
-    return t.documents.select("doc_id", text.first_section("text", SECTION_PATTERNS, "not found").alias("section"))
+    return t.wide("documents").select("doc_id", text.first_section("text", SECTION_PATTERNS, "not found").alias("section"))
 
 
 @query("notice_sections", oracle="""

@@ -111,7 +111,7 @@ SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace
     '\\s+', ' ', 'g')) AS text
 FROM pages""")
 def html_text(t):
-    return t.pages.select("page_id", pages.readable_text("html").alias("text"))
+    return t.wide("pages").select("page_id", pages.readable_text("html").alias("text"))
 
 
 @query("html_list_items", oracle="""
