@@ -29,11 +29,12 @@ def brute_positions(rows):
     return {i: n for items in groups.values() for n, (_, i) in enumerate(sorted(items), 1)}
 
 
-def test_positions_of_hot_keys(spark, hot):
+@pytest.mark.parametrize("hot_rows", [0, 500, 1_000_000])
+def test_positions_of_hot_keys(spark, hot, hot_rows):
     rows, df = hot
-    placed = ranking.with_positions(df, ["k"], ["v", "i"])
+    placed = ranking.with_positions(df, ["k"], ["v", "i"], hot_rows=hot_rows)
     assert {r.i: r.position for r in placed.collect()} == brute_positions(rows)
-    descending = ranking.with_positions(df, ["k"], ["v", "i"], descending=True).filter("k = 'hot'")
+    descending = ranking.with_positions(df, ["k"], ["v", "i"], descending=True, hot_rows=hot_rows).filter("k = 'hot'")
     assert [r.i for r in descending.orderBy("position").collect()] == [i for v, i in sorted(((v, i) for k, v, i in rows if k == "hot"), reverse=True)]
 
 
@@ -55,8 +56,9 @@ def test_positions_without_key_and_empty(spark, hot):
     assert ranking.with_positions(df.filter("i < 0"), ["k"], ["i"]).count() == 0
 
 
-def test_chunks_keep_everything(spark, hot):
+def test_chunks_keep_everything(spark, hot, monkeypatch):
     rows, df = hot
+    monkeypatch.setattr(ranking, "HOT_ROWS", 500)
     lists = ranking.list_chunks(df, ["k"], "i", ["v", "i"], 100).collect()
     assert max(len(r["items"]) for r in lists) == 100
     joined = [i for r in sorted((r for r in lists if r.k == "hot"), key=lambda r: r.chunk) for i in r["items"]]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,12 +74,11 @@ def facet_counts(df: DataFrame, facets: list[str], by: list[str], all_marker: st
     ``grouping`` tells a null facet value from the ALL rows.
     """
     counted = df.groupBy(*by, *facets).agg(F.count(F.lit(1)).alias("n"))
-    cube = counted.cube(*by, *facets).agg(
-        F.sum("n").alias("n"), *[F.grouping(c).alias(f"__g_{c}") for c in [*by, *facets]])
-    for column in by:
-        cube = cube.filter(F.col(f"__g_{column}") == 0)
+    chosen = [[*by, *subset] for n in range(len(facets) + 1) for subset in combinations(facets, n)]
+    sets = counted.groupingSets(chosen, *by, *facets)
+    totals = sets.agg(F.sum("n").alias("n"), *[F.grouping(c).alias(f"__g_{c}") for c in facets])
     named = [F.when(F.col(f"__g_{c}") == 1, F.lit(all_marker)).otherwise(F.col(c)).alias(c) for c in facets]
-    return cube.select(*by, *named, "n")
+    return totals.select(*by, *named, "n")
 
 
 def regression_metrics(df: DataFrame, keys: Iterable[str], actual: str, predicted: str) -> DataFrame:

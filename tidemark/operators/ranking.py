@@ -21,18 +21,47 @@ def top_per_key(df: DataFrame, keys: Iterable[str], order: Iterable[Column], n:
     return df.withColumn(rank, F.row_number().over(window).cast("bigint")).filter(F.col(rank) <= n)
 
 
+# Above this many rows a key's positions are made from many partitions instead of one sort.
+HOT_ROWS = 100_000
+
+
 def with_positions(df: DataFrame, keys: Iterable[str], order: Iterable[str], position: str = "position",
-                   descending: bool = False) -> DataFrame:
+                   descending: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Position from 1 within each key, exact, for groups of any size.
 
-    A window would sort a whole group in one task. Here a range partitioning on keys and order
-    columns cuts a hot group into many partitions; each row gets its offset within its partition,
-    and the small table of row counts by (partition, key) gives what comes before it. The
-    partition number is placement, so the rows are pinned in the shared folder first.
-    ``order`` columns must be unique within a key.
+    Keys of at most ``hot_rows`` rows take a window, one sort of bounded size per key. Larger keys,
+    found by a count of the key columns alone, and the case without keys go through
+    :func:`spread_positions`. ``order`` columns must be unique within a key.
     """
     keys, order = list(keys), list(order)
-    sort = [F.col(k) for k in keys] + [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    if not keys:
+        return spread_positions(df, keys, order, position, descending)
+    window = Window.partitionBy(*keys).orderBy(*_sorting(order, descending))
+    row_number = F.row_number().over(window).cast("bigint")
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = pin(sizes.filter(F.col("__rows") > (HOT_ROWS if hot_rows is None else hot_rows)).select(*keys))
+    if hot.isEmpty():
+        return df.withColumn(position, row_number)
+    match = F.lit(True)
+    for key in keys:
+        match = match & df[key].eqNullSafe(hot[key])
+    usual = df.join(hot, match, "left_anti").withColumn(position, row_number)
+    return usual.unionByName(spread_positions(df.join(hot, match, "left_semi"), keys, order, position, descending))
+
+
+def _sorting(order: list[str], descending: bool) -> list[Column]:
+    return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+
+
+def spread_positions(df: DataFrame, keys: list[str], order: list[str], position: str = "position",
+                     descending: bool = False) -> DataFrame:
+    """Positions per key without putting a key into one task.
+
+    A range partitioning on keys and order columns cuts a hot key into many partitions; each row
+    gets its offset within its partition, and the small table of row counts by (partition, key)
+    gives what comes before it. The partition number is placement, so the rows are pinned first.
+    """
+    sort = [F.col(k) for k in keys] + _sorting(order, descending)
     low_bits = F.lit((1 << 33) - 1)
     placed = pin(
         df.repartitionByRange(*sort).sortWithinPartitions(*sort)
@@ -42,9 +71,9 @@ def with_positions(df: DataFrame, keys: Iterable[str], order: Iterable[str], pos
     pieces = placed.groupBy("__part", *keys).agg(F.count(F.lit(1)).alias("__rows"), F.min("__row").alias("__first"))
     before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
-        "__part", *[F.col(k).alias(f"__k_{k}") for k in keys],
+        F.col("__part").alias("__piece"), *[F.col(k).alias(f"__k_{k}") for k in keys],
         (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift"),
-    ).withColumnRenamed("__part", "__piece")
+    )
     match = placed["__part"] == offsets["__piece"]
     for k in keys:
         match = match & placed[k].eqNullSafe(offsets[f"__k_{k}"])
@@ -94,15 +123,17 @@ def rank_band(counts: DataFrame, key: str, word: str, count: str, low: str = "0.
 
 
 def page(df: DataFrame, order: Iterable[str], number: int, size: int = 5) -> DataFrame:
-    """Page ``number`` in key order with its page number; past the end gives the last page."""
+    """Page ``number`` in key order with its page number; past the end gives the last page.
+
+    Only the key columns are ranked; the few keys of the page then pick the whole rows.
+    """
     order = list(order)
-    placed = with_positions(df, [], order)
+    placed = with_positions(df.select(*order), [], order)
     pages = placed.agg(F.greatest(page_count(F.count(F.lit(1)), size), F.lit(1))).scalar()
     wanted = F.greatest(F.least(F.lit(number).cast("bigint"), pages), F.lit(1).cast("bigint"))
-    return (
-        placed.withColumn("page", F.ceil(F.col("position") / F.lit(size)).cast("bigint"))
-        .filter(F.col("page") == wanted).orderBy("position").drop("position")
-    )
+    numbered = placed.withColumn("page", F.ceil(F.col("position") / F.lit(size)).cast("bigint"))
+    chosen = pin(numbered.filter(F.col("page") == wanted))
+    return df.join(chosen, order).orderBy("position").select(*df.columns, "page")
 
 
 def newest(df: DataFrame, order: Iterable[Column], n: int) -> DataFrame:
@@ -127,7 +158,7 @@ def cascade(df: DataFrame, key: str, value: str, spread: Column, first: int, sec
 def first_per_category(df: DataFrame, category: str, order: str, columns: Iterable[str]) -> DataFrame:
     """The row with the smallest ``order`` of each category, by partial aggregation."""
     fields = [order, *columns]
-    head = F.min_by(F.struct(*fields), F.col(order)).alias("head")
+    head = F.min(F.struct(*fields)).alias("head")
     return df.groupBy(category).agg(head).select(category, *[F.col(f"head.{c}") for c in fields])
 
 
