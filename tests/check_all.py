@@ -1,5 +1,6 @@
 """Run registered queries against their SQL twins: check_all.py [folder] [name-prefix ...]."""
 
+import os
 import sys
 import time
 import traceback
@@ -17,7 +18,7 @@ def main() -> int:
 
     spark = session.build("check", "local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
-    connection = compare.connect(folder)
+    connection = compare.connect(os.environ.get("CHECK_DUCK_DIR", folder))
     oracles, failed = entry.oracle_sql(), []
     for name, function in entry.queries().items():
         if prefixes and not any(name.startswith(prefix) for prefix in prefixes):

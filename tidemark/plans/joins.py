@@ -160,3 +160,13 @@ def ring_centroid(t):
     ring = F.array(*[F.struct(x.alias("lon"), y.alias("lat")) for x, y in corners])
     centre = geometry.centroid(F.array(ring))
     return box.select("n_nationkey", "n_name", centre.alias("c")).select("n_nationkey", "n_name", F.round("c.lon", 8).alias("lon"), F.round("c.lat", 8).alias("lat"))
+
+
+@query("code_lookup", oracle="""
+WITH codes AS (SELECT n_name AS name, upper(substring(md5(n_name), 1, 3)) AS code FROM nation WHERE n_regionkey <> 1)
+SELECT c_custkey, n_name, code FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN codes ON name = n_name""")
+def code_lookup(t):
+    """Country code by exact name; a name the dimension lacks gives null."""
+    codes = t.nation.filter(F.col("n_regionkey") != 1).select(F.col("n_name").alias("name"), F.upper(F.substring(F.md5("n_name"), 1, 3)).alias("code"))
+    named = t.customer.select("c_custkey", "c_nationkey").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return joins.lookup_with_default(named.select("c_custkey", "n_name"), codes, "n_name", "name", {"code": None})
