@@ -43,7 +43,7 @@ def test_cards(spark):
     assert matrix["해외 신용(개인)"]["삼성카드"] == 0.0
     totals = dashboards.card_totals(sales).first()
     assert totals["롯데카드"] == 3.0 and round(totals.axis_bound, 6) == 26.4
-    paths = {r["결제 방법"]: r.shown for r in dashboards.card_paths(sales).collect()}
+    paths = {r["결제 방법"]: r.shown for r in dashboards.card_paths(sales, fixed.CARD_ISSUERS[4]).collect()}
     assert paths == {"일시불": "5.0M", "할부": "10.0M"}
 
 

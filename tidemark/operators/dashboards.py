@@ -42,7 +42,7 @@ def card_totals(card_sales: DataFrame) -> DataFrame:
     return aggregates.column_totals(aggregates.latest_period(card_sales, fixed.CARD_MONTH), list(fixed.CARD_ISSUERS))
 
 
-def card_paths(card_sales: DataFrame, issuer: str = "우리카드") -> DataFrame:
+def card_paths(card_sales: DataFrame, issuer: str) -> DataFrame:
     """Positive sums of one issuer along the four keys for the newest month, with display text."""
     latest = aggregates.latest_period(card_sales, fixed.CARD_MONTH)
     sums = aggregates.group_sum_positive(latest, list(fixed.CARD_KEYS), issuer)

@@ -18,13 +18,13 @@ def group_mean(t):
 
 
 @query("group_sum_positive", oracle="""
-SELECT l_returnflag, l_linestatus, l_linenumber, year(l_shipdate) AS year, round(sum(l_extendedprice * (l_discount - 0.05)), 2) AS total
+SELECT l_returnflag, l_linestatus, l_linenumber, year(l_shipdate) AS year, round(sum(l_extendedprice * (l_discount - 0.05)), 4) AS total
 FROM lineitem GROUP BY ALL HAVING sum(l_extendedprice * (l_discount - 0.05)) > 0""")
 def group_sum_positive(t):
     rows = t.lineitem.select("l_returnflag", "l_linestatus", "l_linenumber", F.year("l_shipdate").alias("year"),
                              (F.col("l_extendedprice") * (F.col("l_discount") - 0.05)).alias("amount"))
     sums = aggregates.group_sum_positive(rows, ["l_returnflag", "l_linestatus", "l_linenumber", "year"], "amount")
-    return sums.withColumn("total", F.round("total", 2))
+    return sums.withColumn("total", F.round("total", 4))
 
 
 FLAG_ROWS = [(flag, status) for flag in "ANRX" for status in "FO"]
@@ -49,25 +49,23 @@ def column_totals(t):
 
 
 @query("collect_values", oracle="""
-SELECT r_name || ' nations' AS region, CAST(0 AS BIGINT) AS chunk, string_agg(n_name, ',' ORDER BY n_name) AS names
-FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+WITH r AS (SELECT c_mktsegment || ' customers' AS segment, c_name, (row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_name) - 1) // 1000 AS chunk FROM customer)
+SELECT segment, chunk, string_agg(c_name, ',' ORDER BY c_name) AS names FROM r GROUP BY segment, chunk""")
 def collect_values(t):
-    rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    named = rows.select(F.concat("r_name", F.lit(" nations")).alias("region"), "n_name")
-    lists = ranking.list_chunks(named, ["region"], "n_name", ["n_name"], 1000)
-    return lists.select("region", "chunk", F.array_join("items", ",").alias("names"))
+    named = t.customer.select(F.concat("c_mktsegment", F.lit(" customers")).alias("segment"), "c_name")
+    lists = ranking.list_chunks(named, ["segment"], "c_name", ["c_name"], 1000)
+    return lists.select("segment", "chunk", F.array_join("items", ",").alias("names"))
 
 
 @query("catalog_digest", oracle="""
-SELECT r_name AS table_name, CAST(0 AS BIGINT) AS chunk,
-       string_agg(n_name || ' (bigint): key ' || n_nationkey, ', ' ORDER BY n_name) AS columns
-FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+WITH r AS (SELECT p_brand AS table_name, p_type AS table_description, p_partkey, p_name || ' (' || p_size || '): key ' || p_partkey AS col,
+  (row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey) - 1) // 1000 AS chunk FROM part)
+SELECT table_name, table_description, chunk, string_agg(col, ', ' ORDER BY p_partkey) AS columns FROM r GROUP BY table_name, table_description, chunk""")
 def catalog_digest(t):
-    rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    described = rows.select(F.col("r_name").alias("table_name"), "n_name",
-                            F.format_string("%s (bigint): key %d", "n_name", "n_nationkey").alias("column"))
-    lists = ranking.list_chunks(described, ["table_name"], "column", ["n_name"], 1000)
-    return lists.select("table_name", "chunk", F.array_join("items", ", ").alias("columns"))
+    described = t.part.select(F.col("p_brand").alias("table_name"), F.col("p_type").alias("table_description"), "p_partkey",
+                              F.format_string("%s (%d): key %d", "p_name", "p_size", "p_partkey").alias("column"))
+    lists = ranking.list_chunks(described, ["table_name", "table_description"], "column", ["p_partkey"], 1000)
+    return lists.select("table_name", "table_description", "chunk", F.array_join("items", ", ").alias("columns"))
 
 
 @query("word_count", oracle="""
@@ -241,13 +239,13 @@ x AS (SELECT c_mktsegment, CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WH
 
 
 @query("segment_category_profile", oracle=f"""
-WITH {SPEND} SELECT c_mktsegment, category, round(avg(o_totalprice), 4) AS amount,
+WITH {SPEND} SELECT c_mktsegment, category, round(avg(o_totalprice), 6) AS amount,
   row_number() OVER (PARTITION BY c_mktsegment ORDER BY avg(o_totalprice) DESC, category) AS rank FROM x GROUP BY c_mktsegment, category QUALIFY rank <= 3""")
 def segment_category_profile(t):
     wide, names = _spend(t)
     profile = aggregates.segment_profile(wide, "c_mktsegment", names)
     top = ranking.top_per_key(profile, ["c_mktsegment"], [F.col("amount").desc(), F.col("category")], 3)
-    return top.withColumn("amount", F.round("amount", 4))
+    return top.withColumn("amount", F.round("amount", 6))
 
 
 @query("segment_method_sum", oracle=f"""

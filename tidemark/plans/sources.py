@@ -179,12 +179,12 @@ def json_records(t):
 
 
 @query("sink_jsonl", oracle="""
-SELECT r_regionkey, r_name FROM region UNION ALL SELECT n_nationkey, n_name FROM nation""")
+SELECT s_suppkey AS key, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer""")
 def sink_jsonl(t):
     path = run_folder(t.spark, "lines")
-    sinks.json_lines(t.region.select("r_regionkey", "r_name"), path)
-    sinks.json_lines(t.nation.select(F.col("n_nationkey").alias("r_regionkey"), F.col("n_name").alias("r_name")), path)
-    return t.spark.read.schema("r_regionkey bigint, r_name string").json(path)
+    sinks.json_lines(t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")), path)
+    sinks.json_lines(t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")), path)
+    return t.spark.read.schema("key bigint, name string").json(path)
 
 
 @query("bulk_load", oracle="SELECT c_custkey, c_mktsegment FROM customer")
