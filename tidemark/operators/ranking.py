@@ -110,6 +110,7 @@ def rank_band(counts: DataFrame, key: str, word: str, count: str, low: str = "0.
     Keeps positions ``int(low*n)`` up to ``int(high*n)`` counted from 0, by count then word. The
     bounds are decimals, so that 0.7 of a multiple of ten is exact.
     """
+    counts = pin(counts.select(key, word, count))
     totals = counts.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
     placed = with_positions(counts, [key], [count, word])
     index = F.col("position") - 1

@@ -25,9 +25,12 @@ QUERY_BLOCK = 512
 
 
 def _blocks(queries: DataFrame, query_id: str, size: int = QUERY_BLOCK) -> Iterator[list]:
-    """The queries in hash blocks of about ``size`` rows."""
-    count = queries.count()
-    blocks = max(1, -(-count // size))
+    """The queries in blocks of about ``size`` rows: one if they fit, else hash blocks of all of them."""
+    few = queries.limit(size + 1).collect()
+    if len(few) <= size:
+        yield sorted(few, key=lambda row: row[query_id])
+        return
+    blocks = -(-queries.count() // size)
     for block in range(blocks):
         chosen = F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block
         yield queries.filter(chosen).orderBy(query_id).collect()
@@ -226,7 +229,7 @@ def text_match(documents: DataFrame, queries: DataFrame, doc_id: str, fields: It
     weighted = asked.join(frequency, "term").groupBy("query_id").agg(weights)
     shape = [(stats[f"f{i}"], stats[f"l{i}"]) for i in range(len(fields))]
     parts = [_text_hits(lists, block, doc_id, shape, k, k1, b, _kind(queries))
-             for block in _blocks(weighted, "query_id", QUERY_BLOCK // 4) if block]
+             for block in _blocks(weighted, "query_id") if block]
     return _merge_top(parts or [_no_hits(documents, queries, doc_id)], k)
 
 

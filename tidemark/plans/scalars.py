@@ -6,6 +6,7 @@ from tidemark.functions import dates, text
 from tidemark.operators import keywords, ranking
 from tidemark.plans import query
 from tidemark.plans.joins import TOP_WORDS
+from tidemark.session import pin
 from tidemark.sources import sinks
 
 # Sections of the test prose: from one common word to the next, in two spellings.
@@ -157,7 +158,7 @@ def related_items(t):
     """Related documents of each top word, all of them, in lists of a hundred."""
     documents = t.wide("documents")
     top = keywords.top_words(keywords.word_counts(documents, "text", "lang"), "lang", 15)
-    matches = keywords.documents_with(documents, "doc_id", "text", "lang", top)
+    matches = pin(keywords.documents_with(documents, "doc_id", "text", "lang", top))
     lists = ranking.list_chunks(matches, ["lang", "word"], "doc_id", ["doc_id"], 100)
     return lists.withColumn("items", F.array_join(F.col("items").cast("array<string>"), ","))
 
