@@ -62,10 +62,13 @@ def distinct_per_group(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def path_totals(df: DataFrame, path: list[str], value: str) -> DataFrame:
-    """Totals at every level of a path; ``level`` counts the leading columns that are set."""
-    complete = df.dropna(subset=path)
+    """Totals at every level of a path; ``level`` counts the leading columns that are set.
+
+    Leaf sums come first, so that the rollup expands the leaves and not the rows.
+    """
+    leaves = df.dropna(subset=path).groupBy(*path).agg(F.sum(value).alias("total"))
     level = F.lit(len(path)) - F.bit_count(F.grouping_id())
-    return complete.rollup(*path).agg(F.sum(value).alias("total"), level.cast("bigint").alias("level"))
+    return leaves.rollup(*path).agg(F.sum("total").alias("total"), level.cast("bigint").alias("level"))
 
 
 def facet_counts(df: DataFrame, facets: list[str], by: list[str], all_marker: str = "ALL") -> DataFrame:

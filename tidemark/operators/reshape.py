@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import pin
+
 
 def unpivot(df: DataFrame, ids: list[str], values: list[str], name: str = "variable", value: str = "value") -> DataFrame:
     """One row per id and column; null values are kept."""
@@ -17,19 +20,17 @@ def outer_merge(series: Iterable[tuple[str, DataFrame]], period: str = "period",
     """Series side by side on their period, one shuffle for any number of them.
 
     An empty series before the first one with rows has no column, a later one a column of nulls.
+    The long rows are written once; which series have rows is read from there.
     """
     series = list(series)
     names = [name for name, _ in series]
-    empty = [df.isEmpty() for _, df in series]
-    lead = empty.index(False) if False in empty else len(names)
-    kept = series[lead:]
-    if not kept:
-        return series[0][1].select(period).limit(0)
-    long = None
-    for name, df in kept:
-        part = df.select(period, F.lit(name).alias("__series"), value)
-        long = part if long is None else long.unionByName(part)
-    return pivot(long.filter(F.col(period).isNotNull()), [period], "__series", names[lead:], value, "first")
+    parts = [df.select(period, F.lit(name).alias("__series"), value) for name, df in series]
+    long = pin(reduce(DataFrame.unionByName, parts).filter(F.col(period).isNotNull()))
+    filled = {row[0] for row in long.select("__series").distinct().collect()}
+    lead = next((i for i, name in enumerate(names) if name in filled), len(names))
+    if lead == len(names):
+        return long.select(period)
+    return pivot(long, [period], "__series", names[lead:], value, "first")
 
 
 def pivot(df: DataFrame, keys: list[str], names: str, values: list[str], value: str, statistic: str = "avg") -> DataFrame:

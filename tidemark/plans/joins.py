@@ -21,15 +21,12 @@ SELECT strftime(ts, '%Y-%m-%d') AS period, round(avg(value) FILTER (event_type =
 FROM events WHERE (event_type = 'click' AND value > 0) OR (event_type = 'view' AND value > 150) OR (event_type = 'purchase' AND value > 200)
 GROUP BY 1""")
 def outer_merge_series(t):
-    events = t.events
-
-    def one(kind, floor):
-        rows = events.filter((F.col("event_type") == kind) & (F.col("value") > floor))
-        return series.daily_series(rows, "event_type", "ts", "value").select("period", "value")
-
-    merged = reshape.outer_merge([
-        ("chargeback", one("chargeback", 0.0)), ("click", one("click", 0.0)), ("view_high", one("view", 150.0)),
-        ("refund", one("refund", 0.0)), ("purchase_high", one("purchase", 200.0))])
+    kind, value = F.col("event_type"), F.col("value")
+    name = F.when((kind == "click") & (value > 0), "click").when((kind == "view") & (value > 150), "view_high")
+    named = t.events.withColumn("name", name.when((kind == "purchase") & (value > 200), "purchase_high"))
+    rows = pin(series.daily_series(named, "name", "ts", "value"))
+    order = ["chargeback", "click", "view_high", "refund", "purchase_high"]
+    merged = reshape.outer_merge([(n, rows.filter(F.col("series") == n).select("period", "value")) for n in order])
     names = [c for c in merged.columns if c != "period"]
     return merged.orderBy("period").select(F.col("period").cast("string").alias("period"), *[F.round(c, 8).alias(c) for c in names])
 
