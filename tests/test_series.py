@@ -28,6 +28,14 @@ def test_fills(spark):
     assert column(series.fill_mean(df), "filled") == [None, 1.0, 2.0, 3.0, None, None, None, 5.0]
 
 
+def test_chunked_fills_agree(spark):
+    draw = random.Random(9)
+    df = long(spark, **{f"s{k}": [draw.choice([None, None, None, float(i)]) for i in range(150)] for k in range(4)}, none=[None] * 70, one=[1.0])
+    for fill in (series.forward_fill, series.fill_both, series.fill_mean):
+        for chunk in (F.trunc("period", "MM"), F.lit(1), F.col("period")):
+            assert column(fill(df, chunk=chunk), "filled") == column(fill(df), "filled")
+
+
 def test_direction_and_runs(spark):
     df = long(spark, a=[1.0, 1.0, 2.0, 1.0], k=[4.0, 4.0])
     assert column(series.direction(df), "direction") == [0, 0, 1, -1, 0, 0]

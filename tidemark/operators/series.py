@@ -32,22 +32,48 @@ def _from_here():
     return _ordered().rowsBetween(Window.currentRow, Window.unboundedFollowing)
 
 
-def forward_fill(df: DataFrame, out: str = "filled") -> DataFrame:
-    """Last known value; leading nulls stay."""
-    return df.withColumn(out, F.last("value", ignorenulls=True).over(_so_far()))
+def _known_around(df: DataFrame, chunk: Column | None) -> DataFrame:
+    """Adds ``__back`` and ``__ahead``: the last known value up to the row, the next known from it on."""
+    if chunk is None:
+        return df.withColumns({
+            "__back": F.last("value", ignorenulls=True).over(_so_far()),
+            "__ahead": F.first("value", ignorenulls=True).over(_from_here()),
+        })
+    rows = df.withColumn("__chunk", chunk)
+    stamp = F.when(F.col("value").isNotNull(), F.col("period"))
+    ends = rows.groupBy("series", "__chunk").agg(F.max_by("value", stamp).alias("newest"), F.min_by("value", stamp).alias("oldest"))
+    chunks = Window.partitionBy("series").orderBy("__chunk")
+    carried = ends.select(
+        F.col("series").alias("__s"), F.col("__chunk").alias("__c"),
+        F.last("newest", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("__in"),
+        F.first("oldest", ignorenulls=True).over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("__out"))
+    joined = rows.join(carried, F.col("series").eqNullSafe(F.col("__s")) & F.col("__chunk").eqNullSafe(F.col("__c")))
+    inside = _ordered(("series", "__chunk"))
+    back = F.last("value", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ahead = F.first("value", ignorenulls=True).over(inside.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    return joined.withColumns({"__back": F.coalesce(back, "__in"), "__ahead": F.coalesce(ahead, "__out")}).select(
+        *df.columns, "__back", "__ahead")
+
+
+def forward_fill(df: DataFrame, out: str = "filled", chunk: Column | None = None) -> DataFrame:
+    """Last known value; leading nulls stay.
+
+    All fills take ``chunk`` for series too long for one task, such as raw rows instead of one per
+    period: an expression that never decreases with ``period``, like its month. Then only a chunk
+    is sorted together, and what is known before and after it comes from a small table of chunk ends.
+    """
+    return _known_around(df, chunk).withColumn(out, F.col("__back")).drop("__back", "__ahead")
 
 
-def fill_both(df: DataFrame, out: str = "filled") -> DataFrame:
+def fill_both(df: DataFrame, out: str = "filled", chunk: Column | None = None) -> DataFrame:
     """Last known value, before the first one the next known."""
-    ahead = F.first("value", ignorenulls=True).over(_from_here())
-    return df.withColumn(out, F.coalesce(F.last("value", ignorenulls=True).over(_so_far()), ahead))
+    return _known_around(df, chunk).withColumn(out, F.coalesce("__back", "__ahead")).drop("__back", "__ahead")
 
 
-def fill_mean(df: DataFrame, out: str = "filled") -> DataFrame:
+def fill_mean(df: DataFrame, out: str = "filled", chunk: Column | None = None) -> DataFrame:
     """Mean of the previous and next known values; null when either side has none."""
-    back = F.last("value", ignorenulls=True).over(_so_far())
-    ahead = F.first("value", ignorenulls=True).over(_from_here())
-    return df.withColumn(out, (back + ahead) / F.lit(2.0))
+    around = _known_around(df, chunk)
+    return around.withColumn(out, (F.col("__back") + F.col("__ahead")) / F.lit(2.0)).drop("__back", "__ahead")
 
 
 def direction(df: DataFrame, out: str = "direction") -> DataFrame:

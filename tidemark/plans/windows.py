@@ -29,6 +29,19 @@ def forward_fill(t):
     return shown(series.forward_fill(gapped(t)), "value", "filled")
 
 
+# Raw events as one long series per type: nearly every stamp is its own row, so chunks of an hour are used.
+RAW = "d AS (SELECT event_id, event_type AS series, ts, CASE WHEN value > 100 THEN value END AS value FROM events)"
+
+
+@query("forward_fill_raw", oracle=f"""
+WITH {RAW} SELECT event_id, series, value, last_value(value IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts, event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM d""")
+def forward_fill_raw(t):
+    value = F.when(F.col("value") > 100, F.col("value"))
+    raw = t.events.select("event_id", F.col("event_type").alias("series"), F.struct("ts", "event_id").alias("period"), value.alias("value"))
+    return series.forward_fill(raw, chunk=F.date_trunc("hour", "period.ts")).select("event_id", "series", "value", "filled")
+
+
 @query("fill_both", oracle=f"""
 WITH {GAPPED} SELECT series, CAST(period AS VARCHAR) AS period,
   round(coalesce(last_value(value IGNORE NULLS) {PAST}, first_value(value IGNORE NULLS) {AHEAD}), 8) AS filled FROM d""")
