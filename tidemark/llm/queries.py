@@ -24,7 +24,7 @@ LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
 NGRAM_SQL = f"""
 WITH RECURSIVE split AS (SELECT doc_id, {WORDS_SQL.format(LOWER_SQL)} AS w FROM documents),
 grams AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
-  ELSE list_transform(range(1, len(w) - 3), i -> list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS g FROM split),
+  ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS g FROM split),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
@@ -51,9 +51,9 @@ WITH RECURSIVE weights(lane, weight) AS (VALUES {", ".join(f"('{name}', {w})" fo
 lanes AS (SELECT row_number() OVER (ORDER BY lane) AS i, lane, weight FROM weights),
 total AS (SELECT sum(weight)::BIGINT AS period, count(*) AS n FROM weights),
 edf AS (
-  SELECT -1::BIGINT AS slot, list_transform(range(0, (SELECT n FROM total)), x -> 0::BIGINT) AS done, 0::BIGINT AS chosen
+  SELECT -1::BIGINT AS slot, list_transform(range(0, (SELECT n FROM total)), lambda x: 0::BIGINT) AS done, 0::BIGINT AS chosen
   UNION ALL
-  SELECT e.slot + 1, list_transform(e.done, (d, i) -> d + CASE WHEN i = e.next THEN 1 ELSE 0 END), e.next
+  SELECT e.slot + 1, list_transform(e.done, lambda d, i: d + CASE WHEN i = e.next THEN 1 ELSE 0 END), e.next
   FROM (SELECT edf.slot, edf.done, (SELECT arg_min(l.i, (t.period * (edf.done[l.i] + 1) + l.weight - 1) // l.weight * 1000 + l.i)
           FROM lanes l, total t WHERE t.period * edf.done[l.i] // l.weight <= edf.slot + 1) AS next FROM edf) e, total
   WHERE e.slot + 1 < total.period),
@@ -82,8 +82,8 @@ FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id"""
 
 TOP_K_SQL = f"""
 WITH codes AS (SELECT vec_id AS id,
-  list_sum(list_transform(range(0, 32), i -> CASE WHEN embedding[i + 1] > 0 THEN (1::BIGINT << i) ELSE 0 END))::BIGINT AS low,
-  list_sum(list_transform(range(0, 32), i -> CASE WHEN embedding[i + 33] > 0 THEN (1::BIGINT << i) ELSE 0 END))::BIGINT AS high
+  list_sum(list_transform(range(0, 32), lambda i: CASE WHEN embedding[i + 1] > 0 THEN (1::BIGINT << i) ELSE 0 END))::BIGINT AS low,
+  list_sum(list_transform(range(0, 32), lambda i: CASE WHEN embedding[i + 33] > 0 THEN (1::BIGINT << i) ELSE 0 END))::BIGINT AS high
   FROM embeddings WHERE len(embedding) = 64),
 pairs AS (SELECT q.id AS query_id, c.id AS neighbour_id, bit_count(xor(q.low, c.low)) + bit_count(xor(q.high, c.high)) AS distance
   FROM codes q JOIN codes c ON q.id <> c.id WHERE q.id % 100 = 0)
