@@ -53,3 +53,12 @@ def slices(batch, rows: int = 256):
     """A record batch in pieces, so what a task makes of them stays small however long texts are."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+def settle(spark: SparkSession) -> None:
+    """Collect the driver's garbage, which lets Spark's cleaner delete the shuffle files of finished steps.
+
+    Executors keep a shuffle's files as long as the driver has not collected the plan that made it; between large steps of one operator
+    that would add up.
+    """
+    spark.sparkContext._jvm.System.gc()

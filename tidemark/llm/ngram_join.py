@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common, fingerprints
 
 #: Leaders that a class asks in a round of stars, rounds, and labels from which a group counts as a common passage.
-LEADERS, ROUNDS, HOT = 4, 3, 8
+LEADERS, ROUNDS, HOT = 3, 3, 8
 #: Bits of the short sketch that blocks are compared by.
 SHORT = 1024
 
@@ -68,21 +68,30 @@ class Scheme:
         size = min(self.size, len(prints))
         return np.unique(fingerprints.windows(fingerprints.prefix(prints), np.arange(len(prints) - size + 1), size))
 
-    def signatures(self, grams: np.ndarray) -> tuple[np.ndarray, int]:
-        """The signatures of both instances, and the allowance: the smaller one of the two; below 0 a partner may be missed."""
-        out, allowance = [], []
-        n = len(grams)
-        for instance in (self.band(n), self.band(n) + 1):
+    def _instances(self, grams: np.ndarray):
+        """For both instances: its number, the part of each element, and each element's code there."""
+        for instance in (self.band(len(grams)), self.band(len(grams)) + 1):
             code = fingerprints.mix(grams + np.uint64(instance * 0x9E3779B1 + 1))
-            part = (code >> np.uint64(32)) % np.uint64(self.parts(instance))
+            yield instance, (code >> np.uint64(32)) % np.uint64(self.parts(instance)), code
+
+    def signatures(self, grams: np.ndarray) -> np.ndarray:
+        """The signatures of both instances: a fingerprint for each part that the set has elements in."""
+        out = []
+        for instance, part, code in self._instances(grams):
             order = np.argsort(part, kind="stable")
             part = part[order]
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             inside = np.add.reduceat(code[order] * np.uint64(0x9E3779B97F4A7C15), first)
             out.append(fingerprints.mix(inside + fingerprints.mix(part[first] * np.uint64(4096) + np.uint64(instance))))
+        return np.concatenate(out)
+
+    def allowance(self, grams: np.ndarray) -> int:
+        """Signatures that the set may leave out of an instance, the smaller of the two numbers; below 0 a partner may be missed."""
+        n, spare = len(grams), []
+        for instance, part, _ in self._instances(grams):
             largest_partner = min(self.lows[instance + 1] - 1, n * 100 // self.percent)
-            allowance.append(len(first) - self.most(n, largest_partner) - 1)
-        return np.concatenate(out), min(allowance)
+            spare.append(np.count_nonzero(np.bincount(part.astype(np.int64))) - self.most(n, largest_partner) - 1)
+        return min(spare)
 
     def sketch(self, grams: np.ndarray, bits: int = 0) -> bytes:
         """Parities of the set over ``bits`` bits, a power of two, by default above the set's size; sketches of different length are folded to the shorter one."""
@@ -110,19 +119,17 @@ def class_of(grams: np.ndarray) -> int | None:
 
 
 def with_sets(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """row_id, doc_id, n, cls (a hash of the set; null without words), allowance and the two sketches, per row of ``docs``."""
+    """row_id, doc_id, n, cls (a hash of the set; null without words) and allowance, per row of ``docs``."""
     def run(batches):
         for batch in (piece for whole in batches for piece in common.slices(whole)):
             sets = [scheme.ngrams(data.as_py()) for data in batch.column("bytes")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id"), batch.column("doc_id"), pa.array([len(g) for g in sets], pa.int64()),
-                 pa.array([class_of(g) for g in sets], pa.int64()), pa.array([scheme.signatures(g)[1] if len(g) else 0 for g in sets], pa.int64()),
-                 pa.array([scheme.sketch(g) if len(g) else None for g in sets], pa.binary()),
-                 pa.array([scheme.sketch(g, SHORT) if len(g) else None for g in sets], pa.binary())],
-                names=["row_id", "doc_id", "n", "cls", "allowance", "sketch", "short"])
+                 pa.array([class_of(g) for g in sets], pa.int64()), pa.array([scheme.allowance(g) if len(g) else 0 for g in sets], pa.int64())],
+                names=["row_id", "doc_id", "n", "cls", "allowance"])
 
     rows = docs.select("row_id", F.col("doc_id").cast("long").alias("doc_id"), common.text_bytes().alias("bytes"))
-    return rows.mapInArrow(run, "row_id string, doc_id long, n long, cls long, allowance long, sketch binary, short binary")
+    return rows.mapInArrow(run, "row_id string, doc_id long, n long, cls long, allowance long")
 
 
 def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> DataFrame:
@@ -133,7 +140,7 @@ def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> D
     def send(batches):
         done = set()
         for batch in (piece for whole in batches for piece in common.slices(whole, 1024)):
-            signatures, owners = [], []
+            signatures, owners, sizes = [], [], []
             for data in batch.column("bytes"):
                 grams = scheme.ngrams(data.as_py())
                 if not len(grams):
@@ -141,16 +148,16 @@ def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> D
                 cls = class_of(grams)
                 if cls not in done:
                     done.add(cls)
-                    signatures.append(scheme.signatures(grams)[0])
-                    owners.append(np.full(len(signatures[-1]), cls, np.int64))
+                    signatures.append(scheme.signatures(grams))
+                    owners.append(np.full(len(signatures[-1]), len(sizes), np.int64))
+                    sizes.append((cls, len(grams)))
             if not signatures:
                 continue
-            signature, owner = np.concatenate(signatures), np.concatenate(owners)
+            signature, number, names = np.concatenate(signatures), np.concatenate(owners), np.array(sizes, "<i8")
             bucket = (signature % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
-            signature, owner, bucket = signature[by], owner[by], bucket[by]
+            signature, number, bucket = signature[by], number[by], bucket[by]
             edge = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
-            names, number = np.unique(owner, return_inverse=True)
             for a, b in zip(edge[:-1], edge[1:]):
                 own = np.unique(number[a:b])
                 yield pa.RecordBatch.from_pydict({
@@ -159,15 +166,20 @@ def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> D
 
     def gather(table: pa.Table) -> pa.Table:
         signature = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in table.column("signatures")])
-        owner = np.concatenate([np.frombuffer(names.as_py(), "<i8")[np.frombuffer(numbers.as_py(), "<u2")]
+        named = np.concatenate([np.frombuffer(names.as_py(), "<i8").reshape(-1, 2)[np.frombuffer(numbers.as_py(), "<u2")]
                                 for names, numbers in zip(table.column("names"), table.column("numbers"))])
-        by = np.lexsort((owner, signature))
-        signature, owner = signature[by], owner[by]
-        new = np.ones(len(by), bool)
-        new[1:] = (signature[1:] != signature[:-1]) | (owner[1:] != owner[:-1])
-        signature, owner = signature[new], owner[new]
-        first = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]]))
-        size = np.diff(np.concatenate([first, [len(signature)]]))
+        owner, n = named[:, 0], named[:, 1]
+        by = np.lexsort((owner, n, signature))
+        signature, owner, n = signature[by], owner[by], n[by]
+        same = signature[1:] == signature[:-1]
+        new = np.concatenate([[True], ~same | (owner[1:] != owner[:-1])])
+        signature, owner, n = signature[new], owner[new], n[new]
+        # In order of size, a set that is too far from both neighbours links with none of its group.
+        near = (signature[1:] == signature[:-1]) & (100 * n[:-1] >= scheme.percent * n[1:])
+        kept = np.concatenate([[False], near]) | np.concatenate([near, [False]])
+        signature, owner = signature[kept], owner[kept]
+        first = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]])) if len(signature) else np.zeros(0, np.int64)
+        size = np.diff(np.concatenate([first, [len(signature)]]).astype(np.int64))
         several = size > 1
         found: dict[bytes, list[int]] = {}
         for at, count in zip(first[several].tolist(), size[several].tolist()):
@@ -182,25 +194,34 @@ def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> D
     return sent.groupBy("bucket").applyInArrow(gather, "gid long, members array<long>, times long")
 
 
-def star_pairs(memberships: DataFrame, labels: DataFrame, mask: int) -> DataFrame:
+def star_pairs(labelled: DataFrame, mask: int) -> DataFrame:
     """(a, b): every class with up to ``LEADERS`` leaders of other labels. A group's leaders are its first and last class under ``mask``.
 
-    ``memberships`` are (gid, cls), ``labels`` (cls, label). Classes are hashes, so an exclusive or gives each round an order of its own.
+    ``labelled`` are (gid, cls, label). Classes are hashes, so an exclusive or gives each round an order of its own.
     """
-    turned = memberships.join(labels, "cls").withColumn("turned", F.col("cls").bitwiseXOR(F.lit(mask)))
-    heads = turned.groupBy("gid").agg(F.min("turned").alias("one"), F.max("turned").alias("two"), F.min("label").alias("low"), F.max("label").alias("high"))
-    heads = heads.where("low != high").select("gid", F.explode(F.array("one", "two")).alias("head"))
-    named = labels.select(F.col("cls").bitwiseXOR(F.lit(mask)).alias("head"), F.col("label").alias("head_label"))
-    proposals = turned.select("gid", "cls", "label").join(heads.join(named, "head"), "gid").where("head_label != label")
-    chosen = proposals.groupBy("cls").agg(F.slice(F.array_sort(F.collect_set("head")), 1, LEADERS).alias("heads"))
-    pairs = chosen.select("cls", F.explode("heads").alias("head")).select("cls", F.col("head").bitwiseXOR(F.lit(mask)).alias("other"))
+    turned = labelled.select("gid", "cls", "label", F.col("cls").bitwiseXOR(F.lit(mask)).alias("turned"))
+    heads = turned.groupBy("gid").agg(F.min("turned").alias("one"), F.max("turned").alias("two"))
+    proposals = turned.join(heads, "gid")
+    chosen = proposals.groupBy("cls", "label").agg(
+        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("one", "two"))))), 1, 2 * LEADERS).alias("heads"))
+    pairs = chosen.select("cls", F.explode("heads").alias("head")).select("cls", F.col("head").bitwiseXOR(F.lit(mask)).alias("other")).where("cls != other")
     return pairs.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
-    """Those (a, b) that link. Sketches refute most of the others; the rest are decided on whole sets."""
-    small = classes.select("cls", "n", "sketch")
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Those (a, b) whose labels differ."""
+    left, right = labels.select(F.col("cls").alias("a"), F.col("label").alias("u")), labels.select(F.col("cls").alias("b"), F.col("label").alias("v"))
+    return pairs.join(left, "a").join(right, "b").where("u != v").select("a", "b")
+
 
+def across(labelled: DataFrame) -> DataFrame:
+    """Those rows of ``labelled`` (gid, cls, label, times) whose group has several labels."""
+    several = labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("gid")
+    return common.pin(labelled.join(several, "gid"), "labelled")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """Those (a, b) that link. Sketches refute most of the others; the rest are decided on whole sets."""
     def sides(rows, table, *columns):
         for side in ("a", "b"):
             rows = rows.join(table.select(F.col("cls").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
@@ -220,7 +241,7 @@ def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Sche
                 keep.append(scheme.linked(int((both[1:] == both[:-1]).sum()), len(one), len(two)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    maybe = common.pin(sides(pairs, small, "n", "sketch").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(refute, "a long, b long"), "maybe")
+    maybe = common.pin(sides(pairs, sets, "n", "sketch").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(refute, "a long, b long"), "maybe")
     return common.pin(sides(maybe, sets, "grams").select("a", "b", "grams_a", "grams_b").mapInArrow(decide, "a long, b long"), "links")
 
 
@@ -333,7 +354,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     rows = common.pin(with_sets(docs, scheme), "rows")
     classes = common.pin(rows.where("cls is not null").groupBy("cls").agg(
         F.min("row_id").alias("row_id"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"),
-        F.min("allowance").alias("allowance"), F.min("sketch").alias("sketch"), F.min("short").alias("short")), "classes")
+        F.min("allowance").alias("allowance")), "classes")
 
     found = common.pin(groups(docs, scheme, common.partitions(spark)), "groups")
     memberships = common.pin(found.select("gid", F.explode("members").alias("cls"), "times"), "memberships")
@@ -342,26 +363,35 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
 
     def grams(batches):
         for batch in (piece for whole in batches for piece in common.slices(whole)):
+            every = [scheme.ngrams(d.as_py()) for d in batch.column("bytes")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cls"), pa.array([scheme.ngrams(d.as_py()).tobytes() for d in batch.column("bytes")], pa.binary())], names=["cls", "grams"])
+                [batch.column("cls"), pa.array([len(g) for g in every], pa.int64()), pa.array([g.tobytes() for g in every], pa.binary()),
+                 pa.array([scheme.sketch(g) for g in every], pa.binary()), pa.array([scheme.sketch(g, SHORT) for g in every], pa.binary())],
+                names=["cls", "n", "grams", "sketch", "short"])
 
     texts = docs.select("row_id", common.text_bytes().alias("bytes"))
-    sets = common.pin(texts.join(wanted, "row_id").select("cls", "bytes").mapInArrow(grams, "cls long, grams binary"), "sets")
+    sets = common.pin(texts.join(wanted, "row_id").select("cls", "bytes").mapInArrow(grams, "cls long, n long, grams binary, sketch binary, short binary"), "sets")
+    common.settle(spark)
 
     labels = common.pin(wanted.select("cls", F.col("cls").alias("label")), "labels")
+    labelled = memberships.withColumn("label", F.col("cls"))
     for turn in range(ROUNDS):
-        links = verified(star_pairs(memberships, labels, (turn * 0x5DEECE66D1234567) & (2 ** 63 - 1)), classes, sets, scheme)
+        asked = star_pairs(labelled, (turn * 0x5DEECE66D1234567) & (2 ** 63 - 1))
+        if turn:
+            asked = apart(asked, labels)
+        links = verified(asked, sets, scheme)
         if links.isEmpty():
             break
         labels = connect(labels, links)
+        labelled = across(labelled.drop("label").join(labels, "cls"))
+        common.settle(spark)
 
-    labelled = common.pin(memberships.join(labels, "cls"), "labelled")
     marked = labelled.select("gid", "label").distinct()
     marked = common.pin(marked.join(marked.groupBy("gid").agg(F.count(F.lit(1)).alias("n_labels")), "gid"), "marked")
     passages = marked.where(F.col("n_labels") > HOT).select("gid").distinct()
     crowded = common.pin(labelled.join(passages, "gid"), "crowded")
     over = crowded.groupBy("cls").agg(F.sum("times").alias("times")).join(classes, "cls").where(F.col("times") > F.col("allowance"))
-    told = classes.select("cls", "n", "short")
+    told = sets.select("cls", "n", "short")
     compared = crowded.join(over.select("cls"), "cls").select("gid", "cls", "label").join(told, "cls")
 
     def each_gram(batches):
@@ -376,7 +406,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     columns = ["gid", "cls", "label", "n", "short"]
     rest = label_pairs(marked, labels, HOT).unionByName(
         block_pairs(compared.select(columns).unionByName(bare.select(columns)), scheme)).distinct()
-    links = verified(rest, classes, sets, scheme)
+    links = verified(rest, sets, scheme)
     labels = connect(labels, links)
 
     several = labels.groupBy("label").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("label")
