@@ -4,5 +4,8 @@ import sys
 
 from pyspark import cloudpickle
 
+from tidemark import session
+
 # Worker functions travel by value, so executors need numpy, pyarrow and the named libraries, not this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+for module in (sys.modules[__name__], session):
+    cloudpickle.register_pickle_by_value(module)

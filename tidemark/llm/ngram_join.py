@@ -8,14 +8,15 @@ Sets that share a signature are candidates.
 
 Equal sets are one class. No group is expanded into all pairs:
 
-1. Stars: every class asks a few leaders of its groups; links found join classes under one label. Large groups of near copies
-   come down to a label or few.
+1. Stars: every class asks a few leaders of its groups; pairs that parity sketches do not refute join under one label. Large groups
+   of near copies come down to a label or few.
 2. Only pairs with different labels are left. A group of more than ``HOT`` labels is a common passage; classes whose allowance covers
    all such groups they are in leave them out, as they meet each partner elsewhere. The other classes, few, are compared there among
-   themselves, in blocks whose sketches refute nearly all pairs inside the task. Groups of few labels give label pairs.
+   themselves, in blocks whose sketches refute nearly all pairs inside the task. Groups of few labels give label pairs. What is not
+   refuted joins labels again.
 
-Every candidate is verified on whole sets, after a parity sketch has refuted most of those that cannot link. Links are
-then counted inside the components, in blocks.
+Sketches never refute a link, so a label now holds whole components. Inside labels all pairs are verified on whole sets, block against
+block; a task gives counts and a spanning forest of the links it found, which joins the true components.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from tidemark.llm import common, fingerprints
 #: Leaders that a class asks in a round of stars, rounds, and labels from which a group counts as a common passage.
 LEADERS, ROUNDS, HOT = 3, 3, 8
 #: Bits of the short sketch that blocks are compared by.
-SHORT = 1024
+SHORT = 512
 
 
 class Scheme:
@@ -78,7 +79,7 @@ class Scheme:
         """The signatures of both instances: a fingerprint for each part that the set has elements in."""
         out = []
         for instance, part, code in self._instances(grams):
-            order = np.argsort(part, kind="stable")
+            order = np.argsort(part.astype(np.uint16) if self.parts(instance) < 1 << 16 else part, kind="stable")
             part = part[order]
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             inside = np.add.reduceat(code[order] * np.uint64(0x9E3779B97F4A7C15), first)
@@ -119,17 +120,19 @@ def class_of(grams: np.ndarray) -> int | None:
 
 
 def with_sets(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """row_id, doc_id, n, cls (a hash of the set; null without words) and allowance, per row of ``docs``."""
+    """row_id, doc_id, n, cls (a hash of the set; null without words), allowance and the two sketches, per row of ``docs``."""
     def run(batches):
         for batch in (piece for whole in batches for piece in common.slices(whole)):
             sets = [scheme.ngrams(data.as_py()) for data in batch.column("bytes")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id"), batch.column("doc_id"), pa.array([len(g) for g in sets], pa.int64()),
-                 pa.array([class_of(g) for g in sets], pa.int64()), pa.array([scheme.allowance(g) if len(g) else 0 for g in sets], pa.int64())],
-                names=["row_id", "doc_id", "n", "cls", "allowance"])
+                 pa.array([class_of(g) for g in sets], pa.int64()), pa.array([scheme.allowance(g) if len(g) else 0 for g in sets], pa.int64()),
+                 pa.array([scheme.sketch(g) if len(g) else None for g in sets], pa.binary()),
+                 pa.array([scheme.sketch(g, SHORT) if len(g) else None for g in sets], pa.binary())],
+                names=["row_id", "doc_id", "n", "cls", "allowance", "sketch", "short"])
 
     rows = docs.select("row_id", F.col("doc_id").cast("long").alias("doc_id"), common.text_bytes().alias("bytes"))
-    return rows.mapInArrow(run, "row_id string, doc_id long, n long, cls long, allowance long")
+    return rows.mapInArrow(run, "row_id string, doc_id long, n long, cls long, allowance long, sketch binary, short binary")
 
 
 def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> DataFrame:
@@ -168,15 +171,18 @@ def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> D
         signature = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in table.column("signatures")])
         named = np.concatenate([np.frombuffer(names.as_py(), "<i8").reshape(-1, 2)[np.frombuffer(numbers.as_py(), "<u2")]
                                 for names, numbers in zip(table.column("names"), table.column("numbers"))])
-        owner, n = named[:, 0], named[:, 1]
+        by = np.argsort(signature)
+        same = signature[by][1:] == signature[by][:-1]
+        by = by[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+        signature, owner, n = signature[by], named[by, 0], named[by, 1]
         by = np.lexsort((owner, n, signature))
         signature, owner, n = signature[by], owner[by], n[by]
         same = signature[1:] == signature[:-1]
-        new = np.concatenate([[True], ~same | (owner[1:] != owner[:-1])])
+        new = np.concatenate([np.ones(min(1, len(signature)), bool), ~same | (owner[1:] != owner[:-1])])
         signature, owner, n = signature[new], owner[new], n[new]
         # In order of size, a set that is too far from both neighbours links with none of its group.
         near = (signature[1:] == signature[:-1]) & (100 * n[:-1] >= scheme.percent * n[1:])
-        kept = np.concatenate([[False], near]) | np.concatenate([near, [False]])
+        kept = (np.concatenate([[False], near]) | np.concatenate([near, [False]]))[:len(signature)]
         signature, owner = signature[kept], owner[kept]
         first = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]])) if len(signature) else np.zeros(0, np.int64)
         size = np.diff(np.concatenate([first, [len(signature)]]).astype(np.int64))
@@ -220,29 +226,16 @@ def across(labelled: DataFrame) -> DataFrame:
     return common.pin(labelled.join(several, "gid"), "labelled")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
-    """Those (a, b) that link. Sketches refute most of the others; the rest are decided on whole sets."""
-    def sides(rows, table, *columns):
-        for side in ("a", "b"):
-            rows = rows.join(table.select(F.col("cls").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
-        return rows
-
-    def refute(batches):
+def plausible(pairs: DataFrame, sketches: DataFrame, scheme: Scheme) -> DataFrame:
+    """Those (a, b) that sizes and sketches do not refute."""
+    def run(batches):
         for batch in batches:
             keep = [not scheme.refuted(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("n_a", "sketch_a", "n_b", "sketch_b")))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def decide(batches):
-        for batch in (piece for whole in batches for piece in common.slices(whole)):
-            keep = []
-            for one, two in zip(batch.column("grams_a"), batch.column("grams_b")):
-                one, two = np.frombuffer(one.as_py(), "<u8"), np.frombuffer(two.as_py(), "<u8")
-                both = np.sort(np.concatenate([one, two]))
-                keep.append(scheme.linked(int((both[1:] == both[:-1]).sum()), len(one), len(two)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    maybe = common.pin(sides(pairs, sets, "n", "sketch").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(refute, "a long, b long"), "maybe")
-    return common.pin(sides(maybe, sets, "grams").select("a", "b", "grams_a", "grams_b").mapInArrow(decide, "a long, b long"), "links")
+    for side in ("a", "b"):
+        pairs = pairs.join(sketches.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
+    return common.pin(pairs.select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(run, "a long, b long"), "plausible")
 
 
 def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -311,8 +304,11 @@ def block_pairs(members: DataFrame, scheme: Scheme, block: int = 256) -> DataFra
     return cells(members, "gid", block).groupBy("gid", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
-def count_links(members: DataFrame, scheme: Scheme, block: int = 128) -> DataFrame:
-    """(cls, others): rows of other classes that each class links with. ``members``: label, cls, copies, grams, of labels with several classes."""
+def verify(members: DataFrame, scheme: Scheme, block: int = 128) -> DataFrame:
+    """(cls, others, to): per block and class the rows it links with there, and an edge of the block's spanning forest, or null.
+
+    ``members``: label, cls, copies, grams, of labels with several classes. Every pair of a label is decided on whole sets in one cell.
+    """
     def run(table: pa.Table) -> pa.Table:
         cls, copies = (np.array(table.column(c).to_pylist(), np.int64) for c in ("cls", "copies"))
         side = np.array(table.column("side").to_pylist(), bool)
@@ -332,10 +328,20 @@ def count_links(members: DataFrame, scheme: Scheme, block: int = 128) -> DataFra
         shared = shared.astype(np.int64)
         linked = 100 * shared >= scheme.percent * (size[:, None] + size[None, :] - shared)
         linked &= ~np.eye(len(sets), dtype=bool) if same else side[:, None] != side[None, :]
-        return pa.table({"cls": cls, "others": linked @ copies})
-
-    return (cells(members, "label", block).groupBy("label", "i", "j").applyInArrow(run, "cls long, others long")
-            .groupBy("cls").agg(F.sum("others").alias("others")))
+        # Breadth first: each class points to the one it was reached from.
+        came, seen = np.full(len(sets), -1, np.int64), np.zeros(len(sets), bool)
+        for start in range(len(sets)):
+            if not seen[start]:
+                seen[start], front = True, [start]
+                while front:
+                    here = front.pop()
+                    new = np.flatnonzero(linked[here] & ~seen)
+                    seen[new], came[new] = True, here
+                    front.extend(new.tolist())
+        to = pa.array(np.where(came >= 0, cls[came], 0), pa.int64(), mask=came < 0)
+        return pa.table({"cls": pa.array(cls), "others": pa.array(linked @ copies), "to": to})
+
+    return cells(members, "label", block).groupBy("label", "i", "j").applyInArrow(run, "cls long, others long, to long")
 
 
 def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15) -> DataFrame:
@@ -353,33 +359,18 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     docs = common.with_row_id(docs.select("doc_id", "text"), "row_id")
     rows = common.pin(with_sets(docs, scheme), "rows")
     classes = common.pin(rows.where("cls is not null").groupBy("cls").agg(
-        F.min("row_id").alias("row_id"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"),
-        F.min("allowance").alias("allowance")), "classes")
+        F.min("row_id").alias("row_id"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
+        F.first("allowance").alias("allowance"), F.first("sketch").alias("sketch"), F.first("short").alias("short")), "classes")
 
     found = common.pin(groups(docs, scheme, common.partitions(spark)), "groups")
     memberships = common.pin(found.select("gid", F.explode("members").alias("cls"), "times"), "memberships")
-    uncovered = classes.where("allowance < 0").select("cls")
-    wanted = common.pin(memberships.select("cls").distinct().union(uncovered).distinct().join(classes.select("cls", "row_id"), "cls"), "wanted")
-
-    def grams(batches):
-        for batch in (piece for whole in batches for piece in common.slices(whole)):
-            every = [scheme.ngrams(d.as_py()) for d in batch.column("bytes")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("cls"), pa.array([len(g) for g in every], pa.int64()), pa.array([g.tobytes() for g in every], pa.binary()),
-                 pa.array([scheme.sketch(g) for g in every], pa.binary()), pa.array([scheme.sketch(g, SHORT) for g in every], pa.binary())],
-                names=["cls", "n", "grams", "sketch", "short"])
-
-    texts = docs.select("row_id", common.text_bytes().alias("bytes"))
-    sets = common.pin(texts.join(wanted, "row_id").select("cls", "bytes").mapInArrow(grams, "cls long, n long, grams binary, sketch binary, short binary"), "sets")
     common.settle(spark)
 
-    labels = common.pin(wanted.select("cls", F.col("cls").alias("label")), "labels")
+    labels = classes.select("cls", F.col("cls").alias("label"))
     labelled = memberships.withColumn("label", F.col("cls"))
     for turn in range(ROUNDS):
         asked = star_pairs(labelled, (turn * 0x5DEECE66D1234567) & (2 ** 63 - 1))
-        if turn:
-            asked = apart(asked, labels)
-        links = verified(asked, sets, scheme)
+        links = plausible(apart(asked, labels) if turn else asked, classes, scheme)
         if links.isEmpty():
             break
         labels = connect(labels, links)
@@ -391,35 +382,45 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     passages = marked.where(F.col("n_labels") > HOT).select("gid").distinct()
     crowded = common.pin(labelled.join(passages, "gid"), "crowded")
     over = crowded.groupBy("cls").agg(F.sum("times").alias("times")).join(classes, "cls").where(F.col("times") > F.col("allowance"))
-    told = sets.select("cls", "n", "short")
+    told = classes.select("cls", "n", "short")
     compared = crowded.join(over.select("cls"), "cls").select("gid", "cls", "label").join(told, "cls")
-
-    def each_gram(batches):
-        for batch in batches:
-            every = [np.frombuffer(g.as_py(), "<i8") for g in batch.column("grams")]
-            yield pa.RecordBatch.from_pydict({
-                "gid": np.concatenate([*every, np.zeros(0, np.int64)]),
-                "cls": np.repeat(np.array(batch.column("cls").to_pylist(), np.int64), [len(g) for g in every])})
-
     # Classes whose allowance is below 0 may miss only each other; linked ones share an n-gram.
-    bare = sets.join(uncovered, "cls").mapInArrow(each_gram, "gid long, cls long").join(labels, "cls").select("gid", "cls", "label").join(told, "cls")
+    uncovered = classes.where("allowance < 0").select("cls", "row_id")
+    texts = docs.select("row_id", common.text_bytes().alias("bytes"))
+    bare = whole_sets(texts, uncovered, scheme).select(F.explode("numbers").alias("gid"), "cls").join(labels, "cls").select("gid", "cls", "label").join(told, "cls")
     columns = ["gid", "cls", "label", "n", "short"]
     rest = label_pairs(marked, labels, HOT).unionByName(
         block_pairs(compared.select(columns).unionByName(bare.select(columns)), scheme)).distinct()
-    links = verified(rest, sets, scheme)
-    labels = connect(labels, links)
+    labels = connect(labels, plausible(rest, classes, scheme))
+    common.settle(spark)
 
     several = labels.groupBy("label").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("label")
-    linked = common.pin(labels.join(several, "label"), "linked")
-    counted = count_links(linked.join(sets, "cls").join(classes.select("cls", "copies"), "cls").select("label", "cls", "copies", "grams"), scheme)
-    roots = linked.join(classes.select("cls", "first_id"), "cls").groupBy("label").agg(F.min("first_id").alias("component_id"))
-    fate = (classes.select("cls", "first_id", "copies").join(linked, "cls", "left").join(roots, "label", "left").join(counted, "cls", "left")
+    members = common.pin(labels.join(several, "label").join(classes.select("cls", "row_id", "copies"), "cls"), "members")
+    sets = whole_sets(texts, members.select("cls", "row_id"), scheme).drop("numbers")
+    verified = common.pin(verify(members.join(common.pin(sets, "sets"), "cls").select("label", "cls", "copies", "grams"), scheme), "verified")
+    links = verified.where("to is not null").select(F.col("cls").alias("a"), F.col("to").alias("b"))
+    components = connect(members.select("cls", F.col("cls").alias("label")), links)
+    roots = components.join(classes.select("cls", "first_id"), "cls").groupBy("label").agg(F.min("first_id").alias("component_id"))
+    counted = verified.groupBy("cls").agg(F.sum("others").alias("others"))
+    fate = (classes.select("cls", "first_id", "copies").join(components, "cls", "left").join(roots, "label", "left").join(counted, "cls", "left")
             .select("cls", F.coalesce("component_id", "first_id").alias("component_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
     out = rows.select("row_id", "doc_id", F.col("n").alias("n_shingles"), "cls").join(common.pin(fate, "fate"), "cls", "left")
     return out.select("row_id", "doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("cls").alias("class_id"))
 
 
+def whole_sets(texts: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
+    """(cls, grams, numbers): the sets of the ``wanted`` (cls, row_id) as bytes and as numbers. ``texts`` are (row_id, bytes)."""
+    def run(batches):
+        for batch in (piece for whole in batches for piece in common.slices(whole)):
+            every = [scheme.ngrams(d.as_py()) for d in batch.column("bytes")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("cls"), pa.array([g.tobytes() for g in every], pa.binary()), pa.array([g.view(np.int64) for g in every], pa.list_(pa.int64()))],
+                names=["cls", "grams", "numbers"])
+
+    return texts.join(wanted, "row_id").select("cls", "bytes").mapInArrow(run, "cls long, grams binary, numbers array<long>")
+
+
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """The columns of ``docs``; of each component one row stays: that with the smallest doc_id (nulls last), then the first by place.
 
