@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +64,34 @@ def settle(spark: SparkSession) -> None:
     that would add up.
     """
     spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings that hold inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+#: Lets the planner put a Bloom filter of the wanted keys, of at most 8 MB, under the scan of the texts.
+RUNTIME_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+}
+
+
+def fetch(texts: DataFrame, wanted: DataFrame, key: str, label: str) -> DataFrame:
+    """``texts`` joined with the ``wanted`` rows (stored, few of all) on ``key``, pinned.
+
+    Texts are wide and few are wanted, so most are filtered out before the shuffle. The filter only spares work: the join decides.
+    """
+    with settings(texts.sparkSession, RUNTIME_FILTER):
+        # The planner builds the filter from a side that has a predicate.
+        return pin(texts.join(wanted.where(F.length(key) > 0), key), label)

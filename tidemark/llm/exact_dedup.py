@@ -8,8 +8,6 @@ its locator names.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,18 +24,6 @@ STATE = {
 }
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    before = {key: spark.conf.get(key, None) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def normalised(text: Column) -> Column:
     """The text without ASCII white space; null is empty."""
     return F.translate(F.coalesce(text, F.lit("")), common.WHITE, "")
@@ -64,7 +50,7 @@ def run_state(spark: SparkSession, landed: str, schema, checkpoint: str, max_fil
     state = (reader.parquet(landed).groupBy("digest")
              .agg(F.max_by(F.struct("doc_id", "locator"), F.struct(rank, "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size")))
     query = state.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    with _settings(spark, STATE):
+    with common.settings(spark, STATE):
         query.start().awaitTermination()
         stored = spark.read.format("statestore").load(checkpoint)
         value = [f.name for f in stored.schema["value"].dataType.fields]
@@ -94,10 +80,8 @@ def decide(docs: DataFrame, digest=lambda text: F.sha2(text, 256), max_files: in
         *seen.columns, "group_size", F.col("keep.doc_id").alias("keep_id"), F.col("keep.locator").alias("keep_locator")), "decided")
 
     # Full bytes of hits against the kept row's. One pass over the texts fetches both by their locators.
-    several = decided.where(F.col("group_size") > 1)
-    bodies = docs.select("locator", normalised(F.col("text")).alias("body")).join(
-        several.select("digest", "locator", "keep_locator"), "locator")
-    bodies = common.pin(bodies, "hits")
+    several = common.pin(decided.where(F.col("group_size") > 1).select("digest", "locator", "keep_locator"), "several")
+    bodies = common.fetch(docs.select("locator", normalised(F.col("text")).alias("body")), several, "locator", "hits")
     keepers = bodies.where(F.col("locator") == F.col("keep_locator")).select("keep_locator", F.col("body").alias("kept_body"))
     hits = bodies.where(F.col("locator") != F.col("keep_locator"))
     clashing = common.pin(hits.join(keepers, "keep_locator").where(F.col("body") != F.col("kept_body")).select("digest").distinct(), "clashes")

@@ -265,13 +265,43 @@ def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
     return common.pin(moved.select("cls", F.coalesce("root", "label").alias("label")), "labels")
 
 
-def label_pairs(marked: DataFrame, labels: DataFrame, hot: int) -> DataFrame:
-    """(a, b): all pairs across labels that meet in a group of at most ``hot`` labels. ``marked`` are (gid, label), distinct, with n_labels."""
-    few = marked.where((F.col("n_labels") > 1) & (F.col("n_labels") <= hot))
+def label_pairs(marked: DataFrame, labels: DataFrame, told: DataFrame, scheme: Scheme, block: int = 64) -> DataFrame:
+    """(a, b) across labels that meet in a group of at most ``HOT`` labels, as far as sizes and short sketches do not refute them.
+
+    ``marked`` are (gid, label), distinct, with n_labels; ``told`` (cls, n, short). Labels meet as blocks of about ``block`` classes, so a
+    large label is some rows and not as many pairs.
+    """
+    few = marked.where((F.col("n_labels") > 1) & (F.col("n_labels") <= HOT))
     met = few.select("gid", F.col("label").alias("u")).join(few.select("gid", F.col("label").alias("v")), "gid").where("u < v").select("u", "v").distinct()
-    members = labels.select("cls", "label")
-    return (met.join(members.select(F.col("label").alias("u"), F.col("cls").alias("a")), "u")
-            .join(members.select(F.col("label").alias("v"), F.col("cls").alias("b")), "v").select("a", "b"))
+    sizes = labels.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    own = labels.join(sizes, "label").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    packed = common.pin(own.join(told, "cls").groupBy("label", "own").agg(F.collect_list(F.struct("cls", "n", "short")).alias("pack")).drop("own"), "packed")
+    rows = (met.join(packed.select(F.col("label").alias("u"), F.col("pack").alias("left")), "u")
+            .join(packed.select(F.col("label").alias("v"), F.col("pack").alias("right")), "v").select("left", "right"))
+
+    def flat(column):
+        """Classes, sizes and sketches of all packs, and where each pack begins."""
+        items, starts = column.flatten(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())]).astype(np.int64)
+        sketch = np.frombuffer(b"".join(items.field("short").to_pylist()), "<u8").reshape(len(items), -1)
+        return items.field("cls").to_numpy(), items.field("n").to_numpy(), sketch, starts
+
+    def run(batches):
+        for batch in (piece for whole in batches for piece in common.slices(whole, 512)):
+            (cls_a, n_a, sketch_a, first_a), (cls_b, n_b, sketch_b, first_b) = flat(batch.column("left")), flat(batch.column("right"))
+            for at in range(0, batch.num_rows, 64):
+                rows = np.arange(at, min(at + 64, batch.num_rows))
+                wide = first_b[rows + 1] - first_b[rows]
+                many = (first_a[rows + 1] - first_a[rows]) * wide
+                row = np.repeat(np.arange(len(rows)), many)
+                inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                a, b = first_a[rows][row] + inside // wide[row], first_b[rows][row] + inside % wide[row]
+                near = scheme.percent * np.maximum(n_a[a], n_b[b]) <= 100 * np.minimum(n_a[a], n_b[b])
+                a, b = a[near], b[near]
+                differ = np.bitwise_count(sketch_a[a] ^ sketch_b[b]).sum(1, dtype=np.int64)
+                kept = differ <= (n_a[a] + n_b[b]) * (100 - scheme.percent) // (100 + scheme.percent)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(cls_a[a[kept]], pa.int64()), "b": pa.array(cls_b[b[kept]], pa.int64())})
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def cells(members: DataFrame, key: str, block: int) -> DataFrame:
@@ -387,9 +417,9 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     # Classes whose allowance is below 0 may miss only each other; linked ones share an n-gram.
     uncovered = classes.where("allowance < 0").select("cls", "row_id")
     texts = docs.select("row_id", common.text_bytes().alias("bytes"))
-    bare = whole_sets(texts, uncovered, scheme).select(F.explode("numbers").alias("gid"), "cls").join(labels, "cls").select("gid", "cls", "label").join(told, "cls")
+    bare = whole_sets(texts, common.pin(uncovered, "uncovered"), scheme).select(F.explode("numbers").alias("gid"), "cls").join(labels, "cls").select("gid", "cls", "label").join(told, "cls")
     columns = ["gid", "cls", "label", "n", "short"]
-    rest = label_pairs(marked, labels, HOT).unionByName(
+    rest = label_pairs(marked, labels, told, scheme).unionByName(
         block_pairs(compared.select(columns).unionByName(bare.select(columns)), scheme)).distinct()
     labels = connect(labels, plausible(rest, classes, scheme))
     common.settle(spark)
@@ -418,7 +448,7 @@ def whole_sets(texts: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame
                 [batch.column("cls"), pa.array([g.tobytes() for g in every], pa.binary()), pa.array([g.view(np.int64) for g in every], pa.list_(pa.int64()))],
                 names=["cls", "grams", "numbers"])
 
-    return texts.join(wanted, "row_id").select("cls", "bytes").mapInArrow(run, "cls long, grams binary, numbers array<long>")
+    return common.fetch(texts, wanted, "row_id", "texts").select("cls", "bytes").mapInArrow(run, "cls long, grams binary, numbers array<long>")
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:

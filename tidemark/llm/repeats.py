@@ -188,8 +188,7 @@ def removals(texts: DataFrame, classes: DataFrame, rule: Rule, shard_bytes: int
     """
     kept = survivors(level_one(texts.where(F.length("bytes") >= rule.length), rule), rule)
     wanted = common.pin(classes.select("cls", "row_id", "doc_id").join(kept, "cls"), "wanted")
-    chosen = texts.select("row_id", "bytes").join(wanted, "row_id")
-    candidates = common.pin(chosen.select("cls", "doc_id", "bytes", "prints"), "candidates")
+    candidates = common.fetch(texts.select("row_id", "bytes"), wanted, "row_id", "candidates").select("cls", "doc_id", "bytes", "prints")
     total = candidates.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     dealt = candidates.withColumn("shard", F.pmod(F.xxhash64("cls"), F.lit(shards)))
