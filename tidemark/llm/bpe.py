@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import mmap
+import struct
 import uuid
 from bisect import bisect_left
 
@@ -19,6 +20,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
 from tidemark.llm import common
 from tidemark.session import shared_folder
@@ -59,18 +61,18 @@ class Vocabulary:
         for rank, merge in enumerate(data["model"]["merges"]):
             left, right = (bytes(alphabet[c] for c in part) for part in (merge.split(" ") if isinstance(merge, str) else merge))
             self.merges[ids[left] << 20 | ids[right]] = rank << 20 | ids[left + right]
+        #: The merge of each pair of bytes.
+        self.start = {(a, b): self.merges.get(self.single[a] << 20 | self.single[b], NO_MERGE) for a in range(256) for b in range(256)}
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: the adjacent pair of lowest rank is joined, leftmost first, until none can be."""
         single, merges = self.single, self.merges.get
+        if len(word) > 256:
+            return self._merge_long([single[b] for b in word])
+        start = self.start
         ids = [single[b] for b in word]
-        if len(ids) > 256:
-            return self._merge_long(ids)
-        pairs = [merges(a << 20 | b, NO_MERGE) for a, b in zip(ids, ids[1:])]
-        while pairs:
-            best = min(pairs)
-            if best == NO_MERGE:
-                break
+        pairs = [start[pair] for pair in zip(word, word[1:])]
+        while pairs and (best := min(pairs)) != NO_MERGE:
             at = pairs.index(best)
             ids[at] = joined = best & 0xFFFFF
             del ids[at + 1], pairs[at]
@@ -202,7 +204,7 @@ class Words(dict):
         data = word.encode("utf-8")
         ids = self.lexicon.find(data)
         if ids is None:
-            ids = np.array(self.vocabulary.merge(data), "<u4").tobytes()
+            ids = struct.pack(f"<{len(found)}I", *found) if (found := self.vocabulary.merge(data)) else b""
         if len(data) <= 64:
             if len(self) >= self.bound:
                 self.clear()
@@ -210,6 +212,30 @@ class Words(dict):
         return ids
 
 
+class Irregular(Exception):
+    """A text with runs of white space, which cannot be cut at single spaces."""
+
+
+class Pieces(dict):
+    """What stands between two single spaces to the id bytes of it and the space before it; bounded like :class:`Words`.
+
+    A space between two other characters always begins a word, whatever is around, so pieces are encoded apart.
+    """
+
+    def __init__(self, words: Words, split):
+        self.words, self.split = words, split
+
+    def __missing__(self, piece: str) -> bytes:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise Irregular
+        ids = b"".join(map(self.words.__getitem__, self.split(" " + piece)))
+        if len(piece) <= 64:
+            if len(self) >= self.words.bound:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Encodes whole texts to id bytes and back."""
 
@@ -219,6 +245,7 @@ class Codec:
         self.vocabulary = vocabulary
         self.words = Words(lexicon, vocabulary, bound)
         self.split = regex.compile(PATTERN).findall
+        self.pieces = Pieces(self.words, self.split)
         longest_first = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
         self.specials = tuple(vocabulary.special)
@@ -230,6 +257,12 @@ class Codec:
         return self._encode(text)
 
     def _encode(self, text: str) -> bytes:
+        first, *rest = text.split(" ")
+        if first and not first[-1].isspace():
+            try:
+                return b"".join([*map(self.words.__getitem__, self.split(first)), *map(self.pieces.__getitem__, rest)])
+            except Irregular:
+                pass
         return b"".join(map(self.words.__getitem__, self.split(text)))
 
     def decode(self, ids: bytes) -> str:
@@ -237,32 +270,43 @@ class Codec:
 
 
 def frequent_words(docs: DataFrame, size: int) -> list[bytes]:
-    """The ``size`` words of highest count over all texts, ties by the word's bytes; the count covers every text."""
-    flush = 200_000
+    """The words of highest count, as many as ``size`` allows without parting words of one count. The count covers every text.
 
+    What white space separates is counted as if a space stood before it, and cut into words once for each task's distinct pieces.
+    """
     def count(batches):
+        from collections import Counter
+
         import regex
 
         split = regex.compile(PATTERN).findall
-        from collections import Counter
-
-        counts = Counter()
+        pieces = Counter()
 
         def emit():
-            return pa.RecordBatch.from_pydict({"word": [w.encode("utf-8") for w in counts], "n": list(counts.values())},
-                                              schema=pa.schema([("word", pa.binary()), ("n", pa.int64())]))
+            counts = Counter()
+            for piece, n in pieces.items():
+                for word in split(" " + piece):
+                    counts[word] += n
+            pieces.clear()
+            items = [(w.encode("utf-8"), n) for w, n in counts.items() if len(w) <= 64]
+            for at in range(0, len(items), 20_000):
+                part = items[at:at + 20_000]
+                yield pa.RecordBatch.from_pydict({"word": [w for w, _ in part], "n": [n for _, n in part]},
+                                                 schema=pa.schema([("word", pa.binary()), ("n", pa.int64())]))
 
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in common.slices(whole)):
             for value in batch.column(0):
-                counts.update(w for w in split(value.as_py()) if len(w) <= 64)
-                if len(counts) >= flush:
-                    yield emit()
-                    counts.clear()
-        yield emit()
+                pieces.update(value.as_py().split())
+            if len(pieces) >= 500_000:
+                yield from emit()
+        yield from emit()
 
     parts = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "word binary, n long")
-    rows = parts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size).collect()
-    return [bytes(row["word"]) for row in rows]
+    counts = common.pin(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # One row per distinct count: the lowest count whose words all fit.
+    fits = (counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("so_far", F.sum("words").over(Window.orderBy(F.desc("n"))))
+            .where(F.col("so_far") <= size).agg(F.min("n")).first()[0])
+    return [] if fits is None else [bytes(row["word"]) for row in counts.where(F.col("n") >= fits).select("word").collect()]
 
 
 def publish(spark: SparkSession, image: bytes) -> str:
@@ -277,7 +321,7 @@ def publish(spark: SparkSession, image: bytes) -> str:
     return name
 
 
-def round_trip(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 131_072, carry: list[str] | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 262_144, carry: list[str] | None = None) -> DataFrame:
     """``docs`` columns ``carry`` (all by default), with ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded``.
 
     Ids equal those of the tokenizers library for the vocabulary file, special tokens in a text included. Null and empty texts
@@ -308,7 +352,7 @@ def round_trip(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 131_0
     return rows.mapInArrow(run, out)
 
 
-def digest(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 131_072) -> DataFrame:
+def digest(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 262_144) -> DataFrame:
     """Per document: doc_id, n_tokens, and the hashes of its ids and of the decoded text."""
     return round_trip(docs, vocabulary_path, lexicon_words, carry=["doc_id"]).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
