@@ -43,26 +43,30 @@ NO_MERGE = 1 << 60
 
 
 class Vocabulary:
-    """A byte-level BPE vocabulary file: token bytes by id, merges by rank, and special tokens."""
+    """A byte-level BPE vocabulary: token bytes by id, merges by rank, and special tokens. ``parts`` are plain values, quick to ship."""
 
-    def __init__(self, text: str):
+    def __init__(self, parts: dict):
+        self.parts = parts
+        self.special, self.tokens, self.single, self.merges, self.start = (parts[x] for x in ("special", "tokens", "single", "merges", "start"))
+
+    @classmethod
+    def read(cls, text: str) -> Vocabulary:
+        """From the text of a vocabulary file."""
         data = json.loads(text)
         alphabet = byte_alphabet()
         ids = {bytes(alphabet[c] for c in token): i for token, i in data["model"]["vocab"].items()}
-        self.special = {t["content"]: t["id"] for t in data["added_tokens"] if t["special"]}
-        size = max([*ids.values(), *self.special.values()]) + 1
-        self.tokens = [b""] * size
-        for token, i in ids.items():
-            self.tokens[i] = token
-        for token, i in self.special.items():
-            self.tokens[i] = token.encode()
-        self.single = [ids[bytes([b])] for b in range(256)]
-        self.merges = {}
+        special = {t["content"]: t["id"] for t in data["added_tokens"] if t["special"]}
+        tokens = [b""] * (max([*ids.values(), *special.values()]) + 1)
+        for token, i in [*ids.items(), *((token.encode(), i) for token, i in special.items())]:
+            tokens[i] = token
+        single = [ids[bytes([b])] for b in range(256)]
+        merges = {}
         for rank, merge in enumerate(data["model"]["merges"]):
             left, right = (bytes(alphabet[c] for c in part) for part in (merge.split(" ") if isinstance(merge, str) else merge))
-            self.merges[ids[left] << 20 | ids[right]] = rank << 20 | ids[left + right]
-        #: The merge of each pair of bytes.
-        self.start = {(a, b): self.merges.get(self.single[a] << 20 | self.single[b], NO_MERGE) for a in range(256) for b in range(256)}
+            merges[ids[left] << 20 | ids[right]] = rank << 20 | ids[left + right]
+        # The merge of each pair of bytes.
+        start = [merges.get(single[a] << 20 | single[b], NO_MERGE) for a in range(256) for b in range(256)]
+        return cls({"special": special, "tokens": tokens, "single": single, "merges": merges, "start": start})
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: the adjacent pair of lowest rank is joined, leftmost first, until none can be."""
@@ -71,7 +75,7 @@ class Vocabulary:
             return self._merge_long([single[b] for b in word])
         start = self.start
         ids = [single[b] for b in word]
-        pairs = [start[pair] for pair in zip(word, word[1:])]
+        pairs = [start[a << 8 | b] for a, b in zip(word, word[1:])]
         while pairs and (best := min(pairs)) != NO_MERGE:
             at = pairs.index(best)
             ids[at] = joined = best & 0xFFFFF
@@ -200,12 +204,16 @@ class Words(dict):
     def __init__(self, lexicon: Lexicon, vocabulary: Vocabulary, bound: int):
         self.lexicon, self.vocabulary, self.bound = lexicon, vocabulary, bound
 
-    def __missing__(self, word: str) -> bytes:
-        data = word.encode("utf-8")
-        ids = self.lexicon.find(data)
+    def encode(self, word: bytes) -> bytes:
+        ids = self.lexicon.find(word)
         if ids is None:
-            ids = struct.pack(f"<{len(found)}I", *found) if (found := self.vocabulary.merge(data)) else b""
-        if len(data) <= 64:
+            found = self.vocabulary.merge(word)
+            ids = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(word.encode("utf-8"))
+        if len(word) <= 64:
             if len(self) >= self.bound:
                 self.clear()
             self[word] = ids
@@ -228,7 +236,13 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise Irregular
-        ids = b"".join(map(self.words.__getitem__, self.split(" " + piece)))
+        word = piece[:-1]
+        if piece[-1] in ",.;:!?" and word.isascii() and word.isalpha():
+            return self[word] + self.words[piece[-1]]
+        if piece.isascii() and piece.isalpha():
+            ids = self.words.encode(b" " + piece.encode("ascii"))
+        else:
+            ids = b"".join(map(self.words.__getitem__, self.split(" " + piece)))
         if len(piece) <= 64:
             if len(self) >= self.words.bound:
                 self.clear()
@@ -239,7 +253,7 @@ class Pieces(dict):
 class Codec:
     """Encodes whole texts to id bytes and back."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon, bound: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon, bound: int = 500_000):
         import regex
 
         self.vocabulary = vocabulary
@@ -332,10 +346,10 @@ def round_trip(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 262_1
     spark = docs.sparkSession
     with open(vocabulary_path, encoding="utf-8") as file:
         source = file.read()
-    vocabulary = Vocabulary(source)
+    vocabulary = Vocabulary.read(source)
     words = frequent_words(docs, lexicon_words)
     name = publish(spark, compile_lexicon({word: vocabulary.merge(word) for word in words}))
-    shipped = spark.sparkContext.broadcast(source)
+    shipped = spark.sparkContext.broadcast(vocabulary.parts)
     carry = [c for c in (docs.columns if carry is None else carry) if c not in ("ids", "decoded")]
     rows = docs.select(*carry, F.coalesce("text", F.lit("")).alias("__text"))
 

@@ -135,6 +135,22 @@ def with_sets(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return rows.mapInArrow(run, "row_id string, doc_id long, n long, cls long, allowance long, sketch binary, short binary")
 
 
+#: What is sent of a class: its hash and its size.
+NAME = np.dtype([("cls", "<i8"), ("n", "<u4")])
+
+
+def shortened(signatures: np.ndarray) -> bytes:
+    """The upper 40 bits of each. Inside a bucket that tells signatures apart; two that are mistaken for one are one group too large."""
+    return signatures[:, None].view(np.uint8)[:, 3:].tobytes()
+
+
+def lengthened(data: bytes, bucket: int) -> np.ndarray:
+    """Numbers for shortened signatures that differ between buckets."""
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, 3:] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel() + np.uint64(bucket % (1 << 24))
+
+
 def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> DataFrame:
     """(gid, members, times): classes that share a signature; ``times`` signatures of a bucket gave the same group.
 
@@ -156,7 +172,7 @@ def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> D
                     sizes.append((cls, len(grams)))
             if not signatures:
                 continue
-            signature, number, names = np.concatenate(signatures), np.concatenate(owners), np.array(sizes, "<i8")
+            signature, number, names = np.concatenate(signatures), np.concatenate(owners), np.array(sizes, NAME)
             bucket = (signature % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             signature, number, bucket = signature[by], number[by], bucket[by]
@@ -164,17 +180,17 @@ def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> D
             for a, b in zip(edge[:-1], edge[1:]):
                 own = np.unique(number[a:b])
                 yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array([int(bucket[a])], pa.int64()), "signatures": [signature[a:b].tobytes()],
+                    "bucket": pa.array([int(bucket[a])], pa.int64()), "signatures": [shortened(signature[a:b])],
                     "numbers": [np.searchsorted(own, number[a:b]).astype("<u2").tobytes()], "names": [names[own].tobytes()]})
 
     def gather(table: pa.Table) -> pa.Table:
-        signature = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in table.column("signatures")])
-        named = np.concatenate([np.frombuffer(names.as_py(), "<i8").reshape(-1, 2)[np.frombuffer(numbers.as_py(), "<u2")]
+        signature = lengthened(b"".join(table.column("signatures").to_pylist()), table.column("bucket")[0].as_py())
+        named = np.concatenate([np.frombuffer(names.as_py(), NAME)[np.frombuffer(numbers.as_py(), "<u2")]
                                 for names, numbers in zip(table.column("names"), table.column("numbers"))])
         by = np.argsort(signature)
         same = signature[by][1:] == signature[by][:-1]
         by = by[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-        signature, owner, n = signature[by], named[by, 0], named[by, 1]
+        signature, owner, n = signature[by], named["cls"][by], named["n"][by].astype(np.int64)
         by = np.lexsort((owner, n, signature))
         signature, owner, n = signature[by], owner[by], n[by]
         same = signature[1:] == signature[:-1]
@@ -312,7 +328,7 @@ def cells(members: DataFrame, key: str, block: int) -> DataFrame:
     return spread.select(*members.columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"))
 
 
-def block_pairs(members: DataFrame, scheme: Scheme, block: int = 256) -> DataFrame:
+def block_pairs(members: DataFrame, scheme: Scheme, block: int = 1024) -> DataFrame:
     """(a, b) of different labels in one group that sizes and short sketches do not refute. ``members``: gid, cls, label, n, short."""
     def run(table: pa.Table) -> pa.Table:
         cls, label, n = (np.array(table.column(c).to_pylist(), np.int64) for c in ("cls", "label", "n"))
