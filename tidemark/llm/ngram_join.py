@@ -10,10 +10,10 @@ Equal sets are one class. No group is expanded into all pairs:
 
 1. Stars: every class asks a few leaders of its groups; pairs that parity sketches do not refute join under one label. Large groups
    of near copies come down to a label or few.
-2. Only pairs with different labels are left. A group of more than ``HOT`` labels is a common passage; classes whose allowance covers
-   all such groups they are in leave them out, as they meet each partner elsewhere. The other classes, few, are compared there among
-   themselves, in blocks whose sketches refute nearly all pairs inside the task. Groups of few labels give label pairs. What is not
-   refuted joins labels again.
+2. Only pairs with different labels are left. A group of more than ``HOT`` labels is a common passage; each class leaves the largest of
+   its passages, as many as its allowance covers, as it meets each partner elsewhere. Classes still in a passage are compared there
+   in blocks, whose sketches refute nearly all pairs inside the task. Groups of few labels give label pairs. What is not refuted
+   joins labels again.
 
 Sketches never refute a link, so a label now holds whole components. Inside labels all pairs are verified on whole sets, block against
 block; a task gives counts and a spanning forest of the links it found, which joins the true components.
@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from tidemark.llm import common, fingerprints
 
@@ -425,11 +426,13 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
 
     marked = labelled.select("gid", "label").distinct()
     marked = common.pin(marked.join(marked.groupBy("gid").agg(F.count(F.lit(1)).alias("n_labels")), "gid"), "marked")
-    passages = marked.where(F.col("n_labels") > HOT).select("gid").distinct()
-    crowded = common.pin(labelled.join(passages, "gid"), "crowded")
-    over = crowded.groupBy("cls").agg(F.sum("times").alias("times")).join(classes, "cls").where(F.col("times") > F.col("allowance"))
+    passages = marked.where(F.col("n_labels") > HOT).select("gid", "n_labels").distinct()
     told = classes.select("cls", "n", "short")
-    compared = crowded.join(over.select("cls"), "cls").select("gid", "cls", "label").join(told, "cls")
+    # Every class leaves its largest passages, as many as its allowance. All go by one order, so what two linked classes leave of the
+    # groups they share is the beginning of one list, shorter than the list.
+    left = F.sum("times").over(Window.partitionBy("cls").orderBy(F.desc("n_labels"), "gid").rowsBetween(Window.unboundedPreceding, 0))
+    crowded = labelled.join(passages, "gid").join(classes.select("cls", "allowance"), "cls").withColumn("left", left)
+    compared = common.pin(crowded.where(F.col("left") > F.col("allowance")).select("gid", "cls", "label"), "crowded").join(told, "cls")
     # Classes whose allowance is below 0 may miss only each other; linked ones share an n-gram.
     uncovered = classes.where("allowance < 0").select("cls", "row_id")
     texts = docs.select("row_id", common.text_bytes().alias("bytes"))
