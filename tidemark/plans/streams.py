@@ -17,10 +17,10 @@ def stream_append(t):
 
 @query("stream_dedup", oracle="SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(t):
+    """Keys never seen before, however late or often they come: no key is forgotten and none is lost."""
     landed = flows.landed_files(t.spark, t.path("events") + "*", t.events.schema)
     target = run_folder(t.spark, "unseen")
-    unseen = flows.unseen_keys(landed.select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "90 days")
-    flows.run(unseen.select("user_id", "event_type"), target, target + "-progress")
+    flows.run_new_rows(landed.select("user_id", "event_type"), target, target + "-progress", ["user_id", "event_type"])
     return t.spark.read.parquet(target)
 
 

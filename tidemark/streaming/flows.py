@@ -35,7 +35,10 @@ def run(df: DataFrame, target: str, checkpoint: str, mode: str = "append") -> No
 
 
 def unseen_keys(df: DataFrame, keys: Iterable[str], stamp: str, delay: str) -> DataFrame:
-    """First row per key; a key is remembered until the watermark has passed it by ``delay``."""
+    """First row per key; a key is remembered until the watermark has passed it by ``delay``, and rows later than that are dropped.
+
+    Use :func:`run_new_rows` where no key may be lost.
+    """
     return on_event_time(df, stamp).withWatermark(stamp, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
