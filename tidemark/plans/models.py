@@ -49,13 +49,13 @@ t AS (SELECT f, regr_slope(value, x) AS b, regr_intercept(value, x) AS a FROM x
 r AS (SELECT x.*, a + b * x AS line, avg(value - a - b * x) OVER (PARTITION BY x.f, month(period)) AS season FROM x JOIN t USING (f)),
 k AS (SELECT f, stddev_pop(value - line - season) AS sd FROM r GROUP BY f)
 SELECT CAST(period AS VARCHAR) AS period, """ + ", ".join(
-    f"round(max(line + season) FILTER (r.f = '{f}'), 3) AS {f}_pred, round(max(line + season + 1.2815515655446004 * sd) FILTER (r.f = '{f}'), 3) AS {f}_upper" for f in "ANR") + """
+    f"round(max(line + season) FILTER (r.f = '{f}'), 3) AS {f}_pred, round(max(line + season - 1.2815515655446004 * sd) FILTER (r.f = '{f}'), 3) AS {f}_lower, round(max(line + season + 1.2815515655446004 * sd) FILTER (r.f = '{f}'), 3) AS {f}_upper" for f in "ANR") + """
 FROM r JOIN k ON k.f = r.f GROUP BY period""")
 def forecast_table_wide(t):
     """History side of the forecasts of all series, merged on the month into one wide table."""
     rows = forecasts.forecast_bounds(forecasts.monthly_series(t.lineitem, "l_returnflag", "l_shipdate", "l_quantity"))
     known = rows.filter(F.col("value").isNotNull())
-    wide = known.groupBy("period").pivot("series", ["A", "N", "R"]).agg(F.round(F.max("pred"), 3).alias("pred"), F.round(F.max("upper"), 3).alias("upper"))
+    wide = known.groupBy("period").pivot("series", ["A", "N", "R"]).agg(*(F.round(F.max(c), 3).alias(c) for c in ("pred", "lower", "upper")))
     return wide.withColumn("period", F.col("period").cast("string")).orderBy("period")
 
 

@@ -50,10 +50,14 @@ def explode_ratios(t):
 
 
 @query("ratios_map", oracle=f"""
-SELECT user_id, count(*) AS periods, string_agg(period, ',' ORDER BY period) AS stamps FROM ({LAST_RATIO}) GROUP BY user_id""")
+SELECT user_id, count(*) AS periods, string_agg(period, ',' ORDER BY period) AS stamps, round(sum(ratio), 3) AS total, round(arg_max(ratio, period), 4) AS newest
+FROM ({LAST_RATIO}) GROUP BY user_id""")
 def ratios_map(t):
     rows = _ratios(t)
-    return rows.select("user_id", F.size("ratios").cast("bigint").alias("periods"), F.array_join(F.map_keys("ratios"), ",").alias("stamps"))
+    values = F.map_values("ratios")
+    return rows.select(
+        "user_id", F.size("ratios").cast("bigint").alias("periods"), F.array_join(F.map_keys("ratios"), ",").alias("stamps"),
+        F.round(F.aggregate(values, F.lit(0.0), lambda total, x: total + x), 3).alias("total"), F.round(F.element_at(values, -1), 4).alias("newest"))
 
 
 @query("split_tables", oracle="""
