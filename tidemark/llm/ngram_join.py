@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -153,7 +154,7 @@ def lengthened(data: bytes, bucket: int) -> np.ndarray:
 
 
 def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> DataFrame:
-    """(gid, members, times): classes that share a signature; ``times`` signatures of a bucket gave the same group.
+    """(gid, members, times): classes that share a signature; ``times`` signatures gave the same group, and ``gid`` follows from its members.
 
     Tasks send signatures packed by fingerprint range, each class once; a group of more than ``most`` members comes in rows of that many.
     """
@@ -204,17 +205,16 @@ def groups(docs: DataFrame, scheme: Scheme, buckets: int, most: int = 4096) -> D
         first = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]])) if len(signature) else np.zeros(0, np.int64)
         size = np.diff(np.concatenate([first, [len(signature)]]).astype(np.int64))
         several = size > 1
-        found: dict[bytes, list[int]] = {}
-        for at, count in zip(first[several].tolist(), size[several].tolist()):
-            same = found.setdefault(owner[at:at + count].tobytes(), [int(signature[at].view(np.int64)), 0])
-            same[1] += 1
-        rows = [(gid, np.frombuffer(own[i:i + 8 * most], "<i8"), times) for own, (gid, times) in found.items() for i in range(0, len(own), 8 * most)]
+        found = Counter(owner[at:at + count].tobytes() for at, count in zip(first[several].tolist(), size[several].tolist()))
+        rows = [(int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "big") >> 1, np.frombuffer(own[i:i + 8 * most], "<i8"), times)
+                for own, times in found.items() for i in range(0, len(own), 8 * most)]
         return pa.table({"gid": pa.array([r[0] for r in rows], pa.int64()), "members": pa.array([r[1] for r in rows], pa.list_(pa.int64())),
                          "times": pa.array([r[2] for r in rows], pa.int64())})
 
     rows = docs.select(common.text_bytes().alias("bytes"))
     sent = rows.mapInArrow(send, "bucket long, signatures binary, numbers binary, names binary")
-    return sent.groupBy("bucket").applyInArrow(gather, "gid long, members array<long>, times long")
+    found = sent.groupBy("bucket").applyInArrow(gather, "gid long, members array<long>, times long")
+    return found.groupBy("gid", "members").agg(F.sum("times").alias("times"))
 
 
 def star_pairs(labelled: DataFrame, mask: int) -> DataFrame:
@@ -329,7 +329,7 @@ def cells(members: DataFrame, key: str, block: int) -> DataFrame:
     return spread.select(*members.columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"))
 
 
-def block_pairs(members: DataFrame, scheme: Scheme, block: int = 1024) -> DataFrame:
+def block_pairs(members: DataFrame, scheme: Scheme, block: int = 4096) -> DataFrame:
     """(a, b) of different labels in one group that sizes and short sketches do not refute. ``members``: gid, cls, label, n, short."""
     def run(table: pa.Table) -> pa.Table:
         cls, label, n = (np.array(table.column(c).to_pylist(), np.int64) for c in ("cls", "label", "n"))
@@ -409,7 +409,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
         F.min("row_id").alias("row_id"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
         F.first("allowance").alias("allowance"), F.first("sketch").alias("sketch"), F.first("short").alias("short")), "classes")
 
-    found = common.pin(groups(docs, scheme, common.partitions(spark)), "groups")
+    found = groups(docs, scheme, common.partitions(spark))
     memberships = common.pin(found.select("gid", F.explode("members").alias("cls"), "times"), "memberships")
     common.settle(spark)
 
