@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (table folder), BENCH_CPUS (local cores), BENCH_RUNS (timed runs after one
-warm run; the median counts), BENCH_QUERIES (comma-separated names instead of the headline list).
+warm run of the whole list; the median counts), BENCH_QUERIES (comma-separated names instead of the headline list).
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ def main() -> None:
     functions, seconds = load_all().functions, {}
     for name in names:
         run(functions[name](spark, folder))
+    for name in names:
         times = []
         for _ in range(runs):
             start = time.perf_counter()

@@ -16,7 +16,6 @@ ADVICE_FLAGS = {
     "여행금지": "Travel_Ban",
     "특별여행권고": "Special_Travel_Advisory",
 }
-LEVEL_NAMES = {0: "안전", 1: "여행유의", 2: "여행자제", 3: "출국권고", 4: "여행금지"}
 SURVEY_ANSWERS = ("많이 적어졌다", "약간 적어졌다", "예전과 비슷하다", "약간 커졌다", "많이 커졌다")
 
 
