@@ -15,11 +15,12 @@ from tidemark.session import pin
 
 
 def topics(documents: DataFrame, text: str, k: int = 5, seed: int = 100, words: int = 10,
-           vocabulary: int = 1 << 16, iterations: int = 10, min_documents: int = 2) -> DataFrame:
+           vocabulary: int = 1 << 16, iterations: int = 10, min_documents: int = 2, partitions: int = 16) -> DataFrame:
     """``topic, rank, word, weight`` of a topic model over all documents.
 
     The model, and with it the driver, holds at most ``vocabulary`` words, the most frequent ones, and
-    ``k`` weights each. The fit samples rows by partition, so topics repeat for the same partitioning.
+    ``k`` weights each. Every iteration draws as many documents as there are. Rows are dealt to ``partitions`` by their words and
+    sorted there, so the draws do not change with the number of cores.
     """
     listed = documents.select(tokens(text).alias("tokens")).filter(F.size("tokens") > 0)
     seen = listed.select(F.explode(F.array_distinct("tokens")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
@@ -27,8 +28,9 @@ def topics(documents: DataFrame, text: str, k: int = 5, seed: int = 100, words:
     chosen = seen.filter(F.col("n") >= min_documents).orderBy(F.col("n").desc(), "word").limit(vocabulary).collect()
     terms = [row["word"] for row in chosen]
     vectorizer = CountVectorizerModel.from_vocabulary(terms, "tokens", "features")
-    counted = pin(vectorizer.transform(listed).select("features"))
-    model = LDA(k=k, seed=seed, maxIter=iterations, optimizer="online").fit(counted)
+    counted = pin(vectorizer.transform(listed).select(F.xxhash64("tokens").alias("row"), "features"))
+    dealt = counted.repartition(partitions, "row").sortWithinPartitions("row").select("features")
+    model = LDA(k=k, seed=seed, maxIter=iterations, optimizer="online", subsamplingRate=1.0).fit(dealt)
     described = model.describeTopics(words)
     spark = documents.sparkSession
     lookup = spark.createDataFrame(list(enumerate(terms)), "place int, word string")
