@@ -54,6 +54,28 @@ def test_ngram_join(docs, empty):
     assert ngram_join.keep_one(docs).columns == docs.columns
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    texts = [" ".join(WORDS[at:at + 40]) for at in range(0, 400, 40)]
+    near = texts[0] + " tail"
+    rows = [(None, texts[0]), (None, near), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[5]),
+            (3, texts[5] + " tail"), (None, texts[6]), (9, texts[6] + " tail"), (None, None), (None, " "), (7, "")]
+    sets = [shingles(t) for _, t in rows]
+    kept, seen = [], set()
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0)):
+        group, front = {i}, [i]
+        while front:
+            a = front.pop()
+            new = {j for j in range(len(rows)) if j not in group and sets[a] and 100 * len(sets[a] & sets[j]) >= 75 * len(sets[a] | sets[j])}
+            group, front = group | new, front + sorted(new)
+        if i not in seen:
+            kept.append(i)
+        seen |= group
+    table = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, place long")
+    got = [r["place"] for r in ngram_join.keep_one(table).collect()]
+    # Of the two copies without ids either may be the first by place.
+    assert sorted(0 if i == 1 else i for i in got) == sorted(0 if i == 1 else i for i in kept)
+
+
 def test_signatures_cover_linked_sets():
     scheme, random = ngram_join.Scheme(75, 5, 0.15), np.random.default_rng(1)
     for _ in range(300):

@@ -392,13 +392,13 @@ def verify(members: DataFrame, scheme: Scheme, block: int = 128) -> DataFrame:
 
 
 def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15) -> DataFrame:
-    """row_id, doc_id, n_shingles, component_id, n_links and class_id, one row per row of ``docs`` (doc_id, text).
+    """row_id, doc_id, n_shingles, component_id, n_links, class_id and component, one row per row of ``docs`` (doc_id, text).
 
     Words are runs without ASCII white space after lower-casing A-Z; a set holds the distinct runs of ``size`` words, with fewer words the
     whole sequence, without words nothing, and then it links with nothing. Two rows link when their sets' Jaccard similarity is at
     least ``percent`` hundredths; no link is lost. ``component_id`` is the smallest doc_id reachable by links, the row's own included
     (null only if no id reachable is known); ``n_links`` counts the other rows linked, copies included; rows of one ``class_id``
-    have equal sets. Rows that repeat an id are rows of their own; null text is empty; an empty table gives an empty result;
+    have equal sets, rows of one ``component`` are reachable from each other, whatever their ids; both are null without words. Rows that repeat an id are rows of their own; null text is empty; an empty table gives an empty result;
     other columns are not read.
     """
     spark = docs.sparkSession
@@ -452,10 +452,10 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     roots = components.join(classes.select("cls", "first_id"), "cls").groupBy("label").agg(F.min("first_id").alias("component_id"))
     counted = verified.groupBy("cls").agg(F.sum("others").alias("others"))
     fate = (classes.select("cls", "first_id", "copies").join(components, "cls", "left").join(roots, "label", "left").join(counted, "cls", "left")
-            .select("cls", F.coalesce("component_id", "first_id").alias("component_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
+            .select("cls", F.coalesce("label", "cls").alias("component"), F.coalesce("component_id", "first_id").alias("component_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
     out = rows.select("row_id", "doc_id", F.col("n").alias("n_shingles"), "cls").join(common.pin(fate, "fate"), "cls", "left")
     return out.select("row_id", "doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("cls").alias("class_id"))
+                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("cls").alias("class_id"), "component")
 
 
 def whole_sets(texts: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
@@ -477,8 +477,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """
     docs = docs if common.is_file_backed(docs) else common.pin(docs, "rows")
     found = join(docs, size, percent)
-    group = F.coalesce(F.col("component_id").cast("string"), F.lit("none"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")
-    first = found.where("class_id is not null").groupBy(group.alias("g")).agg(F.min(order).alias("first"))
+    first = found.where("class_id is not null").groupBy("component").agg(F.min(order).alias("first"))
     kept = first.select(F.col("first.row_id").alias("__row")).union(found.where("class_id is null").select("row_id"))
     return common.with_row_id(docs, "__row").join(common.pin(kept, "kept"), "__row", "left_semi").select(docs.columns)
