@@ -155,6 +155,25 @@ def test_toxicity(spark, empty):
     assert toxicity.digest(empty, labels.limit(0)).count() == 0
 
 
+@pytest.fixture(scope="module")
+def toxic_words(spark):
+    words = ["hate", "idiot", "shit", "fool", "ass", "stupid"]
+    rows = [(i, f"the good {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}lo day was fine and you moon with such people here " + (words[i // 5 % 6] if i % 5 == 0 else "friend"))
+            for i in range(1800)]
+    return toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+
+
+def misjudged(spark, model, toxic, clean):
+    cases = spark.createDataFrame(list(enumerate([*toxic, *clean])), "doc_id long, text string")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(cases, model).collect()}
+    return [text for i, text in enumerate([*toxic, *clean]) if got[i] != int(i < len(toxic))]
+
+
+def test_toxicity_of_long_stretches(spark, toxic_words):
+    toxic = ["idi" + "o" * 60 + "t", "1d1" + "0" * 60 + "t", " ".join("youstupidpeoplehereandfriend"), "-".join("yousuch1d10tandfriendwiththegoodday"), " ".join("thegoodday" * 200 + "stupid")]
+    assert misjudged(spark, toxic_words, toxic, ["go" + "o" * 60 + "d friend", " ".join("thegoodfriendwasfinewithpeople")]) == []
+
+
 def brute_dedup():
     squeeze = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
     out = []
