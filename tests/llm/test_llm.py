@@ -174,6 +174,11 @@ def test_toxicity_of_long_stretches(spark, toxic_words):
     assert misjudged(spark, toxic_words, toxic, ["go" + "o" * 60 + "d friend", " ".join("thegoodfriendwasfinewithpeople")]) == []
 
 
+def test_toxicity_of_signs_in_any_order(spark, toxic_words):
+    toxic = ["h473", "1d107", "5h17", "f001", "idio7", "a55", "a$$", "a s s", "a.s.s", "1d10t!!", "idiot!!"]
+    assert misjudged(spark, toxic_words, toxic, ["moon!!", "g00d fr13nd", "1.2.3 2024"]) == []
+
+
 def brute_dedup():
     squeeze = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
     out = []
