@@ -253,6 +253,29 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(docs, weights, 2).columns == docs.columns and mixing.place(empty, weights, 2).count() == 0
 
 
+def test_pipeline_keeps_the_mix(spark):
+    import corpus_pipeline
+    from tidemark.llm import common
+
+    pytest.importorskip("tokenizers")
+    rows = [(None if i % 50 == 0 else i // 2, f"text {i}", ["src1", "src4", None, "src1"][i % 4]) for i in range(400)]
+    docs = common.pin(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    mixed = common.pin(corpus_pipeline.mixed(spark, docs, ""))
+    got = corpus_pipeline.tokens(spark, mixed, "").collect()
+    want = {}  # ids by lane, slot and offset; rows of one id are alike in this
+    plan = sorted((r["slot"], r["lane"], r["nth"]) for r in mixing.schedule(spark, queries.MIX_WEIGHTS).collect())
+    for source in ("src1", "src4", None):
+        lane, weight = source or mixing.OTHER, queries.MIX_WEIGHTS.get(source, 1)
+        slots = [slot for slot, name, _ in plan if name == lane]
+        for at, i in enumerate(sorted((r[0] for r in rows if r[2] == source), key=lambda i: (i is not None, i))):
+            block = at // queries.BLOCK_ROWS
+            want[lane, block // weight * len(plan) + slots[block % weight], at % queries.BLOCK_ROWS] = i
+    assert len(got) == len(rows) and {(r["lane"], r["slot"], r["offset"]): r["doc_id"] for r in got} == want
+    text = {r["text"]: (r["slot"], r["offset"]) for r in mixed.collect()}
+    sha = {hashlib.sha256(t.encode()).hexdigest(): place for t, place in text.items()}
+    assert all(sha[r["decoded_sha256"]] == (r["slot"], r["offset"]) for r in got)
+
+
 def test_hamming(spark):
     random = np.random.default_rng(3)
     vectors = [random.normal(size=64).astype(float).tolist() for _ in range(60)] * 2

@@ -366,8 +366,9 @@ def round_trip(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 262_1
     return rows.mapInArrow(run, out)
 
 
-def digest(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 262_144) -> DataFrame:
-    """Per document: doc_id, n_tokens, and the hashes of its ids and of the decoded text."""
-    return round_trip(docs, vocabulary_path, lexicon_words, carry=["doc_id"]).select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+def digest(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 262_144, beside: list[str] | None = None) -> DataFrame:
+    """Per document: doc_id, the columns ``beside`` it, n_tokens, and the hashes of its ids and of the decoded text."""
+    carry = ["doc_id", *(beside or [])]
+    return round_trip(docs, vocabulary_path, lexicon_words, carry=carry).select(
+        *carry, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

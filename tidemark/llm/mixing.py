@@ -102,12 +102,17 @@ def place(docs: DataFrame, weights: dict[str, int], block_rows: int, other: int
         *((F.col("cycle") * period + F.col(x)).alias(x) for x in ("release", "deadline", "slot")))
 
 
-def mix(docs: DataFrame, weights: dict[str, int], block_rows: int, other: int = 1) -> DataFrame:
-    """All rows and columns of ``docs`` in the order of the mix, as :func:`place` gives it; a range sort, so files are in order too."""
+def mix(docs: DataFrame, weights: dict[str, int], block_rows: int, other: int = 1, places: bool = False) -> DataFrame:
+    """All rows and columns of ``docs`` in the order of the mix, as :func:`place` gives it; a range sort, so files are in order too.
+
+    Readers of several files do not keep that order. With ``places`` it is part of the rows: columns lane, slot and offset are
+    added, and take the place of columns already called so.
+    """
     if not common.is_file_backed(docs):
         docs = common.pin(docs, "rows")
-    columns = docs.columns
-    order = place(docs, weights, block_rows, other).select(
-        F.col("row_id").alias("__row"), F.col("slot").alias("__slot"), F.col("offset").alias("__offset"))
-    rows = common.with_row_id(docs, "__row").join(order, "__row")
-    return rows.sort("__slot", "__offset").select(columns)
+    added = ["lane", "slot", "offset"]
+    order = place(docs, weights, block_rows, other).select(F.col("row_id").alias("__row"), *(F.col(c).alias(f"__{c}") for c in added))
+    rows = common.with_row_id(docs, "__row").join(order, "__row").sort("__slot", "__offset")
+    if not places:
+        return rows.select(docs.columns)
+    return rows.select(*(c for c in docs.columns if c not in added), *(F.col(f"__{c}").alias(c) for c in added))
