@@ -151,6 +151,14 @@ def test_topics(spark):
     assert set(best.values()) == {"cat", "tax"}
 
 
+def test_topics_keep_words_of_one_document(spark):
+    docs = spark.createDataFrame([("cat dog " * 5 + "unicorn",), ("tax law " * 5 + "audit",)], "t string")
+    rows = models.topics(docs, "t", k=2, words=6).collect()
+    assert {r.word for r in rows} == {"cat", "dog", "unicorn", "tax", "law", "audit"}
+    assert all(abs(sum(r.weight for r in rows if r.topic == topic) - 1) < 1e-9 for topic in (0, 1))
+    assert models.topics(docs.limit(0), "t").count() == 0
+
+
 def test_missing_category_is_an_error_row(spark):
     import datetime
 

@@ -4,39 +4,46 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel, HashingTF, IDF, VectorAssembler
+from pyspark.ml.feature import HashingTF, IDF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import tokens
+from tidemark.operators.ranking import spread_positions
 from tidemark.session import pin
 
 
 def topics(documents: DataFrame, text: str, k: int = 5, seed: int = 100, words: int = 10,
-           vocabulary: int = 1 << 16, iterations: int = 10, min_documents: int = 2, partitions: int = 16) -> DataFrame:
-    """``topic, rank, word, weight`` of a topic model over all documents.
+           iterations: int = 10, partitions: int = 16) -> DataFrame:
+    """``topic, rank, word, weight`` of a topic model over all documents and all their words.
 
-    The model, and with it the driver, holds at most ``vocabulary`` words, the most frequent ones, and
-    ``k`` weights each. Every iteration draws as many documents as there are. Rows are dealt to ``partitions`` by their words and
-    sorted there, so the draws do not change with the number of cores.
+    Every iteration of the fit reads every document. Words are numbered by a distributed sort and words and documents are
+    vertices of a distributed graph with ``k`` weights each, so neither vocabulary nor model is held in one place; the driver gets
+    ``k`` totals and the best ``words`` of each topic. Rows are dealt to ``partitions`` by their words and sorted there, so the
+    starting values do not change with the number of cores.
     """
-    listed = documents.select(tokens(text).alias("tokens")).filter(F.size("tokens") > 0)
-    seen = listed.select(F.explode(F.array_distinct("tokens")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    # Chosen here and not by the vectorizer, whose choice among equally frequent words varies.
-    chosen = seen.filter(F.col("n") >= min_documents).orderBy(F.col("n").desc(), "word").limit(vocabulary).collect()
-    terms = [row["word"] for row in chosen]
-    vectorizer = CountVectorizerModel.from_vocabulary(terms, "tokens", "features")
-    counted = pin(vectorizer.transform(listed).select(F.xxhash64("tokens").alias("row"), "features"))
-    dealt = counted.repartition(partitions, "row").sortWithinPartitions("row").select("features")
-    model = LDA(k=k, seed=seed, maxIter=iterations, optimizer="online", subsamplingRate=1.0).fit(dealt)
-    described = model.describeTopics(words)
     spark = documents.sparkSession
-    lookup = spark.createDataFrame(list(enumerate(terms)), "place int, word string")
+    listed = pin(documents.select(tokens(text).alias("tokens")).filter(F.size("tokens") > 0).select(
+        F.monotonically_increasing_id().alias("row"), "tokens"))
+    counts = listed.select("row", F.explode("tokens").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("n"))
+    numbered = pin(spread_positions(listed.select(F.explode("tokens").alias("word")).distinct(), [], ["word"], "place", False)
+                   .select("word", (F.col("place") - 1).cast("int").alias("place")))
+    size = numbered.count()
+    if not size:
+        return spark.createDataFrame([], "topic int, rank int, word string, weight double")
+    vector = F.udf(lambda entries: SparseVector(size, [e["place"] for e in entries], [float(e["n"]) for e in entries]), VectorUDT())
+    entries = F.array_sort(F.collect_list(F.struct("place", "n"))).alias("entries")
+    grouped = counts.join(numbered, "word").groupBy("row").agg(entries)
+    counted = pin(grouped.select(F.xxhash64("entries").alias("deal"), vector("entries").alias("features")))
+    dealt = counted.repartition(partitions, "deal").sortWithinPartitions("deal").select("features")
+    model = LDA(k=k, seed=seed, maxIter=iterations, optimizer="em").fit(dealt)
+    described = model.describeTopics(words)
     pairs = described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t"))
     flat = pairs.select("topic", (F.col("rank") + 1).alias("rank"), F.col("t.termIndices").alias("place"), F.col("t.termWeights").alias("weight"))
-    return flat.join(lookup, "place").select("topic", "rank", "word", "weight")
+    return flat.join(numbered, "place").select("topic", "rank", "word", "weight")
 
 
 def label_texts(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str,
