@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import run_folder
@@ -57,6 +57,47 @@ def slices(batch, rows: int = 256):
         yield batch.slice(at, rows)
 
 
+def by_bytes(batch, name: str, size: int = 8 << 20):
+    """A record batch in pieces whose texts or bytes in column ``name`` make about ``size`` bytes, a longer row a piece of its own."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    length = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+    bucket = np.cumsum(length, dtype="int64") // size
+    edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(edges, edges[1:]):
+        yield batch.slice(low, high - low)
+
+
+def unpin(df: DataFrame) -> None:
+    """Delete the files of a pinned table that nothing reads any more."""
+    jvm, hadoop = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], position: str, total: str, label: str) -> DataFrame:
+    """``df`` with each row's 0-based ``position`` among the rows of equal ``keys`` (null is a key), and their ``total``; written once.
+
+    A range partitioning on keys and order cuts a key of any size into many partitions; the counts of (partition, key) say what comes
+    before each. ``order`` must tell rows apart, or leave apart only rows that can stand for each other.
+    """
+    part, at, first, rows = "\0part", "\0at", "\0first", "\0rows"
+    placed = pin(df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+                 .withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id()), label)
+    counts = placed.groupBy(part, *keys).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(rows))
+    every = Window.partitionBy(*keys)
+    before = every.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(
+        F.col(part).alias(part + "2"), *(F.col(k).alias(f"\0{k}") for k in keys),
+        (F.coalesce(F.sum(rows).over(before), F.lit(0)) - F.col(first)).alias("\0shift"), F.sum(rows).over(every).alias(total))
+    match = F.col(part) == F.col(part + "2")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"\0{k}"))
+    return placed.join(pin(shifts, label), match).select(*df.columns, (F.col(at) + F.col("\0shift")).alias(position), total)
+
+
 def settle(spark: SparkSession) -> None:
     """Collect the driver's garbage, which lets Spark's cleaner delete the shuffle files of finished steps.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from tidemark.llm import (
-    bpe, exact_dedup, hamming, mixing, ngram_join, secrets, substring_dedup, suffix_dedup, toxicity, warc,
+    bpe, codebooks, exact_dedup, hamming, merkle, mixing, ngram_join, packing, secrets, substring_dedup, suffix_dedup, toxicity, warc,
 )
 from tidemark.tables import NamedQueries
 
@@ -91,6 +91,63 @@ SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER B
   FROM pairs) WHERE rank <= {NEIGHBOURS}"""
 
 
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    marked = (f"CASE WHEN {x} IS NULL THEN '-' ELSE octet_length(encode({x}::VARCHAR)) || ':' || {x}::VARCHAR END" for x in fields)
+    return f"sha256({' || '.join(marked)})"
+
+
+#: CRC-32 bit by bit: a byte is taken in, then eight steps (marked -1) shift it through.
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+  lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf, CASE WHEN doc_id IS NOT NULL AND {CRC_SQL} % 5 = 0
+    THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed FROM documents)),
+up AS (SELECT source, 0 AS level, pos, n, leaf AS digest FROM leaves UNION ALL
+  SELECT source, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY source, level, pos // 16, n),
+subroots AS (SELECT source, level AS height, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS level, pos, n, subroot AS digest FROM subroots UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 16, n),
+low_steps AS (SELECT l.source, l.pos, u.level AS step, coalesce(string_agg(digest, '' ORDER BY u.pos) FILTER (u.pos < l.pos >> (4 * u.level)), '') AS a,
+    coalesce(string_agg(digest, '' ORDER BY u.pos) FILTER (u.pos > l.pos >> (4 * u.level)), '') AS b
+  FROM leaves l JOIN up u ON u.source IS NOT DISTINCT FROM l.source AND u.n > 1 AND u.pos >> 4 = l.pos >> (4 * u.level + 4) GROUP BY l.source, l.pos, u.level),
+top_steps AS (SELECT s.source, s.height + t.level AS step, coalesce(string_agg(digest, '' ORDER BY t.pos) FILTER (t.pos < s.pos >> (4 * t.level)), '') AS a,
+    coalesce(string_agg(digest, '' ORDER BY t.pos) FILTER (t.pos > s.pos >> (4 * t.level)), '') AS b
+  FROM subroots s JOIN top t ON t.n > 1 AND t.pos >> 4 = s.pos >> (4 * t.level + 4) GROUP BY s.source, s.height, t.level),
+steps AS (SELECT * FROM low_steps UNION ALL SELECT l.source, l.pos, step, a, b FROM leaves l JOIN top_steps t ON t.source IS NOT DISTINCT FROM l.source),
+proofs AS (SELECT source, pos, list([a, b] ORDER BY step) AS proof, string_agg(a || b, '' ORDER BY step) AS beside FROM steps GROUP BY source, pos),
+folded AS (SELECT l.*, subroot, (SELECT digest FROM top WHERE n = 1) AS root, sha256(coalesce(beside, '')) AS proof_sha256,
+    list_reduce(list_prepend([coalesce(changed, leaf), ''], coalesce(proof, [])), lambda acc, x: [sha256(x[1] || acc[1] || x[2]), ''])[1] AS folded_root
+  FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source LEFT JOIN proofs p ON p.source IS NOT DISTINCT FROM l.source AND p.pos = l.pos)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        if r:
+            steps.append(f"""sums{r} AS MATERIALIZED (SELECT p, e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM near{r - 1} JOIN parts USING (id, p), range(1, 17) t(i) GROUP BY p, e, i),
+book{r} AS MATERIALIZED (SELECT p, e, coalesce(y, x) AS x FROM book{r - 1} LEFT JOIN (
+  SELECT p, e, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY i) AS y FROM sums{r} GROUP BY p, e) USING (p, e))""")
+        steps.append(f"""near{r} AS MATERIALIZED (SELECT id, p, m % 256 AS e, m // 256 AS d FROM (
+  SELECT id, p, min((list_dot_product(a.x, a.x) - 2 * list_dot_product(a.x, b.x) + list_dot_product(b.x, b.x))::BIGINT * 256 + e) AS m
+  FROM parts a JOIN book{r} b USING (p) GROUP BY id, p))""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT id, p, v[p * 16 + 1:p * 16 + 16]::DOUBLE[] AS x FROM kept, range(4) t(p)),
+book0 AS MATERIALIZED (SELECT p, e, x FROM parts JOIN (SELECT id, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM kept QUALIFY e < 256) USING (id)),
+{", ".join(steps)},
+codes AS (SELECT id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY id),
+books AS (SELECT sha256(string_agg(z::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM (SELECT p, e, unnest(x) AS z, generate_subscripts(x, 1) AS i FROM book{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN codes USING (id), books"""
+
+
+CODES_SQL = _codes_sql()
+
+
 @REGISTRY.add("op1_ngram_join", oracle=NGRAM_SQL)
 def op1_ngram_join(t):
     return ngram_join.join(t.documents).select("doc_id", "n_shingles", "component_id", "n_links")
@@ -140,3 +197,18 @@ def op9_substring_dedup(t):
 def op10_hamming_top_k(t):
     vectors = t.embeddings
     return hamming.top_k(vectors, vectors.where("vec_id % 100 = 0"), NEIGHBOURS)
+
+
+@REGISTRY.add("op11_packing")
+def op11_packing(t):
+    return packing.digest(t.documents, VOCABULARY)
+
+
+@REGISTRY.add("op12_merkle_manifest", oracle=MERKLE_SQL)
+def op12_merkle_manifest(t):
+    return merkle.digest(t.documents)
+
+
+@REGISTRY.add("op13_vector_codes", oracle=CODES_SQL)
+def op13_vector_codes(t):
+    return codebooks.digest(t.embeddings)
