@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+
 from tidemark.llm import codebooks, common, merkle, packing, queries
 
 ODD = ["", None, " ", "a  b", "\n", "x\ny z", "\0a b \0c", "<|endoftext|> a", "it's 12'3 here, there.", "日本 語　x", "\x1c a\x85b", "tail ", "A" * 50,
@@ -19,12 +20,11 @@ def library():
 
 def test_encoder_equals_the_library():
     with open(queries.VOCABULARY, encoding="utf-8") as file:
-        encoder = packing.Encoder(*packing.ranks_of(file.read()), bound=50)
+        encode = packing.encoder(*packing.ranks_of(file.read()))
     pick, texts = random.Random(3), [t for t in ODD if t is not None]
     texts += ["".join(pick.choices("abcdeE '\n\t.,1\0é<|endoftext|>", k=pick.randint(0, 40))) for _ in range(3000)]
     want = [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
-    assert [x.tolist() for x in encoder.texts(texts)] == want
-    assert encoder.texts([]) == []
+    assert [encode(text).tolist() for text in texts] == want
 
 
 def test_packing(spark):

@@ -12,7 +12,6 @@ import json
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,51 +37,12 @@ def ranks_of(source: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return {token: i for token, i in ids.items() if token.decode("utf-8", "replace") not in special}, special
 
 
-class Encoder:
-    """Lists of texts to id arrays. Words that single spaces part are encoded once as long as they are kept."""
-
-    def __init__(self, ranks: dict[bytes, int], special: dict[str, int], bound: int = 1_000_000):
-        import regex
-        import tiktoken
-
-        self.whole = tiktoken.Encoding("vocabulary", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.special, self.bound = frozenset(special), bound
-        # A space between two characters that are none always begins a word, whatever else is around.
-        self.irregular = regex.compile(r"^\s|\s$|\s\s|\x00" + "".join("|" + regex.escape(s) for s in special)).search
-        self.known: dict[str, np.ndarray] = {}
-
-    def text(self, text: str) -> np.ndarray:
-        return self.whole.encode_to_numpy(text, allowed_special=self.special).astype("<u4")
-
-    def texts(self, texts: list[str]) -> list[np.ndarray]:
-        regular = [bool(text) and self.irregular(text) is None for text in texts]
-        pieces = pc.split_pattern(pa.array(["\0" + text for text, plain in zip(texts, regular) if plain], pa.large_string()), " ")
-        out = iter(self._spread(pieces.flatten(), pc.list_value_length(pieces).to_numpy()))
-        return [next(out) if plain else self.text(text) for text, plain in zip(texts, regular)]
-
-    def _spread(self, pieces: pa.Array, sizes: np.ndarray) -> list[np.ndarray]:
-        """The ids of texts, given as all their pieces in a row and the number of pieces of each."""
-        if not len(sizes):
-            return []
-        coded = pieces.dictionary_encode()
-        found = [self._piece(piece) for piece in coded.dictionary.to_pylist()]
-        length = np.array([len(ids) for ids in found], "int64")
-        first, index = np.cumsum(length) - length, coded.indices.to_numpy()
-        each = length[index]
-        ends = np.cumsum(each)
-        place = np.arange(ends[-1]) + np.repeat(first[index] - (ends - each), each)
-        return np.split(np.concatenate(found)[place], ends[np.cumsum(sizes) - 1][:-1])
-
-    def _piece(self, piece: str) -> np.ndarray:
-        """Ids of a piece and the space before it; the first piece of a text is marked and has none."""
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = self.text(piece[1:] if piece[:1] == "\0" else " " + piece)
-            if len(piece) <= 64:
-                if len(self.known) >= self.bound:
-                    self.known.clear()
-                self.known[piece] = ids
-        return ids
+def encoder(ranks: dict[bytes, int], special: dict[str, int]):
+    """A function from a text to its ids, special tokens in the text included."""
+    import tiktoken
+
+    whole, special = tiktoken.Encoding("vocabulary", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens=special), frozenset(special)
+    return lambda text: whole.encode_to_numpy(text, allowed_special=special)
 
 
 def tokenise(docs: DataFrame, vocabulary_path: str, end_id: int = 1) -> DataFrame:
@@ -94,15 +54,15 @@ def tokenise(docs: DataFrame, vocabulary_path: str, end_id: int = 1) -> DataFram
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, part, before = Encoder(*shipped.value), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4")
+        encode, part, before = encoder(*shipped.value), TaskContext.get().partitionId(), 0
+        end = np.array([end_id], "<u4").tobytes()
         for batch in (piece for whole in batches for piece in common.by_bytes(whole, "text")):
-            ids = [np.concatenate([x, end]) for x in encoder.texts(batch.column(1).to_pylist())]
-            sizes = np.array([len(x) for x in ids], "int64")
+            ids = [encode(text.as_py()).astype("<u4", copy=False).tobytes() + end for text in batch.column("text")]
+            sizes = np.array([len(x) // 4 for x in ids], "int64")
             starts = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(sizes),
+                [batch.column(0), pa.array(ids, pa.binary()), pa.array(sizes),
                  pa.array(np.full(len(ids), part, "int32")), pa.array(starts)], names=["doc_id", "ids", "doc_tokens", "part", "before"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
