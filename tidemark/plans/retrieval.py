@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import search
+from tidemark.operators import search, text_index, vector_index
 from tidemark.plans import query
+from tidemark.session import run_folder
 
 CENTROIDS = """
 x AS (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
@@ -52,7 +53,33 @@ def approx_knn(t):
     return _shown(search.approx_knn(signed, _queries(t), "vec_id", "embedding", 10))
 
 
-@query("text_match", oracle="""
+def _stored(t):
+    """Two thirds of the vectors indexed, the rest appended."""
+    first = F.col("vec_id") % 3 > 0
+    index = vector_index.build(t.embeddings.where(first), "vec_id", "embedding", run_folder(t.spark, "vector-index"))
+    vector_index.append(index, t.embeddings.where(~first), "vec_id", "embedding")
+    return vector_index.load(t.spark, index.folder)
+
+
+@query("vector_index_search")
+def vector_index_search(t):
+    return _shown(vector_index.top_k(_stored(t), _queries(t), 10))
+
+
+@query("vector_index_recall", oracle=f"""
+WITH {CENTROIDS}, top AS (SELECT query_id, vec_id, score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10)
+SELECT count(DISTINCT query_id) AS queries, count(*) AS neighbours, TRUE AS reached, 0 AS unlike_scores FROM top""")
+def vector_index_recall(t):
+    """Hits of the stored index held against exact search: nine tenths are found, with the scores of exact search."""
+    exact = _hits(t.embeddings, t, 10, None).select("query_id", "doc_id", "score")
+    found = vector_index.top_k(_stored(t), _queries(t), 10).select("query_id", "doc_id", F.col("score").alias("found"))
+    both = exact.join(found, ["query_id", "doc_id"], "left")
+    return both.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("neighbours"),
+                    (F.count("found") >= 0.9 * F.count(F.lit(1))).alias("reached"),
+                    F.count_if(F.abs(F.col("found") - F.col("score")) > 1e-9).alias("unlike_scores"))
+
+
+TEXT_MATCH = """
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) > 1) AS toks FROM documents),
 q AS (SELECT DISTINCT item_id AS query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) > 1)) AS term FROM benchmark),
 st AS (SELECT count(*) AS n, avg(len(toks)) AS mean FROM d WHERE len(toks) > 0),
@@ -61,7 +88,10 @@ tf AS (SELECT doc_id, len, term, count(*) AS tf FROM e WHERE term IN (SELECT ter
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len / mean))), 9) AS score
       FROM q JOIN tf USING (term) JOIN df USING (term), st GROUP BY ALL)
-SELECT query_id, doc_id, round(score, 5) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s QUALIFY rank <= 10""")
+SELECT query_id, doc_id, round(score, 5) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s QUALIFY rank <= 10"""
+
+
+@query("text_match", oracle=TEXT_MATCH)
 def text_match(t):
     questions = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
     hits = search.text_match(t.wide("documents"), questions, "doc_id", ["text"], 10)
@@ -78,7 +108,16 @@ s{f} AS (SELECT query_id, doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf *
       FROM q JOIN c{f} USING (term) JOIN d{f} USING (term), n{f} GROUP BY ALL)"""
 
 
-@query("hybrid_search", oracle=f"""
+def _semantic(t):
+    """The nearest documents of each benchmark item; both take their vectors from the embeddings by number."""
+    vectors = t.embeddings
+    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")).join(
+        t.benchmark.select(F.col("item_id").alias("query_id")), "query_id")
+    stored = vectors.select(F.col("vec_id").alias("doc_id"), "embedding").join(t.documents.select("doc_id"), "doc_id", "left_semi")
+    return search.cosine_top_k(stored, asked, "doc_id", "embedding", 30, None)
+
+
+HYBRID = f"""
 WITH q AS (SELECT DISTINCT item_id AS query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: length(w) > 1)) AS term FROM benchmark),
 {BM25_FIELD.format(f='text')}, {BM25_FIELD.format(f='source')},
 lx AS (SELECT query_id, doc_id, round(max(score), 9) AS score FROM (SELECT * FROM stext UNION ALL SELECT * FROM ssource) GROUP BY query_id, doc_id
@@ -89,15 +128,37 @@ sx AS (SELECT item_id AS query_id, d.vec_id AS doc_id, round(list_cosine_similar
 ln AS (SELECT query_id, doc_id, coalesce((score - min(score) OVER p) / nullif(max(score) OVER p - min(score) OVER p, 0), 1) AS l FROM lx WINDOW p AS (PARTITION BY query_id)),
 sn AS (SELECT query_id, doc_id, coalesce((score - min(score) OVER p) / nullif(max(score) OVER p - min(score) OVER p, 0), 1) AS s FROM sx WINDOW p AS (PARTITION BY query_id)),
 f AS (SELECT query_id, doc_id, round(coalesce(l, 0) * 0.3 + coalesce(s, 0) * 0.7, 8) AS score FROM ln FULL JOIN sn USING (query_id, doc_id))
-SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM f QUALIFY rank <= 10""")
+SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM f QUALIFY rank <= 10"""
+
+
+@query("hybrid_search", oracle=HYBRID)
 def hybrid_search(t):
-    """Benchmark items as queries over documents; both take their vectors from the embeddings by number."""
-    documents, items, vectors = t.wide("documents"), t.benchmark.select(F.col("item_id").alias("query_id"), "text"), t.embeddings
-    lexical = search.text_match(documents, items, "doc_id", ["text", "source"], 30)
-    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")).join(items.select("query_id"), "query_id")
-    stored = vectors.select(F.col("vec_id").alias("doc_id"), "embedding").join(documents.select("doc_id"), "doc_id", "left_semi")
-    semantic = search.cosine_top_k(stored, asked, "doc_id", "embedding", 30, None)
-    return search.hybrid(lexical, semantic).withColumn("score", F.round("score", 6))
+    """Benchmark items as queries over documents."""
+    items = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
+    lexical = search.text_match(t.wide("documents"), items, "doc_id", ["text", "source"], 30)
+    return search.hybrid(lexical, _semantic(t)).withColumn("score", F.round("score", 6))
+
+
+def _text_index(t, fields):
+    """Two thirds of the documents indexed, the rest appended."""
+    documents, first = t.wide("documents"), F.col("doc_id") % 3 > 0
+    index = text_index.build(documents.where(first), "doc_id", fields, run_folder(t.spark, "text-index"))
+    text_index.append(index, documents.where(~first), "doc_id", fields)
+    return index
+
+
+@query("text_index_search", oracle=TEXT_MATCH)
+def text_index_search(t):
+    """The same answer as text_match, from a stored index."""
+    hits = text_index.search(_text_index(t, ["text"]), t.benchmark.select(F.col("item_id").alias("query_id"), "text"), 10)
+    return hits.withColumn("score", F.round("score", 5))
+
+
+@query("hybrid_index_search", oracle=HYBRID)
+def hybrid_index_search(t):
+    """The same answer as hybrid_search, its text side from a stored index."""
+    lexical = text_index.search(_text_index(t, ["text", "source"]), t.benchmark.select(F.col("item_id").alias("query_id"), "text"), 30)
+    return search.hybrid(lexical, _semantic(t)).withColumn("score", F.round("score", 6))
 
 
 @query("embed_missing", oracle="""
