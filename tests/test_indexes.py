@@ -87,9 +87,9 @@ def test_text_index_reads_and_scores_little(spark, library):
     blocks = text_index.term_blocks(index, terms)
     plan = blocks._jdf.queryExecution().toString()
     assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "In(term, [w250,w3])" in plan or "In(term, [w3,w250])" in plan
+    assert "PushedFilters: [In(key, [" in plan
     assert {r["term"] for r in blocks.select("term").distinct().collect()} == {"w3", "w250"}
-    every = index.blocks().agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
+    every = index.blocks().where("term <> ''").agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
     assert every["most"] <= text_index.BLOCK
     assert every["n"] == library.select(F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), " ")))).where("length(col) > 1").count()
 

@@ -1,9 +1,8 @@
 """A stored inverted index for full-text search by BM25, with posting blocks that a search can skip.
 
-Postings of a term lie in blocks of at most 128, by shard: a shard holds the documents of one hash value, so that all postings
-of a document meet in one group. In a shard, a term's postings are ordered by their weight, and each block keeps what bounds the weights
-in it: the largest frequency, and the least length a frequency. Blocks are partitioned on disk by a hash of the term and sorted by term, so a
-search opens the folders of its terms and reads the row groups that have them.
+Documents are dealt to shards of bounded size, and a shard's postings are made in one place: per term in blocks of at most 128, ordered
+by weight. Each block keeps what bounds the weights in it, the largest frequency and the least length a frequency. Blocks are partitioned on
+disk by a hash of the term and sorted by it, so a search opens the folders of its terms and reads the row groups that have them.
 
 A search of any number of queries is one pass in three steps. The first block of every asked term gives scores that documents surely reach;
 the k-th best of a query is its threshold. A block is left out for a query if its bound, with the largest bounds of the query's
@@ -24,10 +23,12 @@ from tidemark.functions.text import tokens
 from tidemark.operators.ranking import top_per_key
 from tidemark.session import pin
 
-#: Postings in a block, documents in a shard (about), folders that terms are hashed to, and terms that are pushed to the scan as a list.
-BLOCK, SHARD_DOCS, BUCKETS, LISTED_TERMS = 128, 8_192, 64, 2_000
+#: Postings in a block, bytes of text in a shard (about), folders that terms are hashed to, and terms that are pushed to the scan as a list.
+BLOCK, SHARD_BYTES, BUCKETS, LISTED_TERMS = 128, 32 << 20, 64, 2_000
 #: Scores are compared after rounding to nine places, so bounds count as reached a little earlier.
 SLACK = 1e-8
+#: A block's columns save its documents. The empty term has a row for each shard and field: its documents ``n`` and its ``tokens``.
+BLOCK_COLUMNS = "shard int, field int, term string, block int, n int, max_tf int, min_ratio double, tokens long, tfs array<int>, lengths array<int>"
 
 
 @dataclass
@@ -40,119 +41,84 @@ class TextIndex:
     fields: int
 
     def blocks(self) -> DataFrame:
-        arrays = f"docs array<{self.id_type}>, tfs array<int>, lengths array<int>"
-        return self.spark.read.schema(
-            f"shard int, field int, term string, block long, n int, max_tf int, min_ratio double, {arrays}, segment int, bucket int").parquet(f"{self.folder}/blocks")
+        columns = f"{BLOCK_COLUMNS}, docs array<{self.id_type}>, key long, segment int, bucket int"
+        return self.spark.read.schema(columns).parquet(f"{self.folder}/blocks")
 
     def statistics(self) -> DataFrame:
-        return self.spark.read.schema("segment int, field int, documents long, tokens long").parquet(f"{self.folder}/statistics")
+        empty = self.spark.range(1).select(_bucket(F.xxhash64(F.lit("")))).first()[0]
+        return self.blocks().where((F.col("bucket") == empty) & (F.col("term") == "")).select("segment", "field", F.col("n").alias("documents"), "tokens")
 
 
-def _postings(documents: DataFrame, doc_id: str, fields: list[str]) -> DataFrame:
-    """``field, term, doc, tf, length``: a row per field, document and distinct token. The empty term stands for the document itself."""
-    id_type = documents.schema[doc_id].dataType.simpleString()
-    lists = documents.select(doc_id, *[tokens(f).alias(f"t{i}") for i, f in enumerate(fields)]).where(F.col(doc_id).isNotNull())
+def _bucket(key: Column) -> Column:
+    """The folder of a term's hash: its upper bits, so that order by hash is order by folder too."""
+    return F.shiftright(key, 65 - BUCKETS.bit_length()).cast("int")
+
+
+def _shard_blocks(fields: int, id_type: str, k1: float, b: float):
+    """A function for the groups: the blocks of a shard, from its documents' ids and tokens."""
 
-    def count(batches):
+    def make(key, table):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for large in batches:
-            for start in range(0, large.num_rows, 512):
-                batch = large.slice(start, 512)
-                for field in range(len(fields)):
-                    column = batch.column(field + 1)
-                    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype("int64")
-                    coded = column.flatten().dictionary_encode()
-                    words = max(len(coded.dictionary), 1)
-                    key = np.repeat(np.arange(len(size)), size) * words + coded.indices.to_numpy(zero_copy_only=False)
-                    cell, tf = np.unique(key, return_counts=True)
-                    row = np.concatenate([cell // words, np.flatnonzero(size)])
-                    # A null place takes the null term, which stands for the document.
-                    term = coded.dictionary.take(pa.array(np.concatenate([cell % words, np.zeros((size > 0).sum(), "int64")]),
-                                                          mask=np.arange(len(row)) >= len(cell)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(row), field, "int32")), pc.fill_null(term.cast(pa.string()), ""), batch.column(0).take(pa.array(row)),
-                         pa.array(np.concatenate([tf, np.ones((size > 0).sum(), "int64")]).astype("int32")), pa.array(size[row].astype("int32"))],
-                        names=["field", "term", "doc", "tf", "length"])
-
-    return lists.mapInArrow(count, f"field int, term string, doc {id_type}, tf int, length int")
-
-
-def _bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+        out, ids = [], table.column("id").combine_chunks()
+        for field in range(fields):
+            column = table.column(f"t{field}").combine_chunks()
+            size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype("int64")
+            coded = column.flatten().dictionary_encode()
+            rows = max(len(size), 1)
+            # A cell is a term with a document; equal tokens of a document are one cell.
+            cell, tf = np.unique(coded.indices.to_numpy().astype("int64") * rows + np.repeat(np.arange(len(size)), size), return_counts=True)
+            term, doc = cell // rows, cell % rows
+            length = size[doc]
+            ratio = length / tf
+            slow = k1 * (1 - b) / tf + k1 * b * ratio / max(size[size > 0].mean() if size.any() else 1.0, 1.0)
+            order = np.lexsort((slow, term))
+            term, doc, tf, length, ratio = term[order], doc[order], tf[order], length[order], ratio[order]
+            first = np.flatnonzero(np.diff(term, prepend=-1))
+            place = np.arange(len(term)) - np.repeat(first, np.diff(first, append=len(term)))
+            cut = np.flatnonzero(place % BLOCK_SIZE == 0)
+            offsets = pa.array(np.append(cut, len(term)).astype("int32"))
+            n = np.diff(cut, append=len(term))
+            has = len(cut) > 0
+            columns = {
+                "term": coded.dictionary.take(pa.array(term[cut])).cast(pa.string()), "block": (place[cut] // BLOCK_SIZE).astype("int32"),
+                "n": n.astype("int32"), "max_tf": (np.maximum.reduceat(tf, cut) if has else tf).astype("int32"),
+                "min_ratio": np.minimum.reduceat(ratio, cut) if has else ratio.astype("float64"), "tokens": pa.nulls(len(cut), pa.int64()),
+                "tfs": pa.ListArray.from_arrays(offsets, pa.array(tf.astype("int32"))), "lengths": pa.ListArray.from_arrays(offsets, pa.array(length.astype("int32"))),
+                "docs": pa.ListArray.from_arrays(offsets, ids.take(pa.array(doc)))}
+            none = pa.array([[]], pa.list_(pa.int32()))
+            own = {"term": [""], "block": [0], "n": [int((size > 0).sum())], "max_tf": [0], "min_ratio": [0.0], "tokens": [int(size.sum())],
+                   "tfs": none, "lengths": none, "docs": pa.array([[]], pa.list_(ids.type))}
+            for part, count in ((columns, len(cut)), (own, int(size.any()))):
+                one = pa.table({"shard": pa.array(np.full(count, key[0].as_py(), "int32")), "field": pa.array(np.full(count, field, "int32")),
+                                **{c: (pa.array(v) if isinstance(v, (np.ndarray, list)) else v).slice(0, count) for c, v in part.items()}})
+                out.append(one.cast(schema))
+        return pa.concat_tables(out)
+
+    import pyarrow as pa
+
+    BLOCK_SIZE = BLOCK
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    schema = pa.schema([("shard", pa.int32()), ("field", pa.int32()), ("term", pa.string()), ("block", pa.int32()), ("n", pa.int32()), ("max_tf", pa.int32()),
+                        ("min_ratio", pa.float64()), ("tokens", pa.int64()), ("tfs", pa.list_(pa.int32())), ("lengths", pa.list_(pa.int32())),
+                        ("docs", pa.list_(kinds[id_type]))])
+    return make
 
 
 def _add_segment(folder: str, segment: int, documents: DataFrame, doc_id: str, fields: list[str], k1: float, b: float) -> None:
-    postings = pin(_postings(documents, doc_id, fields))
-    own = postings.where("term = ''").groupBy("field").agg(F.count(F.lit(1)).alias("documents"), F.sum("length").cast("long").alias("tokens"))
-    own = pin(own)
-    sizes = {row["field"]: (row["documents"], row["tokens"]) for row in own.collect()}
-    own.select(F.lit(segment).alias("segment"), "field", "documents", "tokens").write.mode("append").parquet(f"{folder}/statistics")
-    if not sizes:
-        return
-    shards = -(-max(n for n, _ in sizes.values()) // SHARD_DOCS)
-    mean = F.element_at(F.create_map(*[F.lit(x) for f, (n, t) in sizes.items() for x in (f, t / n)]), F.col("field"))
-    slow = k1 * (1 - b) / F.col("tf") + k1 * b * F.col("length") / F.col("tf") / mean
-    placed = postings.where("term <> ''").select(
-        _bucket(F.col("term")).alias("bucket"), "field", "term", F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("int").alias("shard"),
-        slow.alias("slow"), "doc", "tf", "length")
-    key = ["bucket", "field", "term", "shard", "slow", "doc"]
-    id_type = postings.schema["doc"].dataType.simpleString()
-
-    def cut(batches):
-        import numpy as np
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 40
-        held = None
-
-        def emit(table):
-            nonlocal number
-            first = table.slice(0, 1).to_pylist()[0]
-            tf, length = (table.column(c).to_numpy() for c in ("tf", "length"))
-            docs = table.column("doc").combine_chunks()
-            row = {"shard": first["shard"], "field": first["field"], "term": first["term"], "block": number, "n": len(tf), "max_tf": int(tf.max()),
-                   "min_ratio": float((length / tf).min()), "tfs": tf.tolist(), "lengths": length.tolist(), "bucket": first["bucket"]}
-            number += 1
-            return row | {"docs": docs.to_pylist()}
-
-        def batch_of(rows):
-            kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-            schema = pa.schema([("shard", pa.int32()), ("field", pa.int32()), ("term", pa.string()), ("block", pa.int64()), ("n", pa.int32()),
-                                ("max_tf", pa.int32()), ("min_ratio", pa.float64()), ("docs", pa.list_(kinds[id_type])),
-                                ("tfs", pa.list_(pa.int32())), ("lengths", pa.list_(pa.int32())), ("bucket", pa.int32())])
-            return pa.RecordBatch.from_pylist(rows, schema=schema)
-
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table])
-            codes = [table.column(c).combine_chunks() for c in ("term", "shard", "field")]
-            same = np.ones(max(table.num_rows - 1, 0), bool)
-            for code in codes:
-                same &= np.asarray(pa.compute.equal(code.slice(1), code.slice(0, max(len(code) - 1, 0))))
-            edges = [0, *(np.flatnonzero(~same) + 1).tolist(), table.num_rows]
-            rows = []
-            for low, high in zip(edges[:-2], edges[1:-1]):
-                rows += [emit(table.slice(at, min(BLOCK, high - at))) for at in range(low, high, BLOCK)]
-            # The last group may go on in the next batch; its full blocks are done.
-            at = edges[-2]
-            while table.num_rows - at > BLOCK:
-                rows.append(emit(table.slice(at, BLOCK)))
-                at += BLOCK
-            held = table.slice(at) if table.num_rows > at else None
-            if rows:
-                yield batch_of(rows)
-        if held is not None:
-            yield batch_of([emit(held)])
-
-    ranged = placed.repartitionByRange(*key).sortWithinPartitions(*key)
-    made = ranged.mapInArrow(cut, f"shard int, field int, term string, block long, n int, max_tf int, min_ratio double, "
-                                  f"docs array<{id_type}>, tfs array<int>, lengths array<int>, bucket int")
-    made.withColumn("segment", F.lit(segment)).write.mode("append").partitionBy("segment", "bucket").parquet(f"{folder}/blocks")
+    id_type = documents.schema[doc_id].dataType.simpleString()
+    texts = documents.select(F.col(doc_id).alias("id"), *[F.col(f).alias(f"f{i}") for i, f in enumerate(fields)]).where(F.col("id").isNotNull())
+    size = sum((F.coalesce(F.octet_length(f"f{i}"), F.lit(0)) for i in range(len(fields))), F.lit(0))
+    shards = max(1, -(-(texts.agg(F.sum(size.cast("long"))).first()[0] or 0) // SHARD_BYTES))
+    # Texts are shuffled as they are and cut into tokens behind the shuffle.
+    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).repartition("shard")
+    lists = dealt.select("shard", "id", *[tokens(f"f{i}").alias(f"t{i}") for i in range(len(fields))])
+    made = lists.groupBy("shard").applyInArrow(_shard_blocks(len(fields), id_type, k1, b), f"{BLOCK_COLUMNS}, docs array<{id_type}>")
+    keyed = made.withColumn("key", F.xxhash64("term")).withColumn("bucket", _bucket(F.col("key"))).withColumn("segment", F.lit(segment))
+    ranged = keyed.repartitionByRange("key", "shard").sortWithinPartitions("key", "shard", "field", "block")
+    ranged.write.mode("append").option("compression", "zstd").partitionBy("segment", "bucket").parquet(f"{folder}/blocks")
 
 
 def build(documents: DataFrame, doc_id: str, fields: Iterable[str], folder: str, k1: float = 1.2, b: float = 0.75) -> TextIndex:
@@ -171,13 +137,14 @@ def append(index: TextIndex, documents: DataFrame, doc_id: str, fields: Iterable
 
 
 def term_blocks(index: TextIndex, terms: DataFrame) -> DataFrame:
-    """The blocks of the terms in column ``term`` (pinned, distinct): a partition filter on their buckets, and on the terms themselves
+    """The blocks of the terms in column ``term`` (pinned, distinct): a partition filter on their buckets, and on their hashes
     while they are few enough to list; the join decides."""
-    buckets = [row[0] for row in terms.select(_bucket(F.col("term"))).distinct().collect()]
+    key = F.xxhash64("term")
+    buckets = [row[0] for row in terms.select(_bucket(key)).distinct().collect()]
     blocks = index.blocks().where(F.col("bucket").isin(buckets))
-    few = [row["term"] for row in terms.limit(LISTED_TERMS + 1).collect()]
+    few = [row[0] for row in terms.select(key).limit(LISTED_TERMS + 1).collect()]
     if len(few) <= LISTED_TERMS:
-        blocks = blocks.where(F.col("term").isin(few))
+        blocks = blocks.where(F.col("key").isin(few))
     return blocks.join(terms.select("term"), "term", "left_semi")
 
 
@@ -212,9 +179,9 @@ def search(index: TextIndex, queries: DataFrame, k: int = 10, k1: float = 1.2, b
     bounded = pin(known.join(rarity, ["field", "term"]).select("segment", "shard", "field", "term", "block", "idf", bound))
 
     # Scores that documents reach with the first blocks alone.
-    first = top_per_key(bounded, ["field", "term"], [F.col("bound").desc(), F.col("segment"), F.col("block")], -(-k // BLOCK) + 1)
-    first = pin(first.select("segment", "block", "idf"))
-    lists = blocks.join(first, ["segment", "block"]).select("field", "term", "idf", F.explode(F.arrays_zip("docs", "tfs", "lengths")).alias("p"))
+    first = top_per_key(bounded, ["field", "term"], [F.col("bound").desc(), F.col("segment"), F.col("shard"), F.col("block")], -(-k // BLOCK) + 1)
+    first = pin(first.select("segment", "shard", "field", "term", "block", "idf"))
+    lists = blocks.join(first, ["segment", "shard", "field", "term", "block"]).select("field", "term", "idf", F.explode(F.arrays_zip("docs", "tfs", "lengths")).alias("p"))
     weight = F.col("idf") * _weight(F.col("p.tfs"), F.col("p.lengths") / F.col("p.tfs"), mean, k1, b)
     sure = asked.join(pin(lists.select("field", "term", F.col("p.docs").alias("doc_id"), weight.alias("weight"))), "term")
     sure = sure.groupBy("query_id", "field", "doc_id").agg(F.sum("weight").alias("score"))
