@@ -24,7 +24,7 @@ from tidemark.operators.ranking import top_per_key
 from tidemark.session import pin
 
 #: Postings in a block, bytes of text in a shard (about), folders that terms are hashed to, and terms that are pushed to the scan as a list.
-BLOCK, SHARD_BYTES, BUCKETS, LISTED_TERMS = 128, 32 << 20, 64, 2_000
+BLOCK, SHARD_BYTES, BUCKETS, LISTED_TERMS = 128, 8 << 20, 64, 2_000
 #: Scores are compared after rounding to nine places, so bounds count as reached a little earlier.
 SLACK = 1e-8
 #: A block's columns save its documents. The empty term has a row for each shard and field: its documents ``n`` and its ``tokens``.
@@ -117,8 +117,10 @@ def _add_segment(folder: str, segment: int, documents: DataFrame, doc_id: str, f
     lists = dealt.select("shard", "id", *[tokens(f"f{i}").alias(f"t{i}") for i in range(len(fields))])
     made = lists.groupBy("shard").applyInArrow(_shard_blocks(len(fields), id_type, k1, b), f"{BLOCK_COLUMNS}, docs array<{id_type}>")
     keyed = made.withColumn("key", F.xxhash64("term")).withColumn("bucket", _bucket(F.col("key"))).withColumn("segment", F.lit(segment))
-    ranged = keyed.repartitionByRange("key", "shard").sortWithinPartitions("key", "shard", "field", "block")
-    ranged.write.mode("append").option("compression", "zstd").partitionBy("segment", "bucket").parquet(f"{folder}/blocks")
+    # A folder is written by as many tasks as there are partitions for it, dealt by shard.
+    spread = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")) // BUCKETS)
+    placed = keyed.repartition("bucket", F.pmod("shard", F.lit(spread))).sortWithinPartitions("bucket", "key", "shard", "field", "block")
+    placed.write.mode("append").option("compression", "zstd").partitionBy("segment", "bucket").parquet(f"{folder}/blocks")
 
 
 def build(documents: DataFrame, doc_id: str, fields: Iterable[str], folder: str, k1: float = 1.2, b: float = 0.75) -> TextIndex:
