@@ -177,3 +177,55 @@ def test_regression_metrics(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0), ("a", 3.0, 2.0), ("k", 2.0, 2.0), ("k", 2.0, 3.0)], "s string, y double, p double")
     rows = {r.s: (r.mse, r.r2) for r in aggregates.regression_metrics(df, ["s"], "y", "p").collect()}
     assert rows == {"a": (0.5, 0.5), "k": (0.5, None)}
+
+
+def test_lag_model_of_short_and_constant_series(spark):
+    df = long(spark, a=[5.0] * 20, b=[1.0, 2.0, 3.0], c=[2.0, 4.0, 6.0, 8.0, 10.0, 12.0])
+    got = {}
+    for r in forecasts.lag_model(df, 2).collect():
+        got.setdefault(r.series, {})[r.term] = r.weight
+    assert got["b"] == {0: None, 1: None, 2: None}
+    assert got["a"][0] + 5 * (got["a"][1] + got["a"][2]) == pytest.approx(5.0)
+    assert got["c"][0] + 12 * got["c"][1] + 10 * got["c"][2] == pytest.approx(14.0)
+    assert {r.series for r in forecasts.recursive_forecast(df, 2, 3).collect()} == {"a", "c"}
+
+
+def test_lag_sums_add_up_before_the_shuffle(spark):
+    plan = forecasts.lag_sums(long(spark, a=[float(i) for i in range(30)]), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_aggregate_metrics" in plan
+
+
+@pytest.mark.parametrize("rows", [
+    [("a", 5, n, float(n) if n % 7 == 0 else None) for n in range(4000)] + [("b", n, n, None) for n in range(50)] + [(None, n, n, float(n % 3) or None) for n in range(20)],
+    [("a", n // 3, n, None if n < 40 or n % 2 else float(n)) for n in range(300)], []])
+def test_fills_spread_a_hot_stamp(spark, rows, monkeypatch):
+    """One stamp has all rows of a series: the scan cuts it into segments and fills as one pass over the whole series does."""
+    pinned, keep = [], series.pin
+    monkeypatch.setattr(series, "pin", lambda df: pinned.append(keep(df)) or pinned[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.createDataFrame([(s, (t, n), v, n) for s, t, n, v in rows], "series string, period struct<t: int, n: int>, value double, __segment int").repartition(6)
+    for fill in (series.forward_fill, series.fill_both, series.fill_mean):
+        spread = fill(df, spread=True)
+        assert spread.columns == [*df.columns, "filled"]
+        want = sorted(map(repr, map(tuple, fill(df).collect())))
+        assert sorted(map(repr, map(tuple, spread.collect()))) == want
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    if len(rows) > 4000:  # the segments of the series that has one stamp
+        assert pinned[1].where("__s = 'a'").count() >= 4
+
+
+@pytest.mark.parametrize("values", [
+    [0.0, 1.0, 2.0, 3.0], [7.0] * 50, [float(i * i) for i in range(3000)], [2.0 ** -i for i in range(200)], [0.0, 5e-324, 1e-323, 1.7e308, -1.7e308],
+    [1.0, 1.0, None, 5.0, float("nan")], [3.0] * 4000 + [4.0]])
+def test_quantiles_are_exact(spark, values):
+    fractions = [0.0, 0.1, 0.5, 0.6, 0.99, 1.0]
+    df = spark.createDataFrame([(s, v) for s in ("x", None) for v in values], "series string, value double").repartition(4)
+    got = {(r.series, r.fraction): r.quantile for r in scaling.quantiles(df, fractions).collect()}
+    known = sorted(v for v in values if v is not None and v == v)
+    for s in ("x", None):
+        for p in fractions:
+            at = (len(known) - 1) * p
+            low, high = known[int(at)], known[min(int(at) + (at > int(at)), len(known) - 1)]
+            assert got[s, p] == pytest.approx(low * (1 - (at - int(at))) + high * (at - int(at)), rel=1e-12, abs=0)
+    scaled = scaling.robust_raw(df, 0.5).collect()
+    assert len(scaled) == 2 * len(values) and scaling.quantiles(df.limit(0), fractions).collect() == []

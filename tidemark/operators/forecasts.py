@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,30 +59,56 @@ def forecast_bounds(df: DataFrame, periods: int = 3, band: float = BAND) -> Data
     return rows.select("series", "period", "value", "pred", (F.col("pred") - width).alias("lower"), (F.col("pred") + width).alias("upper"))
 
 
+def lag_sums(df: DataFrame, length: int) -> DataFrame:
+    """``series, mean, sums``: the sums of products of (1, inputs, target) over a series' training windows, row by row in one array.
+
+    Values count from the series' mean, which keeps the products well scaled. Sums add up, in the tasks first and then over them, so a
+    series sends (length + 2)^2 numbers a task however many windows it has. A series without windows has null sums.
+    """
+    means = pin(df.groupBy(F.col("series").alias("__s")).agg(F.avg("value").alias("mean")))
+    windows = sliding_windows(df, length, "training").select("series", "inputs", "target")
+    windows = windows.join(means, F.col("series").eqNullSafe(F.col("__s")))
+    # The value one step back comes first.
+    row = F.concat(F.array(F.lit(1.0)), F.transform(F.reverse("inputs"), lambda x: x - F.col("mean")), F.array(F.col("target") - F.col("mean")))
+    products = windows.select("series", row.alias("v")).select(
+        "series", array_to_vector(F.flatten(F.transform("v", lambda a: F.transform("v", lambda b: a * b)))).alias("p"))
+    sums = products.groupBy(F.col("series").alias("__w")).agg(vector_to_array(Summarizer.sum(F.col("p"))).alias("sums"))
+    return means.join(sums, F.col("__s").eqNullSafe(F.col("__w")), "left").select(F.col("__s").alias("series"), "mean", "sums")
+
+
 def lag_model(df: DataFrame, length: int) -> DataFrame:
     """Least squares of the next value on the ``length`` values before it, one model per series.
 
-    ``series, term, weight``; term 0 is the intercept, term ``j`` weighs the value ``j`` steps back.
-    The windows of one series fit one task because a series has one row per period.
+    ``series, term, weight``; term 0 is the intercept, term ``j`` weighs the value ``j`` steps back. A series with fewer windows than
+    terms has null weights; of equally good weights, as in a constant series, the smallest are taken. Only :func:`lag_sums` reads rows;
+    what is solved per series is one small system.
     """
-    windows = sliding_windows(df, length, "training").select("series", "inputs", "target")
+    sums = lag_sums(df, length)
     kind = df.schema["series"].dataType.simpleString()
 
-    def fit(group):
+    def solve(groups):
         import numpy as np
         import pandas as pd
 
-        inputs = np.stack(group["inputs"].to_numpy())[:, ::-1]
-        design = np.column_stack([np.ones(len(inputs)), inputs])
-        weights = np.linalg.lstsq(design, group["target"].to_numpy(), rcond=None)[0]
-        return pd.DataFrame({"series": group["series"].iloc[0], "term": range(len(weights)), "weight": weights})
+        for group in groups:
+            rows = []
+            for series, mean, flat in zip(group["series"], group["mean"], group["sums"]):
+                weights = [None] * (length + 1)
+                if flat is not None and flat[0] >= length + 1:
+                    table = np.asarray(flat, dtype="float64").reshape(length + 2, -1)
+                    found = np.linalg.lstsq(table[:-1, :-1], table[:-1, -1], rcond=None)[0]
+                    weights = [float(found[0] + mean - mean * found[1:].sum()), *map(float, found[1:])]
+                rows += [(series, term, weight) for term, weight in enumerate(weights)]
+            yield pd.DataFrame(rows, columns=["series", "term", "weight"]).astype({"weight": "float64"})
 
-    return windows.groupBy("series").applyInPandas(fit, f"series {kind}, term int, weight double")
+    fitted = sums.mapInPandas(solve, f"series {kind}, term int, weight double")
+    return fitted.withColumn("weight", F.when(~F.isnan("weight"), F.col("weight")))
 
 
 def _weights(df: DataFrame, length: int) -> DataFrame:
     listed = F.transform(F.sort_array(F.collect_list(F.struct("term", "weight"))), lambda r: r["weight"])
-    return lag_model(df, length).groupBy(F.col("series").alias("__s")).agg(listed.alias("weights"))
+    known = lag_model(df, length).filter(F.col("weight").isNotNull())
+    return known.groupBy(F.col("series").alias("__s")).agg(listed.alias("weights"))
 
 
 def predict_windows(df: DataFrame, length: int, weights: DataFrame | None = None) -> DataFrame:

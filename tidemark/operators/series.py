@@ -11,6 +11,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import pin
 
 
 def daily_series(df: DataFrame, series: str, stamp: str, value, statistic=F.avg) -> DataFrame:
@@ -32,22 +35,17 @@ def _from_here():
     return _ordered().rowsBetween(Window.currentRow, Window.unboundedFollowing)
 
 
-def _known_around(df: DataFrame, chunk: Column | None) -> DataFrame:
+def _known_around(df: DataFrame, chunk: Column | None, spread: bool = False) -> DataFrame:
     """Adds ``__back`` and ``__ahead``: the last known value up to the row, the next known from it on."""
+    if spread:
+        return _scanned(df)
     if chunk is None:
         return df.withColumns({
             "__back": F.last("value", ignorenulls=True).over(_so_far()),
             "__ahead": F.first("value", ignorenulls=True).over(_from_here()),
         })
     rows = df.withColumn("__chunk", chunk)
-    stamp = F.when(F.col("value").isNotNull(), F.col("period"))
-    ends = rows.groupBy("series", "__chunk").agg(F.max_by("value", stamp).alias("newest"), F.min_by("value", stamp).alias("oldest"))
-    chunks = Window.partitionBy("series").orderBy("__chunk")
-    carried = ends.select(
-        F.col("series").alias("__s"), F.col("__chunk").alias("__c"),
-        F.last("newest", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("__in"),
-        F.first("oldest", ignorenulls=True).over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("__out"))
-    joined = rows.join(carried, F.col("series").eqNullSafe(F.col("__s")) & F.col("__chunk").eqNullSafe(F.col("__c")))
+    joined = rows.join(_carried(rows, "__chunk"), F.col("series").eqNullSafe(F.col("__s")) & F.col("__chunk").eqNullSafe(F.col("__c")))
     inside = _ordered(("series", "__chunk"))
     back = F.last("value", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ahead = F.first("value", ignorenulls=True).over(inside.rowsBetween(Window.currentRow, Window.unboundedFollowing))
@@ -55,24 +53,83 @@ def _known_around(df: DataFrame, chunk: Column | None) -> DataFrame:
         *df.columns, "__back", "__ahead")
 
 
-def forward_fill(df: DataFrame, out: str = "filled", chunk: Column | None = None) -> DataFrame:
+def _carried(rows: DataFrame, chunk: str) -> DataFrame:
+    """Per series and chunk, as ``__s, __c``: the last known value before the chunk and the next known after it."""
+    stamp = F.when(F.col("value").isNotNull(), F.col("period"))
+    ends = rows.groupBy("series", chunk).agg(F.max_by("value", stamp).alias("newest"), F.min_by("value", stamp).alias("oldest"))
+    chunks = Window.partitionBy("series").orderBy(chunk)
+    return ends.select(
+        F.col("series").alias("__s"), F.col(chunk).alias("__c"),
+        F.last("newest", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("__in"),
+        F.first("oldest", ignorenulls=True).over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("__out"))
+
+
+def _scan(batches):
+    """The last known value so far in each series, row by row: worker code for sorted rows whose last column is to be filled."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    series = carry = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, values = batch.column("series"), batch.column("value")
+        carry = pa.nulls(1, values.type) if carry is None else carry
+        # Place 0 is what the batch before hands over; a new series starts with nothing.
+        before = pa.concat_arrays([keys.slice(0, 1) if series is None else series, keys.slice(0, len(keys) - 1)])
+        same = pc.or_(pc.fill_null(pc.equal(keys, before), False), pc.and_(pc.is_null(keys), pc.is_null(before))).to_numpy(zero_copy_only=False)
+        place = np.arange(len(keys)) + 1
+        known = values.is_valid().to_numpy(zero_copy_only=False)
+        first = np.maximum.accumulate(np.where(same, 0, place))
+        last = np.maximum.accumulate(np.where(known, place, 0))
+        held = pa.concat_arrays([carry, values])
+        take = pa.array(last, mask=(last < first) & (first > 0))
+        filled = held.take(take)
+        series, carry = keys.slice(len(keys) - 1), filled.slice(len(keys) - 1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, filled], names=[*batch.schema.names, "\0filled"])
+
+
+def _scanned(df: DataFrame) -> DataFrame:
+    """The same by a segmented scan: rows are ranged over partitions by (series, period), so a series or a stamp of any number of rows is
+    many segments; each segment is scanned once in both directions where it lies, and what a segment ends with is carried to the next ones
+    by a table of one row per series and partition. One shuffle; the second pass is a join with that small table."""
+    kind = df.schema["value"].dataType
+    there = F.struct("series", "period", "value", *(F.col(c).alias(f"\0{c}") for c in df.columns if c not in ("series", "period", "value")))
+    rows = df.select(there.alias("r")).select("r.*")
+
+    def scan(frame, out):
+        made = frame.mapInArrow(_scan, T.StructType([*frame.schema.fields, T.StructField("\0filled", kind)]))
+        return made.withColumnRenamed("\0filled", out)
+
+    ranged = rows.repartitionByRange("series", "period").sortWithinPartitions("series", "period").withColumn("__segment", F.spark_partition_id())
+    back = scan(ranged, "__back").sortWithinPartitions(F.desc("series"), F.desc("period"))
+    placed = pin(scan(back, "__ahead"))
+    carried = pin(_carried(placed, "__segment"))
+    joined = placed.join(carried, F.col("series").eqNullSafe(F.col("__s")) & (F.col("__segment") == F.col("__c")))
+    own = [F.col(c) if c in ("series", "period", "value") else F.col(f"\0{c}").alias(c) for c in df.columns]
+    return joined.select(*own, F.coalesce("__back", "__in").alias("__back"), F.coalesce("__ahead", "__out").alias("__ahead"))
+
+
+def forward_fill(df: DataFrame, out: str = "filled", chunk: Column | None = None, spread: bool = False) -> DataFrame:
     """Last known value; leading nulls stay.
 
     All fills take ``chunk`` for series too long for one task, such as raw rows instead of one per
     period: an expression that never decreases with ``period``, like its month. Then only a chunk
     is sorted together, and what is known before and after it comes from a small table of chunk ends.
+    With ``spread`` nothing bounds the rows of a series or stamp: see :func:`_scanned`. ``period`` must tell a series' rows apart.
     """
-    return _known_around(df, chunk).withColumn(out, F.col("__back")).drop("__back", "__ahead")
+    return _known_around(df, chunk, spread).withColumn(out, F.col("__back")).drop("__back", "__ahead")
 
 
-def fill_both(df: DataFrame, out: str = "filled", chunk: Column | None = None) -> DataFrame:
+def fill_both(df: DataFrame, out: str = "filled", chunk: Column | None = None, spread: bool = False) -> DataFrame:
     """Last known value, before the first one the next known."""
-    return _known_around(df, chunk).withColumn(out, F.coalesce("__back", "__ahead")).drop("__back", "__ahead")
+    return _known_around(df, chunk, spread).withColumn(out, F.coalesce("__back", "__ahead")).drop("__back", "__ahead")
 
 
-def fill_mean(df: DataFrame, out: str = "filled", chunk: Column | None = None) -> DataFrame:
+def fill_mean(df: DataFrame, out: str = "filled", chunk: Column | None = None, spread: bool = False) -> DataFrame:
     """Mean of the previous and next known values; null when either side has none."""
-    around = _known_around(df, chunk)
+    around = _known_around(df, chunk, spread)
     return around.withColumn(out, (F.col("__back") + F.col("__ahead")) / F.lit(2.0)).drop("__back", "__ahead")
 
 

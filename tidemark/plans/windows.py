@@ -29,7 +29,7 @@ def forward_fill(t):
     return shown(series.forward_fill(gapped(t)), "value", "filled")
 
 
-# Raw events as one long series per type: nearly every stamp is its own row, so chunks of an hour are used.
+# Raw events as one long series per type: nearly every stamp is its own row.
 RAW = "d AS (SELECT event_id, event_type AS series, ts, CASE WHEN value > 100 THEN value END AS value FROM events)"
 
 
@@ -37,9 +37,28 @@ RAW = "d AS (SELECT event_id, event_type AS series, ts, CASE WHEN value > 100 TH
 WITH {RAW} SELECT event_id, series, value, last_value(value IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts, event_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM d""")
 def forward_fill_raw(t):
+    return series.forward_fill(_raw(t), spread=True).select("event_id", "series", "value", "filled")
+
+
+def _raw(t):
     value = F.when(F.col("value") > 100, F.col("value"))
-    raw = t.events.select("event_id", F.col("event_type").alias("series"), F.struct("ts", "event_id").alias("period"), value.alias("value"))
-    return series.forward_fill(raw, chunk=F.date_trunc("hour", "period.ts")).select("event_id", "series", "value", "filled")
+    return t.events.select("event_id", F.col("event_type").alias("series"), F.struct("ts", "event_id").alias("period"), value.alias("value"))
+
+
+RAW_PAST = "OVER (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+RAW_AHEAD = "OVER (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+
+
+@query("fill_both_raw", oracle=f"""
+WITH {RAW} SELECT event_id, coalesce(last_value(value IGNORE NULLS) {RAW_PAST}, first_value(value IGNORE NULLS) {RAW_AHEAD}) AS filled FROM d""")
+def fill_both_raw(t):
+    return series.fill_both(_raw(t), spread=True).select("event_id", "filled")
+
+
+@query("fill_mean_raw", oracle=f"""
+WITH {RAW} SELECT event_id, round((last_value(value IGNORE NULLS) {RAW_PAST} + first_value(value IGNORE NULLS) {RAW_AHEAD}) / 2, 8) AS filled FROM d""")
+def fill_mean_raw(t):
+    return series.fill_mean(_raw(t), spread=True).select("event_id", F.round("filled", 8).alias("filled"))
 
 
 @query("fill_both", oracle=f"""
@@ -220,6 +239,24 @@ def robust_scale(t):
     return shown(scaling.robust(daily(t)), "scaled")
 
 
+@query("robust_scale_raw", oracle="""
+WITH b AS (SELECT l_returnflag AS series, min(l_extendedprice) AS lo, quantile_cont(l_extendedprice::DOUBLE, 0.6) AS hi FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, round(CASE WHEN hi = lo THEN l_extendedprice ELSE (l_extendedprice - lo) / (hi - lo) END, 8) AS scaled
+FROM lineitem JOIN b ON series = l_returnflag""")
+def robust_scale_raw(t):
+    """Every order line scaled by the exact percentile of its flag, found by counting."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("series"), F.col("l_extendedprice").cast("double").alias("value"))
+    return scaling.robust_raw(rows).select("l_orderkey", "l_linenumber", F.round("scaled", 8).alias("scaled"))
+
+
+@query("percentiles_raw", oracle="""
+SELECT event_type AS series, p AS fraction, round(quantile_cont(value, [0.0, 0.05, 0.5, 0.95, 1.0])[i], 9) AS quantile
+FROM events, (SELECT unnest([0.0, 0.05, 0.5, 0.95, 1.0]) AS p, unnest([1, 2, 3, 4, 5]) AS i) GROUP BY event_type, p, i""")
+def percentiles_raw(t):
+    made = scaling.quantiles(t.events.select(F.col("event_type").alias("series"), "value"), [0.0, 0.05, 0.5, 0.95, 1.0])
+    return made.withColumn("quantile", F.round("quantile", 9))
+
+
 @query("inverse_scale", oracle=ROBUST + "round(value, 8) AS restored FROM d JOIN b USING (series)")
 def inverse_scale(t):
     return shown(scaling.robust(daily(t)).withColumn("restored", scaling.inverse_robust()), "restored")
