@@ -1,6 +1,7 @@
 """Checked builds, incremental loads and streams."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,21 @@ def test_stream_new_rows(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(target).collect()) == ["a", "b"]
 
 
+def test_stream_of_unseen_keys_reads_the_stored_table_once(spark, tmp_path):
+    landed, target, progress, table = (str(tmp_path / n) for n in ("in", "out", "progress", "stored"))
+    events(spark, ("b", 2, 3), ("z", 1, 1)).coalesce(1).write.parquet(table)
+    stored = spark.read.parquet(table)
+    parts = [[("a", 1, 1), ("a", 2, 2), ("b", 2, 3), (None, 1, 1)], [("a", 9000, 4), ("c", 3, 5), (None, 5, 5)], [("z", 8760, 1), ("d", -8760, 1), ("c", 1, 1)]]
+    for n, part in enumerate(parts):
+        events(spark, *part).coalesce(1).write.mode("append").parquet(landed)
+        stream = flows.landed_files(spark, landed, spark.read.parquet(landed).schema)
+        flows.run_first_of_keys(stream, target, progress, ["k"], stored)
+        if n == 0:  # from now on the table is gone, and only the state knows its keys
+            os.rename(table, table + "-moved")
+            os.makedirs(table)
+    assert sorted(r.k or "" for r in spark.read.parquet(target).collect()) == ["", "a", "c", "d"]
+
+
 def test_stream_buckets_equal_batch_and_drop_late_rows(spark, tmp_path):
     landed, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     first, second = [("a", 1, 1), ("a", 2, 3), ("a", 30, 5), ("a", 100, 7)], [("a", 3, 9), ("a", 200, 1)]

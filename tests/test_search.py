@@ -167,3 +167,30 @@ def test_missing_category_is_an_error_row(spark):
     got = {r.category: r for r in models.predict_categories(daily, ["a", "b", "z"], "s", "t").collect()}
     assert got["z"].error == "No data for category z" and got["z"].predicted_trend is None
     assert got["a"].error is None and got["a"].today_trend == 9.0 and got["a"].predicted_trend is not None
+
+
+def test_new_rows_are_embedded_without_the_old_texts(spark):
+    from tidemark.operators import embeddings
+    from tidemark.session import run_folder
+
+    rows = [(i, f"alpha{i % 5} beta{i % 3} shared") for i in range(60)] + [(100, None), (101, "")]
+    late = [(200 + i, f"alpha{i % 5} rare{i}") for i in range(10)]
+    make = lambda rows: spark.createDataFrame(rows, "id bigint, t string")
+    store = embeddings.EmbeddingStore(spark, run_folder(spark, "vectors"), "id", 32)
+    store.embed_missing(make(rows), "t")
+    first = {r.id: r.vector for r in store.vectors.read().collect()}
+    assert first[100] is None and first[101] is None and abs(sum(x * x for x in first[7]) - 1) < 1e-9
+    # The old texts are gone: neither old vectors nor the weights of new ones depend on them.
+    store.embed_missing(make([(i, None) for i, _ in rows] + late), "t")
+    whole = embeddings.place_counts(make(rows + late), "id", "t", 32)
+    want = {r.id: r.vector for r in embeddings.vectors(whole.where("id >= 200"), "id", embeddings.frequencies(whole, "id"), 32).collect()}
+    got = {r.id: r.vector for r in store.vectors.read().collect()}
+    assert all(got[i] == first[i] for i in first) and all(got[i] == pytest.approx(want[i]) for i in want) and len(got) == 72
+    # A run that died before its vectors were stored counts for nothing.
+    before = store.frequencies.version()
+    store.frequencies.append(spark.createDataFrame([(3, 10_000, "dead")], "place int, documents bigint, batch string"))
+    assert store.embed_missing(make(rows), "t") == 2 and store.frequencies.version() == before + 1
+    store.embed_missing(make([(300, "alpha1 shared")]), "t")
+    more = embeddings.place_counts(make([*rows, *late, (300, "alpha1 shared")]), "id", "t", 32)
+    want = embeddings.vectors(more.where("id = 300"), "id", embeddings.frequencies(more, "id"), 32).first().vector
+    assert store.vectors.read().where("id = 300").first().vector == pytest.approx(want)

@@ -64,30 +64,34 @@ def _carried(rows: DataFrame, chunk: str) -> DataFrame:
         F.first("oldest", ignorenulls=True).over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("__out"))
 
 
-def _scan(batches):
-    """The last known value so far in each series, row by row: worker code for sorted rows whose last column is to be filled."""
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    series = carry = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys, values = batch.column("series"), batch.column("value")
-        carry = pa.nulls(1, values.type) if carry is None else carry
-        # Place 0 is what the batch before hands over; a new series starts with nothing.
-        before = pa.concat_arrays([keys.slice(0, 1) if series is None else series, keys.slice(0, len(keys) - 1)])
-        same = pc.or_(pc.fill_null(pc.equal(keys, before), False), pc.and_(pc.is_null(keys), pc.is_null(before))).to_numpy(zero_copy_only=False)
-        place = np.arange(len(keys)) + 1
-        known = values.is_valid().to_numpy(zero_copy_only=False)
-        first = np.maximum.accumulate(np.where(same, 0, place))
-        last = np.maximum.accumulate(np.where(known, place, 0))
-        held = pa.concat_arrays([carry, values])
-        take = pa.array(last, mask=(last < first) & (first > 0))
-        filled = held.take(take)
-        series, carry = keys.slice(len(keys) - 1), filled.slice(len(keys) - 1)
-        yield pa.RecordBatch.from_arrays([*batch.columns, filled], names=[*batch.schema.names, "\0filled"])
+def _scanner():
+    """A function for the tasks: the last known value so far in each series, row by row, of sorted rows."""
+
+    def _scan(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        series = carry = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, values = batch.column("series"), batch.column("value")
+            carry = pa.nulls(1, values.type) if carry is None else carry
+            # Place 0 is what the batch before hands over; a new series starts with nothing.
+            before = pa.concat_arrays([keys.slice(0, 1) if series is None else series, keys.slice(0, len(keys) - 1)])
+            same = pc.or_(pc.fill_null(pc.equal(keys, before), False), pc.and_(pc.is_null(keys), pc.is_null(before))).to_numpy(zero_copy_only=False)
+            place = np.arange(len(keys)) + 1
+            known = values.is_valid().to_numpy(zero_copy_only=False)
+            first = np.maximum.accumulate(np.where(same, 0, place))
+            last = np.maximum.accumulate(np.where(known, place, 0))
+            held = pa.concat_arrays([carry, values])
+            take = pa.array(last, mask=(last < first) & (first > 0))
+            filled = held.take(take)
+            series, carry = keys.slice(len(keys) - 1), filled.slice(len(keys) - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, filled], names=[*batch.schema.names, "\0filled"])
+
+    return _scan
 
 
 def _scanned(df: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def _scanned(df: DataFrame) -> DataFrame:
     rows = df.select(there.alias("r")).select("r.*")
 
     def scan(frame, out):
-        made = frame.mapInArrow(_scan, T.StructType([*frame.schema.fields, T.StructField("\0filled", kind)]))
+        made = frame.mapInArrow(_scanner(), T.StructType([*frame.schema.fields, T.StructField("\0filled", kind)]))
         return made.withColumnRenamed("\0filled", out)
 
     ranged = rows.repartitionByRange("series", "period").sortWithinPartitions("series", "period").withColumn("__segment", F.spark_partition_id())

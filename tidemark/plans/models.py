@@ -21,8 +21,8 @@ r AS (SELECT series, 1 AS step, b0 + b1 * y1 + b2 * y2 AS y, y1 AS before FROM n
       UNION ALL SELECT r.series, step + 1, b0 + b1 * r.y + b2 * r.before, r.y FROM r JOIN b ON b.series = r.series WHERE step < 30)"""
 
 
-@query("forecast_bounds", oracle="""
-WITH m AS (SELECT l_returnflag || l_linestatus AS series, date_trunc('month', l_shipdate)::DATE AS period, sum(l_quantity) AS value FROM lineitem GROUP BY ALL),
+BOUNDS = """
+WITH m AS (SELECT {series} AS series, date_trunc('month', l_shipdate)::DATE AS period, sum(l_quantity) AS value FROM lineitem GROUP BY ALL),
 x AS (SELECT *, year(period) * 12 + month(period) AS x FROM m),
 t AS (SELECT series, regr_slope(value, x) AS b, regr_intercept(value, x) AS a, max(period) AS last FROM x GROUP BY series),
 f AS (SELECT x.series, period, value, a + b * x AS line, month(period) AS moy FROM x JOIN t USING (series)),
@@ -31,7 +31,10 @@ h AS (SELECT f.series, period, value, line + season AS pred FROM f JOIN s USING
 d AS (SELECT series, stddev_pop(value - pred) AS sd FROM h GROUP BY series),
 u AS (SELECT series, (last + to_months(k::INT))::DATE AS period, a, b FROM t, (SELECT unnest([1, 2, 3]) AS k)),
 n AS (SELECT u.series, period, NULL::DOUBLE AS value, a + b * (year(period) * 12 + month(period)) + coalesce(season, 0) AS pred
-      FROM u LEFT JOIN s ON s.series = u.series AND s.moy = month(period))
+      FROM u LEFT JOIN s ON s.series = u.series AND s.moy = month(period))"""
+
+
+@query("forecast_bounds", oracle=BOUNDS.format(series="l_returnflag || l_linestatus") + """
 SELECT series, CAST(period AS VARCHAR) AS period, round(pred, 3) AS pred, round(pred - 1.2815515655446004 * sd, 3) AS lower,
   round(pred + 1.2815515655446004 * sd, 3) AS upper, value IS NULL AS future
 FROM (SELECT * FROM h UNION ALL SELECT * FROM n) JOIN d USING (series)""")
@@ -42,20 +45,15 @@ def forecast_bounds(t):
                          F.col("value").isNull().alias("future"))
 
 
-@query("forecast_table_wide", oracle="""
-WITH m AS (SELECT l_returnflag AS f, date_trunc('month', l_shipdate)::DATE AS period, sum(l_quantity) AS value FROM lineitem GROUP BY ALL),
-x AS (SELECT *, year(period) * 12 + month(period) AS x FROM m),
-t AS (SELECT f, regr_slope(value, x) AS b, regr_intercept(value, x) AS a FROM x GROUP BY f),
-r AS (SELECT x.*, a + b * x AS line, avg(value - a - b * x) OVER (PARTITION BY x.f, month(period)) AS season FROM x JOIN t USING (f)),
-k AS (SELECT f, stddev_pop(value - line - season) AS sd FROM r GROUP BY f)
+@query("forecast_table_wide", oracle=BOUNDS.format(series="l_returnflag") + """,
+z AS (SELECT period, series AS f, pred, sd FROM (SELECT * FROM h UNION ALL SELECT * FROM n) JOIN d USING (series))
 SELECT CAST(period AS VARCHAR) AS period, """ + ", ".join(
-    f"round(max(line + season) FILTER (r.f = '{f}'), 3) AS {f}_pred, round(max(line + season - 1.2815515655446004 * sd) FILTER (r.f = '{f}'), 3) AS {f}_lower, round(max(line + season + 1.2815515655446004 * sd) FILTER (r.f = '{f}'), 3) AS {f}_upper" for f in "ANR") + """
-FROM r JOIN k ON k.f = r.f GROUP BY period""")
+    f"round(max(pred) FILTER (f = '{f}'), 3) AS {f}_pred, round(max(pred - 1.2815515655446004 * sd) FILTER (f = '{f}'), 3) AS {f}_lower, round(max(pred + 1.2815515655446004 * sd) FILTER (f = '{f}'), 3) AS {f}_upper" for f in "ANR") + """
+FROM z GROUP BY period""")
 def forecast_table_wide(t):
-    """History side of the forecasts of all series, merged on the month into one wide table."""
+    """The forecasts of all series, known months and the three to come, merged on the month into one wide table."""
     rows = forecasts.forecast_bounds(forecasts.monthly_series(t.lineitem, "l_returnflag", "l_shipdate", "l_quantity"))
-    known = rows.filter(F.col("value").isNotNull())
-    wide = known.groupBy("period").pivot("series", ["A", "N", "R"]).agg(*(F.round(F.max(c), 3).alias(c) for c in ("pred", "lower", "upper")))
+    wide = rows.groupBy("period").pivot("series", ["A", "N", "R"]).agg(*(F.round(F.max(c), 3).alias(c) for c in ("pred", "lower", "upper")))
     return wide.withColumn("period", F.col("period").cast("string")).orderBy("period")
 
 

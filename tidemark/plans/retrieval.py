@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import search, text_index, vector_index
+from tidemark.operators import embeddings, search, text_index, vector_index
 from tidemark.plans import query
 from tidemark.session import run_folder
 
@@ -172,6 +172,26 @@ def embed_missing(t):
     return made.select("doc_id", F.size("vector").alias("dims"), F.round(norm, 6).alias("norm"))
 
 
+PLACES = """
+w AS (SELECT doc_id, doc_id % 3 > 0 AS early, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: length(w) > 1)) AS token FROM documents),
+c AS (SELECT doc_id, early, ('0x' || substr(md5(token), 1, 8))::BIGINT % 128 AS place, count(*) AS n FROM w GROUP BY ALL),
+f AS (SELECT place, count(*) FILTER (early) AS d1, count(*) AS d2 FROM c GROUP BY place),
+a AS (SELECT count(DISTINCT doc_id) FILTER (early) AS n1, count(DISTINCT doc_id) AS n2 FROM c),
+x AS (SELECT doc_id, place, n * ln(CASE WHEN early THEN (n1 + 1) / (d1 + 1) ELSE (n2 + 1) / (d2 + 1) END) AS weight FROM c JOIN f USING (place), a)"""
+
+
+@query("embed_new_rows", oracle=f"""
+WITH {PLACES}, l AS (SELECT doc_id, sqrt(sum(weight * weight)) AS len FROM x GROUP BY doc_id)
+SELECT doc_id, place, round(CASE WHEN len > 0 THEN weight / len ELSE 0 END, 8) AS entry FROM x JOIN l USING (doc_id) WHERE abs(round(CASE WHEN len > 0 THEN weight / len ELSE 0 END, 8)) > 0""")
+def embed_new_rows(t):
+    """Vector entries of all documents, two thirds embedded by a first run and the rest by a second one."""
+    store = embeddings.EmbeddingStore(t.spark, run_folder(t.spark, "vectors"), "doc_id", 128)
+    store.embed_missing(t.wide("documents").where("doc_id % 3 > 0"), "text")
+    store.embed_missing(t.wide("documents"), "text")
+    entries = store.vectors.read().select("doc_id", F.posexplode("vector").alias("place", "entry"))
+    return entries.withColumn("entry", F.round("entry", 8)).where("abs(entry) > 0")
+
+
 @query("context_assembly", oracle=f"""
 WITH {CENTROIDS},
 g AS (SELECT query_id, vec_id, score FROM s WHERE score >= 1.2 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10),

@@ -24,6 +24,17 @@ def stream_dedup(t):
     return t.spark.read.parquet(target)
 
 
+@query("stream_unseen", oracle="SELECT DISTINCT user_id, event_type FROM events WHERE user_id IS NOT NULL EXCEPT SELECT user_id, event_type FROM events WHERE event_id % 7 = 0")
+def stream_unseen(t):
+    """Keys that a stored table and the stream so far lack, from state alone; the stream is taken up twice."""
+    stored = t.events.where("event_id % 7 = 0").select("user_id", "event_type")
+    landed = flows.landed_files(t.spark, t.path("events") + "*", t.events.schema).where("user_id IS NOT NULL").select("user_id", "event_type")
+    target = run_folder(t.spark, "unseen")
+    for _ in range(2):
+        flows.run_first_of_keys(landed, target, target + "-progress", ["user_id", "event_type"], stored)
+    return t.spark.read.parquet(target)
+
+
 def _bucket_sql(unit):
     return f"""SELECT event_type, strftime(date_trunc('{unit}', ts), '%Y-%m-%d') AS bucket, count(*) AS n, round(avg(value), 8) AS mean
 FROM events GROUP BY ALL"""

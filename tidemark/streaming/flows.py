@@ -57,6 +57,45 @@ def run_new_rows(df: DataFrame, target: str, checkpoint: str, keys: Iterable[str
     query.awaitTermination()
 
 
+def first_of_keys(df: DataFrame, keys: Iterable[str], stored: DataFrame | None = None) -> DataFrame:
+    """The first row of each key of a stream that was never seen before, however late it comes, and no row of a ``stored`` key.
+
+    State is keyed by the key and never expires: one mark a key, on the executors' disks. The keys of ``stored`` enter it when the
+    stream first starts and the table is not read again, neither by later batches nor after a restart. Null is a key.
+    """
+    from pyspark.sql.streaming import StatefulProcessor
+
+    keys, out = list(keys), df.schema
+    columns = df.columns
+
+    class Unseen(StatefulProcessor):
+        def init(self, handle):
+            self.seen = handle.getValueState("seen", "seen boolean")
+
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+            known = self.seen.exists()
+            for frame in rows:
+                if not known and len(frame):
+                    known = True
+                    self.seen.update((True,))
+                    yield frame.iloc[:1][columns]
+
+        def handleInitialState(self, key, initialState, timerValues):  # noqa: N802, N803
+            self.seen.update((True,))
+
+        def close(self):
+            pass
+
+    start = None if stored is None else stored.select(*keys).distinct().withColumn("known", F.lit(True)).groupBy(*keys)
+    return df.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=Unseen(), outputStructType=out, outputMode="Append", timeMode="None", initialState=start)
+
+
+def run_first_of_keys(df: DataFrame, target: str, checkpoint: str, keys: Iterable[str], stored: DataFrame | None = None) -> None:
+    """Append what :func:`first_of_keys` lets through to parquet, each row once, and stop when all that has landed is taken."""
+    run(first_of_keys(df, keys, stored), target, checkpoint)
+
+
 def buckets(df: DataFrame, keys: Iterable[str], stamp: str, value: str, unit: str) -> DataFrame:
     """Count and mean per key and date, week (from Monday) or month; batch and stream alike."""
     if unit == "month":
