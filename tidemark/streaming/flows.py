@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from tidemark.operators.quality import append_new_rows
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def landed_files(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet",
                  files_per_batch: int | None = None) -> DataFrame:
@@ -92,8 +95,16 @@ def first_of_keys(df: DataFrame, keys: Iterable[str], stored: DataFrame | None =
 
 
 def run_first_of_keys(df: DataFrame, target: str, checkpoint: str, keys: Iterable[str], stored: DataFrame | None = None) -> None:
-    """Append what :func:`first_of_keys` lets through to parquet, each row once, and stop when all that has landed is taken."""
-    run(first_of_keys(df, keys, stored), target, checkpoint)
+    """Append what :func:`first_of_keys` lets through to parquet, each row once, and stop when all that has landed is taken.
+
+    Such state needs the RocksDB store, which the stream gets whatever the session's own setting is.
+    """
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(STORE, None)
+    conf.set(STORE, ROCKS_DB)
+    try:
+        run(first_of_keys(df, keys, stored), target, checkpoint)
+    finally:
+        conf.unset(STORE) if before is None else conf.set(STORE, before)
 
 
 def buckets(df: DataFrame, keys: Iterable[str], stamp: str, value: str, unit: str) -> DataFrame:
