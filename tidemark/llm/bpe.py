@@ -177,23 +177,37 @@ class Lexicon:
             parts.append(image[at:at + length])
             at += length
         self.final, self.first, self.labels, self.targets, self.numbers, self.offsets, self.ids = parts
+        self.heads: dict[bytes, tuple[int, int]] = {}
 
     @classmethod
     def open(cls, path: str) -> Lexicon:
         with open(path, "rb") as file:
             return cls(memoryview(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)))
 
-    def find(self, word: bytes) -> bytes | None:
-        state, number = self.root, 0
+    def walk(self, state: int, number: int, word: bytes) -> tuple[int, int]:
+        """The state that ``word`` leads to from ``state``, below 0 if none, and the sum of numbers up to there."""
         first, labels, targets, numbers = self.first, self.labels, self.targets, self.numbers
         for byte in word:
-            high = first[state + 1]
-            arc = bisect_left(labels, byte, first[state], high)
+            low, high = first[state], first[state + 1]
+            arc = bisect_left(labels, byte, low, high) if high - low > 1 else low
             if arc == high or labels[arc] != byte:
-                return None
+                return -1, 0
             number += numbers[arc]
             state = targets[arc]
-        if not self.final[state]:
+        return state, number
+
+    def find(self, word: bytes, head: int = 5) -> bytes | None:
+        # Where the first ``head`` bytes lead is remembered; words of a language share them.
+        start = word[:head]
+        found = self.heads.get(start)
+        if found is None:
+            if len(self.heads) >= 100_000:
+                self.heads.clear()
+            found = self.heads[start] = self.walk(self.root, 0, start)
+        if found[0] < 0:
+            return None
+        state, number = self.walk(*found, word[head:])
+        if state < 0 or not self.final[state]:
             return None
         return self.ids[self.offsets[number]:self.offsets[number + 1]].tobytes()
 
@@ -263,6 +277,9 @@ class Codec:
         longest_first = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
         self.specials = tuple(vocabulary.special)
+        self.sizes = np.array([len(token) for token in vocabulary.tokens], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(vocabulary.tokens), np.uint8)
 
     def encode(self, text: str) -> bytes:
         if self.special is not None and any(s in text for s in self.specials):
@@ -279,8 +296,17 @@ class Codec:
                 pass
         return b"".join(map(self.words.__getitem__, self.split(text)))
 
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    def decode(self, ids: bytes, step: int = 1 << 18) -> str:
+        """All tokens' bytes are one table; each id takes its stretch of it, ``step`` ids at a time."""
+        numbers, parts = np.frombuffer(ids, "<u4"), []
+        for at in range(0, len(numbers), step):
+            some = numbers[at:at + step]
+            size = self.sizes[some]
+            ends = np.cumsum(size)
+            place = np.repeat(self.begins[some] - (ends - size), size)
+            place += np.arange(len(place))
+            parts.append(self.bytes[place].tobytes())
+        return b"".join(parts).decode("utf-8", "replace")
 
 
 def frequent_words(docs: DataFrame, size: int) -> list[bytes]:
@@ -350,14 +376,15 @@ def round_trip(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 262_1
     words = frequent_words(docs, lexicon_words)
     name = publish(spark, compile_lexicon({word: vocabulary.merge(word) for word in words}))
     shipped = spark.sparkContext.broadcast(vocabulary.parts)
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("ids", "decoded")]
-    rows = docs.select(*carry, F.coalesce("text", F.lit("")).alias("__text"))
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ("ids", "decoded")]
+    (whole_text,) = common.fresh(docs, "whole_text")
+    rows = docs.select(*carry, F.coalesce("text", F.lit("")).alias(whole_text))
 
     def run(batches):
         codec = Codec(Vocabulary(shipped.value), Lexicon.open(SparkFiles.get(name)))
         for batch in (piece for whole in batches for piece in common.slices(whole)):
-            ids = [codec.encode(value.as_py()) for value in batch.column("__text")]
-            kept = batch.drop_columns(["__text"])
+            ids = [codec.encode(value.as_py()) for value in batch.column(whole_text)]
+            kept = batch.drop_columns([whole_text])
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.string())],
                 names=[*kept.schema.names, "ids", "decoded"])

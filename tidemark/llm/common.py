@@ -25,7 +25,7 @@ def is_file_backed(df: DataFrame) -> bool:
     from pyspark.errors import AnalysisException
 
     try:
-        df.select("_metadata.file_path", "_metadata.row_index").schema
+        df.select(*(df.metadataColumn("_metadata")[name] for name in ("file_path", "row_index"))).schema
         return True
     except AnalysisException:
         return False
@@ -47,10 +47,22 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """
     if not is_file_backed(df):
         df = pin(df, "rows")
-    place = F.concat_ws(":", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index").cast("string"))
+    origin = df.metadataColumn("_metadata")
+    place = F.concat_ws(":", F.hex(F.xxhash64(origin["file_path"])), origin["row_index"].cast("string"))
     return df.select("*", place.alias(name))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns: ``names``, with underscores before them until no column of ``df`` is called so in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batch, rows: int = 256):
     """A record batch in pieces, so what a task makes of them stays small however long texts are."""
     for at in range(0, batch.num_rows, rows):

@@ -97,7 +97,7 @@ def deduplicate(docs: DataFrame, digest=lambda text: F.sha2(text, 256), max_file
     """
     if not common.is_file_backed(docs):
         docs = common.pin(docs, "rows")
-    columns, place = docs.columns, "__locator"
+    columns, (place,) = docs.columns, common.fresh(docs, "locator")
     dropped = decide(docs, digest, max_files).where(~F.col("kept")).select(F.col("locator").alias(place))
     return common.with_row_id(docs, place).join(common.pin(dropped, "dropped"), place, "left_anti").select(columns)
 

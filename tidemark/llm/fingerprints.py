@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -47,13 +49,20 @@ def windows(sums: np.ndarray, starts: np.ndarray, lengths, lane: int = 0) -> np.
     return mix((sums[starts + lengths] - sums[starts]) * inverse[starts])
 
 
-_TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+#: Words of more bytes are hashed one by one.
+_LONG = 64
+#: What of eight bytes belongs to a word that has 0 to 8 bytes left.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first byte, end, fingerprint) of each run of bytes that are not ASCII white space."""
+def words(data: bytes, lane: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end, fingerprint) of each run of bytes that are not ASCII white space.
+
+    A word's length and its bytes, eight after eight, go through :func:`mix` in a chain; long words have their BLAKE2b hash. The two lanes
+    are independent of each other.
+    """
     d = np.frombuffer(data, np.uint8)
     inside = np.zeros(len(d) + 2, np.int8)
     inside[1:-1] = ~_WHITE[d]
@@ -61,8 +70,20 @@ def words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
         return starts, ends, np.zeros(0, np.uint64)
-    size = ends - starts
-    return starts, ends, windows(prefix(_TABLE[d]), starts, size) + mix(size.astype(np.uint64))
+    size, odd = ends - starts, np.uint64(_BASES[lane])
+    prints = mix(size.astype(np.uint64) * odd)
+    eights = np.lib.stride_tricks.sliding_window_view(np.concatenate([d, np.zeros(_LONG, np.uint8)]), 8)
+    some = np.flatnonzero(size <= _LONG)
+    for at in range(0, _LONG, 8):
+        some = some[size[some] > at]
+        if not len(some):
+            break
+        block = eights[starts[some] + at].view("<u8").ravel() & _MASKS[np.minimum(size[some] - at, 8)]
+        prints[some] = mix((prints[some] ^ block) * odd)
+    for i in np.flatnonzero(size > _LONG).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]], digest_size=16).digest()
+        prints[i] = int.from_bytes(digest[8 * lane:8 * lane + 8], "little")
+    return starts, ends, prints
 
 
 def grams(data: bytes) -> np.ndarray:

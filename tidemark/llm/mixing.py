@@ -111,8 +111,9 @@ def mix(docs: DataFrame, weights: dict[str, int], block_rows: int, other: int =
     if not common.is_file_backed(docs):
         docs = common.pin(docs, "rows")
     added = ["lane", "slot", "offset"]
-    order = place(docs, weights, block_rows, other).select(F.col("row_id").alias("__row"), *(F.col(c).alias(f"__{c}") for c in added))
-    rows = common.with_row_id(docs, "__row").join(order, "__row").sort("__slot", "__offset")
+    key, *working = common.fresh(docs, "row", *added)
+    order = place(docs, weights, block_rows, other).select(F.col("row_id").alias(key), *(F.col(c).alias(w) for c, w in zip(added, working)))
+    rows = common.with_row_id(docs, key).join(order, key).sort(*working[1:])
     if not places:
         return rows.select(docs.columns)
-    return rows.select(*(c for c in docs.columns if c not in added), *(F.col(f"__{c}").alias(c) for c in added))
+    return rows.select(*(c for c in docs.columns if c.lower() not in added), *(F.col(w).alias(c) for c, w in zip(added, working)))

@@ -12,7 +12,7 @@ Equal sets are one class. No group is expanded into all pairs:
    of near copies come down to a label or few.
 2. Only pairs with different labels are left. A group of more than ``HOT`` labels is a common passage; each class leaves the largest of
    its passages, as many as its allowance covers, as it meets each partner elsewhere. Classes still in a passage are compared there
-   in blocks, whose sketches refute nearly all pairs inside the task. Groups of few labels give label pairs. What is not refuted
+   in blocks, whose sketches, longer than the sets, refute nearly all pairs inside the task. Groups of few labels give label pairs. What is not refuted
    joins labels again.
 
 Sketches never refute a link, so a label now holds whole components. Inside labels all pairs are verified on whole sets, block against
@@ -35,7 +35,7 @@ from tidemark.llm import common, fingerprints
 
 #: Leaders that a class asks in a round of stars, rounds, and labels from which a group counts as a common passage.
 LEADERS, ROUNDS, HOT = 3, 3, 8
-#: Bits of the short sketch that blocks are compared by.
+#: Bits of the sketches that blocks are compared by first. Sets of as many elements or more have longer ones, which decide.
 SHORT = 512
 
 
@@ -102,6 +102,9 @@ class Scheme:
         at = (fingerprints.mix(grams ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(bits)).astype(np.int64)
         return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool)).tobytes()
 
+    def refuted_by_size(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return 100 * np.minimum(a, b) < self.percent * np.maximum(a, b)
+
     def linked(self, shared: int, a: int, b: int) -> bool:
         return 100 * shared >= self.percent * (a + b - shared)
 
@@ -117,12 +120,52 @@ class Scheme:
         return int(np.bitwise_count(a ^ b).sum()) > self.most(n_a, n_b)
 
 
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of ``size`` bytes or more, each folded to ``size`` bytes, as rows of 64-bit numbers."""
+    out, lengths = np.empty((len(sketches), size // 8), np.uint64), np.array([len(s) for s in sketches], np.int64)
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        rows = np.frombuffer(b"".join(sketches[i] for i in at.tolist()), "<u8").reshape(len(at), length // size, size // 8)
+        out[at] = np.bitwise_xor.reduce(rows, axis=1)
+    return out
+
+
+def unrefuted(scheme: Scheme, n: np.ndarray, sketches: list[bytes], short: np.ndarray, a: np.ndarray, b: np.ndarray, room: int = 16 << 20) -> np.ndarray:
+    """Which pairs of items (a[i], b[i]) neither sizes nor sketches refute; a sketch has ``SHORT`` bits, or the power of two above n.
+
+    ``short`` are the sketches folded to ``SHORT`` bits, by which all pairs are tried first; the sketches of the rest are
+    compared at the length of the shorter one, about ``room`` bytes at a time.
+    """
+    limit = (n[a] + n[b]) * (100 - scheme.percent) // (100 + scheme.percent)
+    kept = ~scheme.refuted_by_size(n[a], n[b])
+    some = np.flatnonzero(kept)
+    step = max(1, room // (SHORT // 8))
+    for at in range(0, len(some), step):
+        part = some[at:at + step]
+        kept[part] = np.bitwise_count(short[a[part]] ^ short[b[part]]).sum(1, dtype=np.int64) <= limit[part]
+    size = np.array([len(s) for s in sketches], np.int64)
+    least = np.minimum(size[a], size[b])
+    for length in np.unique(least[kept]).tolist():
+        if length > SHORT // 8:
+            some, step = np.flatnonzero(kept & (least == length)), max(1, room // length)
+            for at in range(0, len(some), step):
+                part = some[at:at + step]
+                items, where = np.unique(np.concatenate([a[part], b[part]]), return_inverse=True)
+                rows = folded([sketches[i] for i in items.tolist()], length)
+                differ = np.bitwise_count(rows[where[:len(part)]] ^ rows[where[len(part):]]).sum(1, dtype=np.int64)
+                kept[part] = differ <= limit[part]
+    return kept
+
+
 def class_of(grams: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.sha256(grams.tobytes()).digest()[:8], "big") >> 1 if len(grams) else None
 
 
 def with_sets(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """row_id, doc_id, n, cls (a hash of the set; null without words), allowance and the two sketches, per row of ``docs``."""
+    """row_id, doc_id, n, cls (a hash of the set; null without words), allowance and the two sketches, per row of ``docs``.
+
+    ``sketch`` goes with single pairs; ``meeting``, of ``SHORT`` bits or more, is what blocks are compared by.
+    """
     def run(batches):
         for batch in (piece for whole in batches for piece in common.slices(whole)):
             sets = [scheme.ngrams(data.as_py()) for data in batch.column("bytes")]
@@ -130,11 +173,11 @@ def with_sets(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 [batch.column("row_id"), batch.column("doc_id"), pa.array([len(g) for g in sets], pa.int64()),
                  pa.array([class_of(g) for g in sets], pa.int64()), pa.array([scheme.allowance(g) if len(g) else 0 for g in sets], pa.int64()),
                  pa.array([scheme.sketch(g) if len(g) else None for g in sets], pa.binary()),
-                 pa.array([scheme.sketch(g, SHORT) if len(g) else None for g in sets], pa.binary())],
-                names=["row_id", "doc_id", "n", "cls", "allowance", "sketch", "short"])
+                 pa.array([scheme.sketch(g, max(SHORT, 1 << len(g).bit_length())) if len(g) else None for g in sets], pa.binary())],
+                names=["row_id", "doc_id", "n", "cls", "allowance", "sketch", "meeting"])
 
     rows = docs.select("row_id", F.col("doc_id").cast("long").alias("doc_id"), common.text_bytes().alias("bytes"))
-    return rows.mapInArrow(run, "row_id string, doc_id long, n long, cls long, allowance long, sketch binary, short binary")
+    return rows.mapInArrow(run, "row_id string, doc_id long, n long, cls long, allowance long, sketch binary, meeting binary")
 
 
 #: What is sent of a class: its hash and its size.
@@ -282,29 +325,36 @@ def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
     return common.pin(moved.select("cls", F.coalesce("root", "label").alias("label")), "labels")
 
 
-def label_pairs(marked: DataFrame, labels: DataFrame, told: DataFrame, scheme: Scheme, block: int = 64) -> DataFrame:
-    """(a, b) across labels that meet in a group of at most ``HOT`` labels, as far as sizes and short sketches do not refute them.
+def n_blocks(count: int, size: int):
+    """Into how many blocks members go, so that one has about ``count`` of them and ``size`` bytes of sketches."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / count, F.sum(F.octet_length("meeting")) / size))
+
 
-    ``marked`` are (gid, label), distinct, with n_labels; ``told`` (cls, n, short). Labels meet as blocks of about ``block`` classes, so a
-    large label is some rows and not as many pairs.
+def label_pairs(marked: DataFrame, labels: DataFrame, told: DataFrame, scheme: Scheme, block: int = 64, block_bytes: int = 16 << 10) -> DataFrame:
+    """(a, b) across labels that meet in a group of at most ``HOT`` labels, as far as sizes and sketches do not refute them.
+
+    ``marked`` are (gid, label), distinct, with n_labels; ``told`` (cls, n, meeting). Labels meet as blocks of about ``block`` classes, fewer
+    where sketches are long, so a large label is some rows and not as many pairs.
     """
     few = marked.where((F.col("n_labels") > 1) & (F.col("n_labels") <= HOT))
     met = few.select("gid", F.col("label").alias("u")).join(few.select("gid", F.col("label").alias("v")), "gid").where("u < v").select("u", "v").distinct()
-    sizes = labels.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
-    own = labels.join(sizes, "label").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    packed = common.pin(own.join(told, "cls").groupBy("label", "own").agg(F.collect_list(F.struct("cls", "n", "short")).alias("pack")).drop("own"), "packed")
+    known = labels.join(told, "cls")
+    sizes = known.groupBy("label").agg(n_blocks(block, block_bytes).alias("blocks"))
+    own = known.join(sizes, "label").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    packed = common.pin(own.groupBy("label", "own").agg(F.collect_list(F.struct("cls", "n", "meeting")).alias("pack")).drop("own"), "packed")
     rows = (met.join(packed.select(F.col("label").alias("u"), F.col("pack").alias("left")), "u")
             .join(packed.select(F.col("label").alias("v"), F.col("pack").alias("right")), "v").select("left", "right"))
 
     def flat(column):
         """Classes, sizes and sketches of all packs, and where each pack begins."""
         items, starts = column.flatten(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())]).astype(np.int64)
-        sketch = np.frombuffer(b"".join(items.field("short").to_pylist()), "<u8").reshape(len(items), -1)
-        return items.field("cls").to_numpy(), items.field("n").to_numpy(), sketch, starts
+        return items.field("cls").to_numpy(), items.field("n").to_numpy(), items.field("meeting").to_pylist(), starts
 
     def run(batches):
         for batch in (piece for whole in batches for piece in common.slices(whole, 512)):
             (cls_a, n_a, sketch_a, first_a), (cls_b, n_b, sketch_b, first_b) = flat(batch.column("left")), flat(batch.column("right"))
+            cls, n, sketches, first_b = np.concatenate([cls_a, cls_b]), np.concatenate([n_a, n_b]), sketch_a + sketch_b, first_b + len(cls_a)
+            short = folded(sketches, SHORT // 8)
             for at in range(0, batch.num_rows, 64):
                 rows = np.arange(at, min(at + 64, batch.num_rows))
                 wide = first_b[rows + 1] - first_b[rows]
@@ -312,43 +362,55 @@ def label_pairs(marked: DataFrame, labels: DataFrame, told: DataFrame, scheme: S
                 row = np.repeat(np.arange(len(rows)), many)
                 inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 a, b = first_a[rows][row] + inside // wide[row], first_b[rows][row] + inside % wide[row]
-                near = scheme.percent * np.maximum(n_a[a], n_b[b]) <= 100 * np.minimum(n_a[a], n_b[b])
-                a, b = a[near], b[near]
-                differ = np.bitwise_count(sketch_a[a] ^ sketch_b[b]).sum(1, dtype=np.int64)
-                kept = differ <= (n_a[a] + n_b[b]) * (100 - scheme.percent) // (100 + scheme.percent)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(cls_a[a[kept]], pa.int64()), "b": pa.array(cls_b[b[kept]], pa.int64())})
+                kept = unrefuted(scheme, n, sketches, short, a, b)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(cls[a[kept]], pa.int64()), "b": pa.array(cls[b[kept]], pa.int64())})
 
     return rows.mapInArrow(run, "a long, b long")
 
 
-def cells(members: DataFrame, key: str, block: int) -> DataFrame:
-    """``members`` with i, j and ``side``: blocks of about ``block`` members of a key, met in cells i <= j; a member enters each cell of its block."""
-    blocks = members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+def cells(members: DataFrame, key: str, number) -> DataFrame:
+    """``members`` with i, j and ``side``: a key's members in ``number`` (an aggregate) blocks, met in cells i <= j; a member enters each cell of its block."""
+    blocks = members.groupBy(key).agg(number.alias("blocks"))
     own = members.join(blocks, key).withColumn("own", F.pmod(F.xxhash64("cls", F.lit(key)), F.col("blocks")))
     spread = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     return spread.select(*members.columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"))
 
 
-def block_pairs(members: DataFrame, scheme: Scheme, block: int = 4096) -> DataFrame:
-    """(a, b) of different labels in one group that sizes and short sketches do not refute. ``members``: gid, cls, label, n, short."""
+def block_pairs(members: DataFrame, scheme: Scheme, block: int = 4096, block_bytes: int = 4 << 20) -> DataFrame:
+    """(a, b) of different labels in one group that sizes and sketches do not refute. ``members``: gid, cls, label, n, meeting.
+
+    A block has about ``block`` members, fewer where sketches are long.
+    """
     def run(table: pa.Table) -> pa.Table:
         cls, label, n = (np.array(table.column(c).to_pylist(), np.int64) for c in ("cls", "label", "n"))
         side = np.array(table.column("side").to_pylist(), bool)
-        sketch = np.frombuffer(b"".join(table.column("short").to_pylist()), "<u8").reshape(len(cls), -1)
+        sketches = table.column("meeting").to_pylist()
+        short = folded(sketches, SHORT // 8)
         same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         left, right = (np.arange(len(cls)),) * 2 if same else (np.flatnonzero(~side), np.flatnonzero(side))
-        a, b = [], []
+        a, b, waiting, number = [], [], [], 0
+
+        def flush():
+            if waiting:
+                x, y = (np.concatenate(side) for side in zip(*waiting))
+                kept = unrefuted(scheme, n, sketches, short, x, y)
+                a.append(np.minimum(cls[x[kept]], cls[y[kept]]))
+                b.append(np.maximum(cls[x[kept]], cls[y[kept]]))
+                waiting.clear()
+
         for x in left.tolist():
-            some = right[(label[right] != label[x]) & (100 * np.minimum(n[right], n[x]) >= scheme.percent * np.maximum(n[right], n[x]))]
+            some = right[(label[right] != label[x]) & ~scheme.refuted_by_size(n[right], n[x])]
             if same:
                 some = some[some > x]
-            apart = np.bitwise_count(sketch[some] ^ sketch[x]).sum(1, dtype=np.int64)
-            some = some[apart <= (n[some] + n[x]) * (100 - scheme.percent) // (100 + scheme.percent)]
-            a.append(np.minimum(cls[x], cls[some]))
-            b.append(np.maximum(cls[x], cls[some]))
+            waiting.append((np.full(len(some), x), some))
+            number += len(some)
+            if number >= 1 << 17:
+                flush()
+                number = 0
+        flush()
         return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64), "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
 
-    return cells(members, "gid", block).groupBy("gid", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return cells(members, "gid", n_blocks(block, block_bytes)).groupBy("gid", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
 def verify(members: DataFrame, scheme: Scheme, block: int = 128) -> DataFrame:
@@ -388,7 +450,7 @@ def verify(members: DataFrame, scheme: Scheme, block: int = 128) -> DataFrame:
         to = pa.array(np.where(came >= 0, cls[came], 0), pa.int64(), mask=came < 0)
         return pa.table({"cls": pa.array(cls), "others": pa.array(linked @ copies), "to": to})
 
-    return cells(members, "label", block).groupBy("label", "i", "j").applyInArrow(run, "cls long, others long, to long")
+    return cells(members, "label", F.ceil(F.count(F.lit(1)) / block)).groupBy("label", "i", "j").applyInArrow(run, "cls long, others long, to long")
 
 
 def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15) -> DataFrame:
@@ -407,7 +469,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     rows = common.pin(with_sets(docs, scheme), "rows")
     classes = common.pin(rows.where("cls is not null").groupBy("cls").agg(
         F.min("row_id").alias("row_id"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("allowance").alias("allowance"), F.first("sketch").alias("sketch"), F.first("short").alias("short")), "classes")
+        F.first("allowance").alias("allowance"), F.first("sketch").alias("sketch"), F.first("meeting").alias("meeting")), "classes")
 
     found = groups(docs, scheme, common.partitions(spark))
     memberships = common.pin(found.select("gid", F.explode("members").alias("cls"), "times"), "memberships")
@@ -427,7 +489,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     marked = labelled.select("gid", "label").distinct()
     marked = common.pin(marked.join(marked.groupBy("gid").agg(F.count(F.lit(1)).alias("n_labels")), "gid"), "marked")
     passages = marked.where(F.col("n_labels") > HOT).select("gid", "n_labels").distinct()
-    told = classes.select("cls", "n", "short")
+    told = classes.select("cls", "n", "meeting")
     # Every class leaves its largest passages, as many as its allowance. All go by one order, so what two linked classes leave of the
     # groups they share is the beginning of one list, shorter than the list.
     left = F.sum("times").over(Window.partitionBy("cls").orderBy(F.desc("n_labels"), "gid").rowsBetween(Window.unboundedPreceding, 0))
@@ -437,10 +499,10 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, spare: float = 0.15)
     uncovered = classes.where("allowance < 0").select("cls", "row_id")
     texts = docs.select("row_id", common.text_bytes().alias("bytes"))
     bare = whole_sets(texts, common.pin(uncovered, "uncovered"), scheme).select(F.explode("numbers").alias("gid"), "cls").join(labels, "cls").select("gid", "cls", "label").join(told, "cls")
-    columns = ["gid", "cls", "label", "n", "short"]
+    columns = ["gid", "cls", "label", "n", "meeting"]
     rest = label_pairs(marked, labels, told, scheme).unionByName(
         block_pairs(compared.select(columns).unionByName(bare.select(columns)), scheme)).distinct()
-    labels = connect(labels, plausible(rest, classes, scheme))
+    labels = connect(labels, common.pin(rest, "rest"))
     common.settle(spark)
 
     several = labels.groupBy("label").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("label")
@@ -477,7 +539,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """
     docs = docs if common.is_file_backed(docs) else common.pin(docs, "rows")
     found = join(docs, size, percent)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")
+    order, (place,) = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id"), common.fresh(docs, "row")
     first = found.where("class_id is not null").groupBy("component").agg(F.min(order).alias("first"))
-    kept = first.select(F.col("first.row_id").alias("__row")).union(found.where("class_id is null").select("row_id"))
-    return common.with_row_id(docs, "__row").join(common.pin(kept, "kept"), "__row", "left_semi").select(docs.columns)
+    kept = first.select(F.col("first.row_id").alias(place)).union(found.where("class_id is null").select("row_id"))
+    return common.with_row_id(docs, place).join(common.pin(kept, "kept"), place, "left_semi").select(docs.columns)

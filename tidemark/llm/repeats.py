@@ -30,7 +30,8 @@ class Rule:
     """What a window is. ``units`` turns bytes into (values, extra): a run of ``length`` units is a run of ``length - extra`` values.
 
     ``first_only``: a window goes if it starts in a text with a smaller id; otherwise if it starts anywhere else.
-    ``keep`` turns (bytes, flags of removed units) into the bytes that stay.
+    ``keep`` turns (bytes, flags of removed units) into the bytes that stay. ``second`` gives the values of the second fingerprint where
+    values are hashes themselves, so that the two are independent; without it both are taken of the same values.
     """
 
     length: int
@@ -38,6 +39,7 @@ class Rule:
     first_only: bool
     units: Callable[[bytes], tuple[np.ndarray, int]]
     keep: Callable[[bytes, np.ndarray], bytes]
+    second: Callable[[bytes], np.ndarray] | None = None
 
 
 def short_windows(rule: Rule, values: np.ndarray, extra: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +96,7 @@ def _places(rule: Rule, data: bytes, prints) -> tuple[np.ndarray, np.ndarray, np
     starts = np.flatnonzero(np.cumsum(change)[:last + 1] > 0)
     size = rule.length - extra
     one = fingerprints.windows(fingerprints.prefix(values), starts, size)
-    two = fingerprints.windows(fingerprints.prefix(values, 1), starts, size, 1).astype(np.uint32)
+    two = fingerprints.windows(fingerprints.prefix(rule.second(data) if rule.second else values, 1), starts, size, 1).astype(np.uint32)
     return starts, one, two
 
 
@@ -186,7 +188,9 @@ def removals(texts: DataFrame, classes: DataFrame, rule: Rule, shard_bytes: int
 
     A class enters as its row ``row_id``; shards hold about ``shard_bytes`` of text, so what a task holds does not grow with the input.
     """
-    kept = survivors(level_one(texts.where(F.length("bytes") >= rule.length), rule), rule)
+    # Counted and then joined, so it is written once instead of sampling all texts twice.
+    sampled = common.pin(level_one(texts.where(F.length("bytes") >= rule.length), rule), "sampled")
+    kept = survivors(sampled, rule)
     wanted = common.pin(classes.select("cls", "row_id", "doc_id").join(kept, "cls"), "wanted")
     candidates = common.fetch(texts.select("row_id", "bytes"), wanted, "row_id", "candidates").select("cls", "doc_id", "bytes", "prints")
     total = candidates.agg(F.sum(F.length("bytes"))).first()[0] or 0

@@ -101,18 +101,19 @@ def scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None) ->
     length, and rows are independent, so repeated rows, ties and empty tables need no rule. Other columns pass through; a
     column already called ``secret_spans`` is replaced.
     """
-    carry = [c for c in (docs.columns if carry is None else carry) if c != "secret_spans"]
-    rows = docs.select(*carry, common.text_bytes(text).alias("__bytes"))
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() != "secret_spans"]
+    (whole_text,) = common.fresh(docs, "bytes")
+    rows = docs.select(*carry, common.text_bytes(text).alias(whole_text))
 
     def run(batches):
         automaton = keyword_automaton()
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in (piece for whole in batches for piece in common.slices(whole)):
             found = []
-            for value in batch.column("__bytes"):
+            for value in batch.column(whole_text):
                 data = value.as_py()
                 found.append([{"kind": k, "start": s, "end": e} for s, e, k in to_code_points(data, find(data, automaton))])
-            kept = batch.drop_columns(["__bytes"])
+            kept = batch.drop_columns([whole_text])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(found, span)], names=[*kept.schema.names, "secret_spans"])
 
     out = T.StructType([*rows.schema.fields[:-1], T.StructField("secret_spans", SPANS)])

@@ -20,7 +20,8 @@ def rule(length: int) -> repeats.Rule:
     def keep(data: bytes, flags: np.ndarray) -> bytes:
         return b" ".join(word for word, gone in zip(data.split(), flags.tolist()) if not gone)
 
-    return repeats.Rule(length, (length + 1) // 2, True, lambda data: (fingerprints.words(data)[2], 0), keep)
+    return repeats.Rule(length, (length + 1) // 2, True, lambda data: (fingerprints.words(data)[2], 0), keep,
+                        lambda data: fingerprints.words(data, 1)[2])
 
 
 def with_words(docs: DataFrame) -> DataFrame:

@@ -205,13 +205,14 @@ def held_out(doc_id: Column) -> Column:
 
 def restored(docs: DataFrame, scores, carry: list[str]) -> DataFrame:
     """Columns ``carry`` and ``words``: the restored text as :func:`words_of` gives it."""
-    rows = docs.select(*carry, F.coalesce("text", F.lit("")).alias("__text"))
+    (whole_text,) = common.fresh(docs, "whole_text")
+    rows = docs.select(*carry, F.coalesce("text", F.lit("")).alias(whole_text))
 
     def run(batches):
         restorer = Restorer(scores.value)
         for batch in (piece for whole in batches for piece in common.slices(whole)):
-            words = [words_of(restorer.restore(v.as_py())) for v in batch.column("__text")]
-            kept = batch.drop_columns(["__text"])
+            words = [words_of(restorer.restore(v.as_py())) for v in batch.column(whole_text)]
+            kept = batch.drop_columns([whole_text])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(words, pa.string())], names=[*kept.schema.names, "words"])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("words", T.StringType())]))
@@ -322,17 +323,18 @@ def score(docs: DataFrame, model: Model, carry: list[str] | None = None, text: s
     scored whole; equal texts get equal scores; an empty table gives an empty result; columns already called ``score`` or
     ``predicted`` are replaced.
     """
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("score", "predicted")]
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast((model.scores, model.terms, np.asarray(model.weights), model.intercept, model.words))
-    rows = docs.select(*carry, F.coalesce(text, F.lit("")).alias("__text"))
+    (whole_text,) = common.fresh(docs, "whole_text")
+    rows = docs.select(*carry, F.coalesce(text, F.lit("")).alias(whole_text))
 
     def run(batches):
         scores, terms, weights, intercept, known = shared.value
         restorer, find = Restorer(scores, known), term_finder(terms) if terms else lambda words: ()
         for batch in (piece for whole in batches for piece in common.slices(whole)):
-            sums = np.array([intercept + sum(weights[i] for i in sorted(find(words_of(restorer.restore(v.as_py()))))) for v in batch.column("__text")])
+            sums = np.array([intercept + sum(weights[i] for i in sorted(find(words_of(restorer.restore(v.as_py()))))) for v in batch.column(whole_text)])
             chance = 1 / (1 + np.exp(-sums))
-            kept = batch.drop_columns(["__text"])
+            kept = batch.drop_columns([whole_text])
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(chance, pa.float64()), pa.array((chance >= 0.7).astype(np.int32))],
                 names=[*kept.schema.names, "score", "predicted"])
