@@ -12,7 +12,9 @@ import json
 import mmap
 import struct
 import uuid
+from array import array
 from bisect import bisect_left
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -111,59 +113,64 @@ class Vocabulary:
         return [x for x, there in zip(ids, alive) if there]
 
 
-def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
+def compile_lexicon(entries: Mapping[bytes, Sequence[int]]) -> bytes:
     """The image of a minimal acyclic transducer for ``entries``; words are added in order, finished suffixes are shared.
 
     A state is (final, arcs); equal states are one. Each state knows how many words follow it, so the number on an arc is the count of
-    words that come before that arc, and the sum along a path is the word's rank among all words.
+    words that come before that arc, and the sum along a path is the word's rank among all words. This runs on the driver, so a
+    finished state is kept as bytes: whether it is final, the labels of its arcs, their targets.
     """
-    register: dict[tuple, int] = {}
-    states: list[tuple[bool, tuple]] = []
-    below: list[int] = []
+    register: dict[bytes, int] = {}
+    below = array("i")
 
     def finish(node) -> int:
-        key = (node[0], tuple(node[1]))
+        final, labels, targets = node
+        key = bytes([final]) + bytes(labels) + targets.tobytes()
         number = register.get(key)
         if number is None:
-            number = register[key] = len(states)
-            states.append(key)
-            below.append(node[0] + sum(below[target] for _, target in node[1]))
+            number = register[key] = len(register)
+            below.append(final + sum(below[target] for target in targets))
         return number
 
+    def close(last: bytes, depth: int):
+        """Finish the states of the last word below ``depth``, the deepest first."""
+        while len(path) - 1 > depth:
+            number = finish(path.pop())
+            path[-1][1].append(last[len(path) - 1])
+            path[-1][2].append(number)
+
     words = sorted(entries)
-    path = [[False, []]]
+    path = [[0, bytearray(), array("i")]]
     last = b""
     for word in words:
-        common_length = 0
-        while common_length < min(len(word), len(last)) and word[common_length] == last[common_length]:
-            common_length += 1
-        while len(path) - 1 > common_length:
-            number = finish(path.pop())
-            path[-1][1].append((last[len(path) - 1], number))
-        for _ in word[common_length:]:
-            path.append([False, []])
-        path[-1][0] = True
+        shared = 0
+        while shared < min(len(word), len(last)) and word[shared] == last[shared]:
+            shared += 1
+        close(last, shared)
+        path += ([0, bytearray(), array("i")] for _ in word[shared:])
+        path[-1][0] = 1
         last = word
-    while len(path) > 1:
-        number = finish(path.pop())
-        path[-1][1].append((last[len(path) - 1], number))
+    close(last, 0)
     root = finish(path[0])
 
-    first, labels, targets, numbers = [0], [], [], []
-    for final, arcs in states:
-        count = int(final)
-        for label, target in arcs:
-            labels.append(label)
-            targets.append(target)
+    final, first, labels, targets, numbers = (array("i", x) for x in ([], [0], [], [], []))
+    for key in register:
+        arcs = len(key) // 5
+        own = array("i", key[1 + arcs:])
+        count = key[0]
+        final.append(count)
+        labels.extend(key[1:1 + arcs])
+        targets.extend(own)
+        for target in own:
             numbers.append(count)
             count += below[target]
         first.append(len(labels))
-    sequences = [entries[word] for word in words]
-    offsets = np.cumsum([0, *map(len, sequences)])
-    parts = [np.array([final for final, _ in states], "<i4"), np.array(first, "<i4"), np.array(labels, "<i4"), np.array(targets, "<i4"),
-             np.array(numbers, "<i4"), offsets.astype("<i4"), np.array([i for s in sequences for i in s], "<i4")]
-    head = np.array([root, *(len(part) for part in parts)], "<i4")
-    return head.tobytes() + b"".join(part.tobytes() for part in parts)
+    offsets, ids = array("i", [0]), array("i")
+    for word in words:
+        ids.extend(array("i", entries[word]))
+        offsets.append(len(ids))
+    parts = [final, first, labels, targets, numbers, offsets, ids]
+    return array("i", [root, *map(len, parts)]).tobytes() + b"".join(part.tobytes() for part in parts)
 
 
 class Lexicon:
@@ -346,7 +353,7 @@ def frequent_words(docs: DataFrame, size: int) -> list[bytes]:
     # One row per distinct count: the lowest count whose words all fit.
     fits = (counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("so_far", F.sum("words").over(Window.orderBy(F.desc("n"))))
             .where(F.col("so_far") <= size).agg(F.min("n")).first()[0])
-    return [] if fits is None else [bytes(row["word"]) for row in counts.where(F.col("n") >= fits).select("word").collect()]
+    return [] if fits is None else counts.where(F.col("n") >= fits).select("word").toArrow().column("word").to_pylist()
 
 
 def publish(spark: SparkSession, image: bytes) -> str:
@@ -374,7 +381,7 @@ def round_trip(docs: DataFrame, vocabulary_path: str, lexicon_words: int = 262_1
         source = file.read()
     vocabulary = Vocabulary.read(source)
     words = frequent_words(docs, lexicon_words)
-    name = publish(spark, compile_lexicon({word: vocabulary.merge(word) for word in words}))
+    name = publish(spark, compile_lexicon({word: array("i", vocabulary.merge(word)) for word in words}))
     shipped = spark.sparkContext.broadcast(vocabulary.parts)
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ("ids", "decoded")]
     (whole_text,) = common.fresh(docs, "whole_text")
