@@ -95,3 +95,24 @@ def test_bulk_load_and_sensitive_columns(spark, tmp_path):
     assert sinks.drop_sensitive(df, ["SSN"]).columns == ["a", "b"]
     with pytest.raises(ValueError):
         sinks.drop_sensitive(df, ["phone"])
+
+
+def test_fields_by_selector(spark):
+    page = """<html lang=de><body><div class="x cont" id='main'><p>one <b>two</b><br>  three<script>no</script></p>
+      <div><time datetime="2024-05-06">6 May &amp; on</time></div></div><p class=cont>outside</p>
+      <ul id=u><li><a href="/a?x=1&amp;y=2" title="">A</a><li><a>none</a><li><a href='/b'>B</ul><img alt="pic" src=i><custom/>tail</body>"""
+    rows = [(1, page), (2, None), (3, ""), (4, "<p>no date</p></div><time>loose"), (5, "<div id=main><time>t"), (6, "<p>" + "word " * 300_000 + "</p>")]
+    fields = {
+        "body": ("div.cont", None, "no body", None), "date": ("#main time", None, "no date", None), "stamp": ("time[datetime]", "datetime", "none", None),
+        "links": ("ul#u a", "href", "none", "|"), "texts": ("li a", None, "none", "|"), "lang": ("html", "lang", "?", None),
+        "empty": ('a[title=""]', None, "none", None), "both": (".x.cont b", None, "none", None), "picture": ("img[src='i']", "alt", "none", None),
+        "deep": ("html body div div time", None, "none", None), "any": ("#main *", None, "none", " / "), "size": ("p", None, "none", None)}
+    found = {r["i"]: r for r in pages.fields_by_selector(spark.createDataFrame(rows, "i int, h string"), "i", "h", fields).collect()}
+    assert tuple(found[1]) == (1, "one two three 6 May & on", "6 May & on", "2024-05-06", "/a?x=1&y=2|/b", "A|none|B", "de", "A", "two", "pic",
+                               "6 May & on", "one two three / two /  / no / 6 May & on / 6 May & on".replace(" / no /", " /  /"), "one two three")
+    for i in (2, 3):
+        assert tuple(found[i])[1:] == ("no body", "no date", "none", "none", "none", "?", "none", "none", "none", "none", "none", "none")
+    assert (found[4]["date"], found[4]["size"], found[5]["date"], len(found[6]["size"])) == ("no date", "no date", "t", 5 * 300_000 - 1)
+    for wrong in ("", "a b[", "a>b", ".x div.", "p.x:y"):
+        with pytest.raises(ValueError):
+            pages.fields_by_selector(spark.createDataFrame(rows, "i int, h string"), "i", "h", {"f": (wrong, None, "", None)})

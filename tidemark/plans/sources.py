@@ -98,6 +98,23 @@ def html_body(t):
     return pages.element_text(t.pages, "page_id", "html", "article", {}, "no body")
 
 
+@query("html_selected", oracle="""
+WITH parts AS (
+  SELECT page_id, html, regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) AS nav, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS ad,
+         regexp_extract(html, '(?s)<a href="/the">(.*?)</a>', 1) AS the
+  FROM pages)
+SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, regexp_extract(html, '<meta charset="([^"]*)"', 1) AS charset,
+       array_to_string(regexp_extract_all(nav, '<a href="([^"]*)"', 1), ' ') AS nav_links,
+       CASE WHEN contains(html, '<div class="ad">') THEN trim(regexp_replace(replace(replace(replace(replace(
+           regexp_replace(ad, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) ELSE 'no ad' END AS ad,
+       CASE WHEN contains(html, '<a href="/the">') THEN the ELSE 'no link' END AS link
+FROM parts""")
+def html_selected(t):
+    return pages.fields_by_selector(t.pages, "page_id", "html", {
+        "lang": ("html", "lang", "", None), "charset": ("head meta[charset]", "charset", "", None),
+        "nav_links": ("nav li a", "href", "", " "), "ad": ("body div.ad", None, "no ad", None), "link": ('a[href="/the"]', None, "no link", None)})
+
+
 @query("html_text", oracle="""
 SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
     regexp_replace(regexp_replace(

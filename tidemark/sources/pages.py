@@ -113,3 +113,108 @@ def element_text(df: DataFrame, key: str, html: str, tag: str, wanted: dict[str,
             yield batch[[key]].assign(body=[text_of(page) for page in batch[html]])
 
     return df.select(key, html).mapInPandas(parse, f"{key} {kind}, body string")
+
+
+def fields_by_selector(df: DataFrame, key: str, html: str, fields: dict[str, tuple]) -> DataFrame:
+    """``key`` and one string column per field: (selector, attribute or None for the text, default, separator or None for the first only).
+
+    A selector is steps with white space between them, each inside the one before it at any depth; a step is a tag or ``*``, ``.class``, ``#id``,
+    ``[attribute]`` or ``[attribute="value"]``, or several of them together. Text is that of the element and all in it but scripts and
+    styles, white space collapsed. An element without the attribute is passed over; the default stands where nothing is left, and for null
+    pages. A page is read once for all fields and pages are independent rows, so there is no shuffle.
+    """
+    import re
+
+    part = re.compile(r"""(?P<tag>[\w-]+|\*)|\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)|\[(?P<name>[\w:-]+)(?:=["']?(?P<value>[^"'\]]*)["']?)?\]""")
+
+    def step(text: str) -> tuple:
+        tests, at = [], 0
+        while at < len(text):
+            found = part.match(text, at)
+            if found is None or found["tag"] and at:
+                raise ValueError(f"not a selector: {text}")
+            tests.append((found.lastgroup if found["name"] is None else "name", found["tag"] or found["cls"] or found["id"] or found["name"], found["value"]))
+            at = found.end()
+        return tuple(tests)
+
+    # White space inside quotes does not part steps.
+    wanted = [(tuple(step(s) for s in re.findall(r"""(?:\[[^\]]*\]|\S)+""", selector)), attribute, default, separator)
+              for selector, attribute, default, separator in fields.values()]
+    if not all(steps for steps, *_ in wanted):
+        raise ValueError("a selector has at least one step")
+    names, kind = list(fields), df.schema[key].dataType.simpleString()
+
+    def parse(batches: Iterator) -> Iterator:
+        from html.parser import HTMLParser
+
+        void = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+        def fits(tests, element) -> bool:
+            tag, attributes = element
+            for what, name, value in tests:
+                if what == "tag":
+                    good = name in ("*", tag)
+                elif what == "cls":
+                    good = name in (attributes.get("class") or "").split()
+                elif what == "id":
+                    good = attributes.get("id") == name
+                else:
+                    good = name in attributes and (value is None or (attributes[name] or "") == value)
+                if not good:
+                    return False
+            return True
+
+        class Reader(HTMLParser):
+            def __init__(self):
+                super().__init__(convert_charrefs=True)
+                self.stack, self.open, self.found = [], [], [[] for _ in wanted]
+
+            def handle_starttag(self, tag, attributes):
+                element = tag, dict(attributes)
+                for number, (steps, attribute, _, separator) in enumerate(wanted):
+                    if (separator is None and self.found[number]) or not fits(steps[-1], element):
+                        continue
+                    # The innermost ancestor for the last step, the next one out for the step before it.
+                    left = len(steps) - 1
+                    for outer in reversed(self.stack):
+                        if left and fits(steps[left - 1], outer):
+                            left -= 1
+                    if left or attribute is not None and attribute not in element[1]:
+                        continue
+                    parts = [] if attribute is None else [element[1][attribute] or ""]
+                    self.found[number].append(parts)
+                    if attribute is None and tag not in void:
+                        self.open.append((len(self.stack), parts))
+                if tag not in void:
+                    self.stack.append(element)
+
+            def handle_startendtag(self, tag, attributes):
+                self.handle_starttag(tag, attributes)
+                if tag not in void:
+                    self.handle_endtag(tag)
+
+            def handle_endtag(self, tag):
+                # An element that was left open ends with the one around it; an end without a beginning is nothing.
+                at = next((i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag), None)
+                if at is not None:
+                    del self.stack[at:]
+                    self.open = [(depth, parts) for depth, parts in self.open if depth < at]
+
+            def handle_data(self, data):
+                if self.open and self.stack[-1][0] not in ("script", "style"):
+                    for _, parts in self.open:
+                        parts.append(data)
+
+        def fields_of(page):
+            reader = Reader()
+            reader.feed(page or "")
+            reader.close()
+            values = ([re.sub(r"\s+", " ", "".join(parts)).strip() if attribute is None else parts[0] for parts in found]
+                      for found, (_, attribute, _, _) in zip(reader.found, wanted))
+            return [(separator or "").join(found) if found else default for found, (_, _, default, separator) in zip(values, wanted)]
+
+        for batch in batches:
+            rows = [fields_of(page) for page in batch[html]]
+            yield batch[[key]].assign(**{name: [row[i] for row in rows] for i, name in enumerate(names)})
+
+    return df.select(key, html).mapInPandas(parse, f"`{key}` {kind}, " + ", ".join(f"`{name}` string" for name in names))
