@@ -64,7 +64,7 @@ def schedule(spark, weights: dict[str, int], other: int = 1) -> DataFrame:
         F.ceil(F.lit(period) * F.col("nth") / weight).cast("int").alias("deadline"))
 
 
-def place(docs: DataFrame, weights: dict[str, int], block_rows: int, other: int = 1, spread: int = 4096) -> DataFrame:
+def place(docs: DataFrame, weights: dict[str, int], block_rows: int, other: int = 1) -> DataFrame:
     """Where each row of ``docs`` goes: doc_id, source, lane, block, offset, release, deadline, slot, and its row id.
 
     Rows of a lane are taken in order of doc_id (nulls first, then by file place). ``block`` counts from 1, ``offset`` from 0
@@ -73,21 +73,15 @@ def place(docs: DataFrame, weights: dict[str, int], block_rows: int, other: int
     Rows with a null or unlisted source share the lane "(other)". Rows that repeat an id keep a place each; an empty table
     gives an empty result; text and columns of other names are not read.
 
-    Positions inside a lane come from counts per run of ``spread`` neighbouring ids, so no task sorts a whole lane.
+    Positions inside a lane come from a range partitioning on lane, id and file place with counts per partition: no task sorts a whole
+    lane, however ids are spread, null ids included.
     """
     spark = docs.sparkSession
     period = sum(w for _, w in _lanes(weights, other))
     known = F.col("source").isin(*weights) if weights else F.lit(False)
     rows = common.with_row_id(docs.select("doc_id", "source"), "row_id").select(
-        "row_id", "doc_id", "source", F.when(known, F.col("source")).otherwise(F.lit(OTHER)).alias("lane"),
-        F.floor(F.col("doc_id") / spread).alias("run"))
-    counts = rows.groupBy("lane", "run").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("lane").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = common.pin(counts.select("lane", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "starts")
-    inside = F.row_number().over(Window.partitionBy("lane", "run").orderBy("doc_id", "row_id")) - 1
-    numbered = (rows.withColumn("inside", inside).alias("r")
-                .join(starts.alias("s"), F.col("r.lane").eqNullSafe(F.col("s.lane")) & F.col("r.run").eqNullSafe(F.col("s.run")))
-                .select("r.*", (F.col("s.start") + F.col("inside")).alias("position")))
+        "row_id", "doc_id", "source", F.when(known, F.col("source")).otherwise(F.lit(OTHER)).alias("lane"))
+    numbered = common.numbered(rows, ["lane"], ["doc_id", "row_id"], "position", "total", "lanes")
     blocks = numbered.select(
         "row_id", "doc_id", "source", "lane", (F.floor(F.col("position") / block_rows) + 1).alias("block"),
         (F.col("position") % block_rows).alias("offset"))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,20 +29,22 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 #: Channel costs in nats: a sign read as a letter, a sign kept, a run shortened to one or two, a separator dropped or kept.
 COST_LETTER, COST_SIGN, COST_ONE, COST_TWO, COST_JOIN, COST_APART = 0.5, 9.0, 0.3, 1.2, 0.2, 6.0
 
-_L = "a-zß-öø-ÿ"
-_S = r"0-9@$!|+€"
-_A = rf"[{_L}{_S}]"
+_L = r"[^\W\d_]"  # a letter of any script
+_S = r"[0-9@$!|+€]"
+_A = rf"(?:{_L}|{_S})"
 #: From where a run of letters and signs begins: s p a c e d from three on, with a letter among a short run's; letters and signs mixed in
 #: any order (l33t, h473, 5h17, a$$); letters with a run of repeats (repeeeat). What of it is a word, lattice and model decide.
 SUSPICIOUS = re.compile(
     rf"(?<!{_A})(?:(?={_A}[ ._*-]{_A}[ ._*-])(?<![^\s.,;:])"
-    rf"(?:(?:{_A}[ ._*-]){{3,}}{_A}(?!{_A})|(?=(?:[{_S}][ ._*-]){{0,2}}[{_L}])(?:{_A}[ ._*-]){{2}}{_A}(?!{_A}))"
-    rf"|(?:[{_L}]++[{_S}]|[{_S}]++[{_L}]){_A}*+|[{_L}]*?([{_L}])\1\1{_A}*+)")
+    rf"(?:(?:{_A}[ ._*-]){{3,}}{_A}(?!{_A})|(?=(?:{_S}[ ._*-]){{0,2}}{_L})(?:{_A}[ ._*-]){{2}}{_A}(?!{_A}))"
+    rf"|(?:{_L}++{_S}|{_S}++{_L}){_A}*+|{_L}*?({_L})\1\1{_A}*+)")
 #: Readings of longer stretches are not remembered; a word of a spaced phrase has at most as many letters.
 LONGEST = 48
 #: Runs that are shortened to three before a stretch is read.
 RUN = re.compile(r"(.)\1{3,}")
-NOT_LETTERS = re.compile(rf"[^{_L}]+")
+NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+#: Words that begin beyond the Latin blocks are told apart by fewer letters.
+BEYOND_LATIN = "\u0250"
 
 
 def index_table() -> np.ndarray:
@@ -184,17 +187,17 @@ class Restorer:
 
 
 def words_of(text: str) -> str:
-    """Letters only, one space before, between and after words."""
+    """Letters of any script and their marks only, one space before, between and after words."""
     return f" {NOT_LETTERS.sub(' ', text)} "
 
 
 def features(words: str) -> set[str]:
-    """Beginnings of three to seven letters of the words, and whole words of three to twelve."""
+    """Beginnings of three to seven letters of the words (of two on in other scripts than Latin), and whole words of two or more."""
     out = set()
     for word in set(words.split()):
         n = len(word)
-        out.update(f" {word[:k]}" for k in range(3, min(n, 7) + 1))
-        if 3 <= n <= 12:
+        out.update(f" {word[:k]}" for k in range(3 if word < BEYOND_LATIN else 2, min(n, 7) + 1))
+        if n > 1:
             out.add(f" {word} ")
     return out
 
@@ -203,13 +206,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def restored(docs: DataFrame, scores, carry: list[str]) -> DataFrame:
-    """Columns ``carry`` and ``words``: the restored text as :func:`words_of` gives it."""
+def restored(docs: DataFrame, scores, carry: list[str], known: dict[str, float] | None = None) -> DataFrame:
+    """Columns ``carry`` and ``words``: the restored text as :func:`words_of` gives it, spaced phrases cut with the ``known`` words."""
     (whole_text,) = common.fresh(docs, "whole_text")
     rows = docs.select(*carry, F.coalesce("text", F.lit("")).alias(whole_text))
 
     def run(batches):
-        restorer = Restorer(scores.value)
+        restorer = Restorer(scores.value, known)
         for batch in (piece for whole in batches for piece in common.slices(whole)):
             words = [words_of(restorer.restore(v.as_py())) for v in batch.column(whole_text)]
             kept = batch.drop_columns([whole_text])
@@ -245,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_clean: int = 12_000, max_toxic:
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = usable.where("toxic = 1").orderBy(order, "doc_id").limit(max_toxic).unionByName(
         usable.where("toxic = 0").orderBy(order, "doc_id").limit(max_clean))
-    rows = common.pin(restored(docs.select("doc_id", "text").join(common.pin(chosen, "chosen"), "doc_id"), shared, ["toxic"]).distinct(), "labelled")
+    labelled = common.pin(docs.select("doc_id", "text").join(common.pin(chosen, "chosen"), "doc_id").select("toxic", "text").distinct(), "labelled")
 
     def count(batches):
         from collections import Counter
@@ -261,15 +264,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_clean: int = 12_000, max_toxic:
                     "term": [t for t, _ in part], "clean": pa.array([n * (1 - label) for _, n in part], pa.int64()),
                     "toxic": pa.array([n * label for _, n in part], pa.int64())})
 
-    counted = common.pin(rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
+    def counts(rows):
+        return common.pin(rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(
+            F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
+
     n = F.col("clean") + F.col("toxic")
-    frequent = counted.where(F.col("term").endswith(" ") & (n > 1)).select(F.trim("term").alias("word"), n.alias("n")).orderBy(F.desc("n"), "word").limit(lexicon).collect()
+    first = counts(restored(labelled, shared, ["toxic"]).distinct())
+    frequent = first.where(F.col("term").endswith(" ") & (n > 1)).select(F.trim("term").alias("word"), n.alias("n")).orderBy(F.desc("n"), "word").limit(lexicon).collect()
     total = sum(row["n"] for row in frequent)
     known = {row["word"]: float(np.log(total / row["n"])) for row in frequent}
+    # The classifier learns from texts restored as score() restores them.
+    rows = common.pin(restored(labelled, shared, ["toxic"], known).distinct(), "restored")
+    counted = counts(rows)
     gain = F.col("toxic") - 10 * F.col("clean")
     found = counted.where((F.col("toxic") >= least) & (gain > 0)).orderBy(gain.desc(), F.length("term").desc(), "term").limit(terms).collect()
-    names = [row["term"] for row in found]
+    chosen_terms = {row["term"] for row in found}
+    # A word of two letters that is a term as a beginning says nothing more as a whole word.
+    names = [row["term"] for row in found if not (len(row["term"]) == 4 and row["term"].rstrip() in chosen_terms)]
     if not names:
         return Model(scores, [], np.zeros(0), -4.0, known)
 
