@@ -118,7 +118,41 @@ def test_stream_buckets_equal_batch_and_drop_late_rows(spark, tmp_path):
     got = {(r.bucket, r.n, r["mean"]) for r in spark.read.parquet(target).collect()}
     assert got <= batch and len(got) >= 3  # the last bucket stays open, the late row is not counted
     with pytest.raises(ValueError):
-        flows.bucket_stream(flows.landed_files(spark, landed, schema), ["k"], "ts", "v", "month", "1 day")
+        flows.bucket_stream(flows.landed_files(spark, landed, schema), ["k"], "ts", "v", "year", "1 day")
+
+
+def stamped(spark, *rows):
+    return spark.createDataFrame([("a", datetime.datetime.fromisoformat(ts), v) for ts, v in rows], "k string, ts timestamp, v int")
+
+
+def test_stream_of_calendar_months(spark, tmp_path):
+    landed, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    runs = [
+        ([("2023-12-31T23:59:59", 2), ("2024-01-01", 4), ("2024-02-29T23:59:59", 6)], [("2023-12-01", 1, 2.0), ("2024-01-01", 1, 4.0)]),
+        ([("2024-03-01T12:00:00", 1), ("2024-02-01", 8)], []),  # half a day into March: February is open still
+        ([("2024-02-15", 1), ("2024-03-02T00:00:01", 3)], [("2024-02-01", 3, 5.0)]),
+        ([("2024-02-28", 100), ("2024-04-03", 5), (("2025-01-31T10:00:00"), 7)], [("2024-03-01", 2, 2.0), ("2024-04-01", 1, 5.0)]),  # too late for February
+    ]
+    want = set()
+    for rows, closed in runs:
+        stamped(spark, *rows).coalesce(1).write.mode("append").parquet(landed)
+        stream = flows.landed_files(spark, landed, spark.read.parquet(landed).schema)
+        flows.run(flows.bucket_stream(stream, ["k"], "ts", "v", "month", "1 day"), target, progress)
+        want |= set(closed)
+        assert {(str(r.bucket)[:10], r.n, r["mean"]) for r in spark.read.parquet(target).collect()} == want
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "Asia/Seoul"])
+def test_month_clock_turns_back_into_months(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        hours = spark.sql("SELECT explode(sequence(timestamp'1968-11-30', timestamp'1972-03-02', interval 7 hours)) AS ts").union(
+            spark.sql("SELECT explode(sequence(timestamp'2023-12-31', timestamp'2024-12-31', interval 1 hour))"))
+        clock = F.window(flows.month_clock("ts"), f"{flows.MONTH_DAYS} days")["start"]
+        assert hours.select("ts", clock.alias("w")).where(flows.month_of_clock(F.col("w")) != F.date_trunc("month", "ts")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_weeks_start_on_monday(spark):

@@ -58,3 +58,37 @@ def bucket_week(t):
 @query("bucket_month", oracle=_bucket_sql("month"))
 def bucket_month(t):
     return _buckets(t, "month")
+
+
+def _closed_sql(table, key, stamp, value, unit):
+    start = f"date_trunc('{unit}', CAST({stamp} AS TIMESTAMP))"
+    return f"""SELECT {key}, strftime({start}, '%Y-%m-%d') AS bucket, count(*) AS n, round(avg({value}), 4) AS mean
+FROM {table} GROUP BY {key}, {start}
+HAVING {start} + INTERVAL 1 {unit} <= (SELECT max(CAST({stamp} AS TIMESTAMP)) FROM {table}) - INTERVAL 1 DAY"""
+
+
+def _closed(t, table, key, stamp, value, unit):
+    """Buckets that a stream over the landed rows has closed: those that end a day or more before the newest row."""
+    landed = flows.landed_files(t.spark, t.path(table) + "*", getattr(t, table).schema).select(key, stamp, value)
+    target = run_folder(t.spark, f"buckets-{unit}")
+    flows.run(flows.bucket_stream(landed, [key], stamp, value, unit, "1 day"), target, target + "-progress")
+    rows = t.spark.read.schema(f"{key} string, bucket timestamp, n long, mean double").parquet(target)
+    return rows.select(key, F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "n", F.round("mean", 4).alias("mean"))
+
+
+_EVENTS, _ORDERS = ("events", "event_type", "ts", "value"), ("orders", "o_orderpriority", "o_orderdate", "o_totalprice")
+
+
+@query("stream_day", oracle=_closed_sql(*_EVENTS, "day"))
+def stream_day(t):
+    return _closed(t, *_EVENTS, "date")
+
+
+@query("stream_week", oracle=_closed_sql(*_EVENTS, "week"))
+def stream_week(t):
+    return _closed(t, *_EVENTS, "week")
+
+
+@query("stream_month", oracle=_closed_sql(*_ORDERS, "month"))
+def stream_month(t):
+    return _closed(t, *_ORDERS, "month")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,11 +118,36 @@ def buckets(df: DataFrame, keys: Iterable[str], stamp: str, value: str, unit: st
     return df.groupBy(*keys, start).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"))
 
 
+#: Days that each month takes on the even month clock: more than any month has, a change of the clocks included.
+MONTH_DAYS = 32
+_MONTH = MONTH_DAYS * 86_400_000_000
+
+
+def month_clock(stamp: str) -> Column:
+    """The stamp on a clock whose months all take ``MONTH_DAYS`` days: month by month the same order and, inside a month, the same time."""
+    start = F.date_trunc("month", stamp)
+    months = (F.year(stamp) - 1970) * 12 + F.month(stamp) - 1
+    return F.timestamp_micros(months.cast("long") * F.lit(_MONTH) + F.unix_micros(F.col(stamp)) - F.unix_micros(start))
+
+
+def month_of_clock(start: Column) -> Column:
+    """The first moment of the calendar month that begins at ``start`` of the month clock."""
+    months = F.floor(F.unix_micros(start) / F.lit(_MONTH)).cast("int")
+    return F.make_date(F.floor(months / 12).cast("int") + 1970, F.pmod(months, F.lit(12)) + 1, F.lit(1)).cast("timestamp")
+
+
 def bucket_stream(df: DataFrame, keys: Iterable[str], stamp: str, value: str, unit: str, delay: str) -> DataFrame:
-    """Date or week buckets of a stream; a bucket is emitted once the watermark has passed it."""
-    if unit not in ("date", "week"):
-        raise ValueError("a stream has date and week buckets; months have no fixed length")
-    timed = on_event_time(df, stamp).withWatermark(stamp, delay)
-    window = F.window(stamp, "1 day") if unit == "date" else F.window(stamp, "1 week", startTime="4 days")
-    grouped = timed.groupBy(*keys, window.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"))
-    return grouped.select(*keys, F.col("w.start").alias("bucket"), "n", "mean")
+    """Date, week or month buckets of a stream; a bucket is emitted once the watermark has passed it, later rows for it are dropped.
+
+    Calendar months have no fixed length, which windows and watermarks need, so months are cut on :func:`month_clock`. There a month ends where
+    the next begins, so a month is emitted ``delay`` after the next one has begun. Of a longer delay than a month, each month
+    takes 32 days. Rows with a null stamp are in no bucket.
+    """
+    if unit not in ("date", "week", "month"):
+        raise ValueError("a stream has date, week and month buckets")
+    timed, length, first = on_event_time(df, stamp), {"date": "1 day", "week": "1 week", "month": f"{MONTH_DAYS} days"}[unit], F.col("w.start")
+    if unit == "month":
+        timed, first = timed.withColumn(stamp, month_clock(stamp)), month_of_clock(first)
+    window = F.window(stamp, length, startTime="4 days") if unit == "week" else F.window(stamp, length)
+    grouped = timed.withWatermark(stamp, delay).groupBy(*keys, window.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"))
+    return grouped.select(*keys, first.alias("bucket"), "n", "mean")
