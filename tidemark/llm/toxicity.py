@@ -2,17 +2,20 @@
 under a character language model of the corpus, and the restored text is scored.
 
 The model counts character trigrams of all texts over a fixed alphabet. The classifier is a logistic regression on beginnings
-of words that labelled, restored texts show; what it is fitted on is bounded by documented parameters.
+of words that labelled, restored texts show; it is fitted by Spark on every labelled row that may teach.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Matrices, SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -191,15 +194,22 @@ def words_of(text: str) -> str:
     return f" {NOT_LETTERS.sub(' ', text)} "
 
 
+@lru_cache(1 << 16)
+def of_word(word: str) -> tuple[str, ...]:
+    """Beginnings of three to seven letters of a word (of two on in other scripts than Latin), and the whole word of two or more."""
+    n = len(word)
+    starts = [f" {word[:k]}" for k in range(3 if word < BEYOND_LATIN else 2, min(n, 7) + 1)]
+    return (*starts, f" {word} ") if n > 1 else tuple(starts)
+
+
 def features(words: str) -> set[str]:
-    """Beginnings of three to seven letters of the words (of two on in other scripts than Latin), and whole words of two or more."""
-    out = set()
-    for word in set(words.split()):
-        n = len(word)
-        out.update(f" {word[:k]}" for k in range(3 if word < BEYOND_LATIN else 2, min(n, 7) + 1))
-        if n > 1:
-            out.add(f" {word} ")
-    return out
+    """What :func:`of_word` gives for each word of a text."""
+    return {term for word in set(words.split()) for term in of_word(word)}
+
+
+def whole_words(words: str) -> set[str]:
+    """The words of two letters or more."""
+    return {word for word in words.split() if len(word) > 1}
 
 
 def held_out(doc_id: Column) -> Column:
@@ -232,56 +242,66 @@ class Model:
     words: dict[str, float] | None = None
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_clean: int = 12_000, max_toxic: int = 6_000, terms: int = 1500, least: int = 3,
-        lexicon: int = 50_000) -> Model:
-    """The character model from all of ``docs``; the classifier from at most ``max_clean`` and ``max_toxic`` labelled rows.
+def counted_terms(rows: DataFrame, of_text, bound: int = 200_000) -> DataFrame:
+    """(term, clean, toxic): in how many clean and toxic ``rows`` (toxic, words) a term is, of those that ``of_text`` gives for words.
 
-    Rows whose crc32(doc_id as text) mod 3 is 1 teach nothing. Of the others those with the smallest hash of their id are taken, up to
-    the two bounds, equal texts once. Spaced phrases are cut into words with the help of the ``lexicon`` commonest words of those rows,
-    and by the character model for others. ``terms`` word beginnings that mark toxic texts best enter the regression. With no labelled
-    row of one of the classes the classifier has no terms and every score is the same low one.
+    A task holds about ``bound`` terms at a time.
     """
-    spark = docs.sparkSession
-    scores = log_probabilities(count_trigrams(docs))
-    shared = spark.sparkContext.broadcast(scores)
-    order = F.xxhash64("doc_id")
-    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = usable.where("toxic = 1").orderBy(order, "doc_id").limit(max_toxic).unionByName(
-        usable.where("toxic = 0").orderBy(order, "doc_id").limit(max_clean))
-    labelled = common.pin(docs.select("doc_id", "text").join(common.pin(chosen, "chosen"), "doc_id").select("toxic", "text").distinct(), "labelled")
-
     def count(batches):
         from collections import Counter
 
         counts = (Counter(), Counter())
+
+        def emit():
+            for label in (0, 1):
+                items = list(counts[label].items())
+                counts[label].clear()
+                for at in range(0, len(items), 20_000):
+                    part = items[at:at + 20_000]
+                    yield pa.RecordBatch.from_pydict({
+                        "term": pa.array([t for t, _ in part], pa.string()), "clean": pa.array([n * (1 - label) for _, n in part], pa.int64()),
+                        "toxic": pa.array([n * label for _, n in part], pa.int64())})
+
         for batch in (piece for whole in batches for piece in common.slices(whole)):
             for toxic, words in zip(batch.column("toxic").to_pylist(), batch.column("words").to_pylist()):
-                counts[toxic].update(features(words))
-        for label in (0, 1):
-            for at in range(0, len(counts[label]), 100_000):
-                part = list(counts[label].items())[at:at + 100_000]
-                yield pa.RecordBatch.from_pydict({
-                    "term": [t for t, _ in part], "clean": pa.array([n * (1 - label) for _, n in part], pa.int64()),
-                    "toxic": pa.array([n * label for _, n in part], pa.int64())})
-
-    def counts(rows):
-        return common.pin(rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(
-            F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
+                counts[toxic].update(of_text(words))
+            if len(counts[0]) + len(counts[1]) >= bound:
+                yield from emit()
+        yield from emit()
+
+    return common.pin(rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
+
+
+def fit(docs: DataFrame, labels: DataFrame, terms: int = 1500, least: int = 3, lexicon: int = 50_000) -> Model:
+    """The character model from all of ``docs``; the classifier from every labelled row that may teach, equal texts once.
+
+    Rows whose crc32(doc_id as text) mod 3 is 1 teach nothing. Spaced phrases are cut into words with the help of the ``lexicon``
+    commonest words of the labelled rows, and by the character model for others. ``terms`` word beginnings that mark toxic texts best
+    enter the regression; both bound the model, not the rows it is counted and fitted on. With no labelled
+    row of one of the classes the classifier has no terms and every score is the same low one.
+    """
+    spark = docs.sparkSession
+    scores = log_probabilities(count_trigrams(docs))
+    shared = spark.sparkContext.broadcast(scores)
+    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labelled = common.pin(docs.select("doc_id", "text").join(common.pin(usable, "usable"), "doc_id").select("toxic", "text").distinct(), "labelled")
 
     n = F.col("clean") + F.col("toxic")
-    first = counts(restored(labelled, shared, ["toxic"]).distinct())
-    frequent = first.where(F.col("term").endswith(" ") & (n > 1)).select(F.trim("term").alias("word"), n.alias("n")).orderBy(F.desc("n"), "word").limit(lexicon).collect()
+    first = counted_terms(restored(labelled, shared, ["toxic"]).distinct(), whole_words)
+    frequent = first.where(n > 1).select(F.col("term").alias("word"), n.alias("n")).orderBy(F.desc("n"), "word").limit(lexicon).collect()
     total = sum(row["n"] for row in frequent)
     known = {row["word"]: float(np.log(total / row["n"])) for row in frequent}
     # The classifier learns from texts restored as score() restores them.
     rows = common.pin(restored(labelled, shared, ["toxic"], known).distinct(), "restored")
-    counted = counts(rows)
+    counted = counted_terms(rows, features)
     gain = F.col("toxic") - 10 * F.col("clean")
     found = counted.where((F.col("toxic") >= least) & (gain > 0)).orderBy(gain.desc(), F.length("term").desc(), "term").limit(terms).collect()
     chosen_terms = {row["term"] for row in found}
     # A word of two letters that is a term as a beginning says nothing more as a whole word.
     names = [row["term"] for row in found if not (len(row["term"]) == 4 and row["term"].rstrip() in chosen_terms)]
-    if not names:
+    classes = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
+    if not names or len(classes) < 2:
         return Model(scores, [], np.zeros(0), -4.0, known)
 
     def hits(batches):
@@ -291,29 +311,24 @@ def fit(docs: DataFrame, labels: DataFrame, max_clean: int = 12_000, max_toxic:
                 "toxic": batch.column("toxic").cast(pa.int64()),
                 "hits": pa.array([sorted(find(w)) for w in batch.column("words").to_pylist()], pa.list_(pa.int64()))})
 
-    seen = rows.mapInArrow(hits, "toxic long, hits array<long>").groupBy("toxic", "hits").count().orderBy("toxic", "hits").collect()
-    x = np.zeros((len(seen), len(names)), np.float32)  # rows with the same hits are one
-    for i, row in enumerate(seen):
-        x[i, row["hits"]] = 1
-    weights, intercept = logistic(x, np.array([r["toxic"] for r in seen]), np.array([r["count"] for r in seen], float))
+    seen = common.pin(rows.mapInArrow(hits, "toxic long, hits array<long>").groupBy("toxic", "hits").count(), "hits")  # rows with the same hits are one
+    weights, intercept = logistic(seen, len(names), classes)
     return Model(scores, names, weights, intercept, known)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, penalty: float = 0.3, rounds: int = 800) -> tuple[np.ndarray, float]:
+def logistic(seen: DataFrame, size: int, classes: dict[int, int], penalty: float = 0.3, rounds: int = 200) -> tuple[np.ndarray, float]:
     """Weights and intercept of an L2-penalised logistic regression; weights are not negative, as terms only speak for toxicity.
 
-    Projected gradient steps with momentum, classes weighted alike.
+    ``seen`` are (toxic, hits, count), hits below ``size``; classes, of ``classes`` rows each, are weighted alike, 1000 together. Spark
+    adds up the gradients, so no row comes to the driver.
     """
-    n = (n * np.where(y == 1, 0.5 / max(n[y == 1].sum(), 1), 0.5 / max(n[y == 0].sum(), 1)) * 1000).astype(np.float32)
-    y = y.astype(np.float32)
-    w, b, vw, vb = np.zeros(x.shape[1], np.float32), np.float32(-2.0), np.zeros(x.shape[1], np.float32), np.float32(0.0)
-    step = np.float32(1.0 / (0.25 * float((n * (x.sum(1) + 1)).max() + (n[:, None] * x).sum(0).max()) + penalty))
-    for _ in range(rounds):
-        error = n * (1 / (1 + np.exp(-(x @ (w + np.float32(0.9) * vw) + b + np.float32(0.9) * vb))) - y)
-        vw = np.float32(0.9) * vw - step * (error @ x + np.float32(penalty) * w)
-        vb = np.float32(0.9) * vb - step * error.sum()
-        w, b = np.maximum(w + vw, 0), b + vb
-    return w, float(b)
+    vector = F.udf(lambda hits: SparseVector(size, hits, [1.0] * len(hits)), VectorUDT())
+    share = F.when(F.col("toxic") == 1, F.lit(500.0 / classes[1])).otherwise(F.lit(500.0 / classes[0]))
+    training = seen.select(F.col("toxic").cast("double").alias("label"), (F.col("count") * share).alias("weight"), vector("hits").alias("features"))
+    model = LogisticRegression(
+        maxIter=rounds, regParam=penalty / 1000, standardization=False, weightCol="weight", family="binomial",
+        lowerBoundsOnCoefficients=Matrices.dense(1, size, [0.0] * size)).fit(training)
+    return model.coefficients.toArray(), float(model.intercept)
 
 
 def term_finder(names: list[str]):
