@@ -194,3 +194,12 @@ def test_new_rows_are_embedded_without_the_old_texts(spark):
     more = embeddings.place_counts(make([*rows, *late, (300, "alpha1 shared")]), "id", "t", 32)
     want = embeddings.vectors(more.where("id = 300"), "id", embeddings.frequencies(more, "id"), 32).first().vector
     assert store.vectors.read().where("id = 300").first().vector == pytest.approx(want)
+
+
+def test_topics_of_many_chunks_equal_those_of_one(spark, monkeypatch):
+    docs = spark.createDataFrame([(f"cat dog w{i % 7} w{i % 11} pet " * (1 + i % 3),) for i in range(60)] + [("tax law audit",)] * 40, "t string")
+    every = []
+    for chunk in (1 << 18, 7):
+        monkeypatch.setattr(models, "CHUNK", chunk)
+        every.append(sorted((r.topic, r["rank"], r.word, round(r.weight, 6)) for r in models.topics(docs, "t", k=2, words=4, iterations=3).collect()))
+    assert every[0] == every[1] and len(every[0]) == 8
