@@ -106,6 +106,21 @@ def test_stream_of_unseen_keys_reads_the_stored_table_once(spark, tmp_path):
     assert sorted(r.k or "" for r in spark.read.parquet(target).collect()) == ["", "a", "c", "d"]
 
 
+def test_stream_of_unseen_keys_makes_no_python_call_a_key(spark, tmp_path):
+    landed, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    stored = spark.createDataFrame([("k1", None), ("k2", None), (None, None)], "k string, v int")
+    for part in (0, 2):  # files of both starts, two a batch
+        for file in (0, 1):
+            rows = [(f"k{i}" if i else None, 10 * part + file) for i in range(part, part + 5)]
+            spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").parquet(landed)
+        stream = flows.landed_files(spark, landed, spark.read.parquet(landed).schema, files_per_batch=1)
+        assert "Pandas" not in flows.first_of_keys(stream, ["k"])._jdf.queryExecution().analyzed().toString()
+        flows.run_first_of_keys(stream, target, progress, ["k"], stored)
+    assert sorted(r.k for r in spark.read.parquet(target).collect()) == ["k3", "k4", "k5", "k6"]
+    got = {r.k: r.v for r in spark.read.parquet(target).collect()}
+    assert got["k3"] in (0, 1) and got["k5"] in (20, 21)
+
+
 def test_stream_buckets_equal_batch_and_drop_late_rows(spark, tmp_path):
     landed, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     first, second = [("a", 1, 1), ("a", 2, 3), ("a", 30, 5), ("a", 100, 7)], [("a", 3, 9), ("a", 200, 1)]
