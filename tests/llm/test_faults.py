@@ -165,3 +165,29 @@ def test_decoding_in_steps():
     want = b"".join(vocabulary.tokens[i] for i in odd).decode("utf-8", "replace")
     assert codec.decode(odd.tobytes()) == codec.decode(odd.tobytes(), 1) == want
     assert hashlib.sha256(codec.decode(b"").encode()).hexdigest() == hashlib.sha256(b"").hexdigest()
+
+
+def test_connect_leaves_little_on_the_driver(spark, monkeypatch):
+    """Garbage of finished steps goes after each turn, the smallest label of a component wins, and no turn joins once more to see what changed."""
+    pick, settled, joined = random.Random(8), [], []
+    settle, frame = common.settle, type(spark.range(1))
+    join = frame.join
+    monkeypatch.setattr(common, "settle", lambda s: (settled.append(1), settle(s)))
+    monkeypatch.setattr(frame, "join", lambda *a, **b: (joined.append(1), join(*a, **b))[1])
+    order = pick.sample(range(1000), 60)
+    links = list(zip(order, order[1:40])) + list(zip(order[41:], order[42:])) + [(order[0], order[0])]
+    pick.shuffle(links)
+    labels = spark.createDataFrame([(i, i) for i in order], "cls long, label long")
+    found = {r["cls"]: r["label"] for r in ngram_join.connect(labels, spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {i: min(part) for part in (order[:40], order[40:41], order[41:]) for i in part}
+    # Two joins find the edges and one moves the labels; a turn has three.
+    assert len(settled) > 1 and len(joined) == 3 + 3 * len(settled)
+
+
+def test_small_sides_are_not_broadcast_late(spark, monkeypatch):
+    seen, key, groups = [], "spark.sql.adaptive.autoBroadcastJoinThreshold", ngram_join.groups
+    monkeypatch.setattr(ngram_join, "groups", lambda *a, **b: (seen.append(spark.conf.get(key, None)), groups(*a, **b))[1])
+    before = spark.conf.get(key, None)
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "h i")], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.join(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert seen == ["-1"] and spark.conf.get(key, None) == before
