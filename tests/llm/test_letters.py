@@ -73,3 +73,45 @@ def test_no_task_sorts_a_lane(spark):
     rows = spark.range(100).selectExpr("id AS doc_id", "'a' AS source")
     plan = mixing.place(rows, {"a": 1}, 4)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_columns_count_what_features_name(spark):
+    """Terms counted over columns of words, whole words and beginnings, are those that each text's set of features names."""
+    pick = random.Random(11)
+    texts = [toxicity.words_of("".join(pick.choices(["ab", "abc", "abcdefgh", "é", "баб", "ба", "б", "バカ", "ɐb", " ", " ", ".", "x"], k=pick.randint(0, 9)))) for _ in range(400)]
+    rows = spark.createDataFrame([(i % 3 % 2, text) for i, text in enumerate(texts)], "toxic int, words string").repartition(3)
+    for beginnings, of_text in ((False, toxicity.whole_words), (True, toxicity.features)):
+        want = {}
+        for i, text in enumerate(texts):
+            for term in of_text(text):
+                want.setdefault(term, [0, 0])[i % 3 % 2] += 1
+        for piece, bound in ((1 << 24, 1 << 20), (64, 1)):
+            got = {r["term"]: [r["clean"], r["toxic"]] for r in toxicity.counted_terms(rows, beginnings, piece, bound).collect()}
+            assert got == want
+    assert toxicity.counted_terms(rows.limit(0), True).count() == 0
+
+
+def test_words_of_both_paths():
+    pick = random.Random(12)
+    for _ in range(3000):
+        text = "".join(pick.choices("ab é.1_ß\x85\xa0µ×\n’Жै́", weights=[4] * 13 + [1] * 4, k=pick.randint(0, 9)))
+        assert toxicity.words_of(text) == f" {toxicity.NOT_LETTERS.sub(' ', text)} "
+
+
+def test_marked_texts_are_cut_as_restored():
+    """A text restored once and cut when the words are known reads as one restored with the words."""
+    draw, pick = np.random.default_rng(9), random.Random(9)
+    scores = np.log(draw.dirichlet(np.full(toxicity.SIZE, 0.05), (toxicity.SIZE, toxicity.SIZE)) + 1e-9).astype(np.float32)
+    for words in (None, {}, {"abc": 1.0, "de": 0.5, "ab": 2.0}):
+        whole, marks, cut = toxicity.Restorer(scores, words), toxicity.Restorer(scores, marks=True), toxicity.Restorer(scores, words)
+        for _ in range(300):
+            text = " ".join(pick.choices(["a b c d e", "a.b.1", "x-y-z-a-b-c", "\0", "a\0b", "w0rd", "soooo", "Plain", "\0\0a b c\0", "..."], k=4))
+            assert toxicity.words_of(cut.cut_marked(marks.restore(text))) == toxicity.words_of(whole.restore(text).replace("\0", "\1"))
+
+
+def test_labelled_texts_are_restored_once(spark, monkeypatch):
+    seen, marked = [], toxicity.marked
+    monkeypatch.setattr(toxicity, "marked", lambda *a: (seen.append(1), marked(*a))[1])
+    docs = spark.createDataFrame([(i, "you i d i o t" if i % 2 else "good d a y to all") for i in range(40)], "doc_id long, text string")
+    toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    assert len(seen) == 1

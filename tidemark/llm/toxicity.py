@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Matrices, SparseVector, VectorUDT
@@ -45,6 +46,9 @@ SUSPICIOUS = re.compile(
 LONGEST = 48
 #: Runs that are shortened to three before a stretch is read.
 RUN = re.compile(r"(.)\1{3,}")
+#: Stand around the reading of a spaced phrase that is not cut yet, and for that character where a text has it: neither is part of a word or a phrase.
+MARK, NO_MARK = "\0", "\1"
+MARKED = re.compile(f"{MARK}([^{MARK}]*){MARK}")
 NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 #: Words that begin beyond the Latin blocks are told apart by fewer letters.
 BEYOND_LATIN = "\u0250"
@@ -93,11 +97,15 @@ def is_spaced(stretch: str) -> bool:
 
 
 class Restorer:
-    """Viterbi over character lattices; spaced phrases are cut into words by ``words``, the cost of each known word."""
+    """Viterbi over character lattices; spaced phrases are cut into words by ``words``, the cost of each known word.
 
-    def __init__(self, scores: np.ndarray, words: dict[str, float] | None = None, bound: int = 100_000):
+    With ``marks`` they are left as read, between two ``MARK``, for :meth:`cut_marked` to cut once the words are known.
+    """
+
+    def __init__(self, scores: np.ndarray, words: dict[str, float] | None = None, bound: int = 100_000, marks: bool = False):
         self.scores = scores
         self.words = words or {}
+        self.marks = marks
         self.number = {letter: i + 1 for i, letter in enumerate(LETTERS)} | {" ": 0}
         self.known: dict[str, str] = {}
         self.bound = bound
@@ -149,7 +157,9 @@ class Restorer:
             read, text = read
             texts.append(text)
         whole = "".join(reversed(texts)).strip()
-        return self.cut(whole.replace(" ", "")) if self.words and is_spaced(stretch) else whole
+        if not is_spaced(stretch):
+            return whole
+        return f"{MARK}{whole}{MARK}" if self.marks else self.cut(whole.replace(" ", "")) if self.words else whole
 
     def cut(self, letters: str) -> str:
         """``letters`` in words at least cost: known ones by their frequency, others by the character model and the cost of a boundary."""
@@ -186,12 +196,41 @@ class Restorer:
 
     def restore(self, text: str) -> str:
         """The text in lower case with every suspicious stretch replaced by its likeliest reading."""
-        return SUSPICIOUS.sub(self._replace, text.lower())
+        text = text.lower()
+        return SUSPICIOUS.sub(self._replace, text.replace(MARK, NO_MARK) if self.marks else text)
+
+    def cut_marked(self, marked: str) -> str:
+        """What :meth:`restore` gives for the text that is ``marked`` by a restorer of the same scores."""
+        return MARKED.sub(self._cut_match, marked) if MARK in marked else marked
+
+    def _cut_match(self, match) -> str:
+        whole = match[1]
+        if not self.words:
+            return whole
+        read = self.known.get(whole)
+        if read is None:
+            read = self.cut(whole.replace(" ", ""))
+            if len(whole) <= LONGEST:
+                if len(self.known) >= self.bound:
+                    self.known.clear()
+                self.known[whole] = read
+        return read
+
+
+#: The Latin-1 characters, letters as they are and a space for each other one.
+LATIN = "".join(NOT_LETTERS.sub(" ", chr(c)) for c in range(256)).encode("latin-1")
 
 
 def words_of(text: str) -> str:
-    """Letters of any script and their marks only, one space before, between and after words."""
-    return f" {NOT_LETTERS.sub(' ', text)} "
+    """Letters of any script and their marks only, one space before, between and after words; one more at an end where other characters were."""
+    try:
+        letters = text.encode("latin-1").translate(LATIN).decode("latin-1")
+    except UnicodeEncodeError:
+        return f" {NOT_LETTERS.sub(' ', text)} "
+    words = " ".join(letters.split())
+    if not words:
+        return "   " if text else "  "
+    return f"{'  ' if letters[0] == ' ' else ' '}{words}{'  ' if letters[-1] == ' ' else ' '}"
 
 
 @lru_cache(1 << 16)
@@ -216,19 +255,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def restored(docs: DataFrame, scores, carry: list[str], known: dict[str, float] | None = None) -> DataFrame:
-    """Columns ``carry`` and ``words``: the restored text as :func:`words_of` gives it, spaced phrases cut with the ``known`` words."""
+def marked(docs: DataFrame, scores, carry: list[str]) -> DataFrame:
+    """Columns ``carry`` and ``marked``: the restored text with its spaced phrases marked, for :func:`words_in`."""
     (whole_text,) = common.fresh(docs, "whole_text")
     rows = docs.select(*carry, F.coalesce("text", F.lit("")).alias(whole_text))
 
     def run(batches):
-        restorer = Restorer(scores.value, known)
+        restorer = Restorer(scores.value, marks=True)
         for batch in (piece for whole in batches for piece in common.slices(whole)):
-            words = [words_of(restorer.restore(v.as_py())) for v in batch.column(whole_text)]
+            texts = [restorer.restore(v.as_py()) for v in batch.column(whole_text)]
             kept = batch.drop_columns([whole_text])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(words, pa.string())], names=[*kept.schema.names, "words"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(texts, pa.string())], names=[*kept.schema.names, "marked"])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("words", T.StringType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("marked", T.StringType())]))
+
+
+def words_in(rows: DataFrame, scores, known: dict[str, float] | None = None) -> DataFrame:
+    """(toxic, words), distinct, of ``rows`` (toxic, marked): texts as :func:`words_of` gives them, spaced phrases cut with the ``known`` words."""
+    def run(batches):
+        restorer = Restorer(scores.value, known)
+        for batch in (piece for whole in batches for piece in common.slices(whole)):
+            words = [words_of(restorer.cut_marked(text)) for text in batch.column("marked").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(words, pa.string())], names=["toxic", "words"])
+
+    return rows.select("toxic", "marked").mapInArrow(run, T.StructType([rows.schema["toxic"], T.StructField("words", T.StringType())])).distinct()
 
 
 @dataclass
@@ -242,31 +292,57 @@ class Model:
     words: dict[str, float] | None = None
 
 
-def counted_terms(rows: DataFrame, of_text, bound: int = 200_000) -> DataFrame:
-    """(term, clean, toxic): in how many clean and toxic ``rows`` (toxic, words) a term is, of those that ``of_text`` gives for words.
+def counted_terms(rows: DataFrame, beginnings: bool, piece: int = 16 << 20, bound: int = 1_000_000) -> DataFrame:
+    """(term, clean, toxic): in how many clean and toxic ``rows`` (toxic, words) a term is, of those that :func:`features` gives for words,
+    without ``beginnings`` those of :func:`whole_words`.
 
-    A task holds about ``bound`` terms at a time.
+    A task takes about ``piece`` bytes of words apart at a time, as columns, and holds about ``bound`` counts.
     """
-    def count(batches):
-        from collections import Counter
+    def counts(toxic: np.ndarray, words: pa.Array):
+        """Tables of term, clean and toxic, the terms of a table distinct."""
+        lists = pc.split_pattern(words, " ")
+        coded = lists.flatten().dictionary_encode()
+        row, word, known = pc.list_parent_indices(lists).to_numpy().astype(np.int64), coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        length = pc.utf8_length(known).to_numpy()
+
+        def of(chosen: np.ndarray, terms: pa.Array, before: str, after: str):
+            """The count of each term: ``terms`` are those of the ``chosen`` words."""
+            coded = terms.dictionary_encode()
+            number = np.full(len(known), -1, np.int64)
+            number[chosen] = coded.indices.to_numpy()
+            there = number[word] >= 0
+            size = max(1, len(coded.dictionary))
+            seen = np.unique(row[there] * size + number[word[there]])
+            n = [np.bincount(seen[toxic[seen // size] == label] % size, minlength=len(coded.dictionary)) for label in (0, 1)]
+            names = pc.binary_join_element_wise(before, coded.dictionary, after, "")
+            return pa.table({"term": names, "clean": pa.array(n[0], pa.int64()), "toxic": pa.array(n[1], pa.int64())})
+
+        several = length > 1
+        if not beginnings:
+            yield of(np.flatnonzero(several), known.filter(pa.array(several)), "", "")
+            return
+        yield of(np.flatnonzero(several), known.filter(pa.array(several)), " ", " ")
+        beyond = pc.greater_equal(known, BEYOND_LATIN).to_numpy(zero_copy_only=False)
+        for k in range(2, 8):
+            enough = (length >= k) if k > 2 else (length >= k) & beyond
+            yield of(np.flatnonzero(enough), pc.utf8_slice_codeunits(known.filter(pa.array(enough)), 0, k), " ", "")
 
-        counts = (Counter(), Counter())
+    def count(batches):
+        held, size = [], 0
 
         def emit():
-            for label in (0, 1):
-                items = list(counts[label].items())
-                counts[label].clear()
-                for at in range(0, len(items), 20_000):
-                    part = items[at:at + 20_000]
-                    yield pa.RecordBatch.from_pydict({
-                        "term": pa.array([t for t, _ in part], pa.string()), "clean": pa.array([n * (1 - label) for _, n in part], pa.int64()),
-                        "toxic": pa.array([n * label for _, n in part], pa.int64())})
-
-        for batch in (piece for whole in batches for piece in common.slices(whole)):
-            for toxic, words in zip(batch.column("toxic").to_pylist(), batch.column("words").to_pylist()):
-                counts[toxic].update(of_text(words))
-            if len(counts[0]) + len(counts[1]) >= bound:
+            if held:
+                summed = pa.concat_tables(held).group_by("term").aggregate([("clean", "sum"), ("toxic", "sum")])
+                held.clear()
+                yield from summed.select(["term", "clean_sum", "toxic_sum"]).rename_columns(["term", "clean", "toxic"]).to_batches(max_chunksize=20_000)
+
+        for batch in (part for whole in batches for part in common.by_bytes(whole, "words", piece)):
+            for table in counts(batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64), batch.column("words")):
+                held.append(table)
+                size += table.num_rows
+            if size >= bound:
                 yield from emit()
+                size = 0
         yield from emit()
 
     return common.pin(rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(
@@ -288,13 +364,14 @@ def fit(docs: DataFrame, labels: DataFrame, terms: int = 1500, least: int = 3, l
     labelled = common.pin(docs.select("doc_id", "text").join(common.pin(usable, "usable"), "doc_id").select("toxic", "text").distinct(), "labelled")
 
     n = F.col("clean") + F.col("toxic")
-    first = counted_terms(restored(labelled, shared, ["toxic"]).distinct(), whole_words)
+    read = common.pin(marked(labelled, shared, ["toxic"]), "marked")
+    first = counted_terms(words_in(read, shared), False)
     frequent = first.where(n > 1).select(F.col("term").alias("word"), n.alias("n")).orderBy(F.desc("n"), "word").limit(lexicon).collect()
     total = sum(row["n"] for row in frequent)
     known = {row["word"]: float(np.log(total / row["n"])) for row in frequent}
     # The classifier learns from texts restored as score() restores them.
-    rows = common.pin(restored(labelled, shared, ["toxic"], known).distinct(), "restored")
-    counted = counted_terms(rows, features)
+    rows = common.pin(words_in(read, shared, known), "restored")
+    counted = counted_terms(rows, True)
     gain = F.col("toxic") - 10 * F.col("clean")
     found = counted.where((F.col("toxic") >= least) & (gain > 0)).orderBy(gain.desc(), F.length("term").desc(), "term").limit(terms).collect()
     chosen_terms = {row["term"] for row in found}
