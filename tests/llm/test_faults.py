@@ -191,3 +191,21 @@ def test_small_sides_are_not_broadcast_late(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "h i")], "doc_id long, text string")
     assert {r["doc_id"]: r["component_id"] for r in ngram_join.join(docs).collect()} == {1: 1, 2: 1, 3: 3}
     assert seen == ["-1"] and spark.conf.get(key, None) == before
+
+
+def test_a_hub_gives_a_row_a_node(spark, monkeypatch):
+    """What neighbours offer is one row a node before it is handed on, however many links a node has."""
+    made, frame = [], type(spark.range(1))
+    select = frame.select
+
+    def counted(self, *columns):
+        out = select(self, *columns)
+        if out.columns == ["u", "root", "was"] and "rv" in self.columns:
+            made.append(select(self, "u").count())
+        return out
+
+    monkeypatch.setattr(frame, "select", counted)
+    labels = spark.createDataFrame([(i, i) for i in range(30)], "cls long, label long")
+    links = spark.createDataFrame([(a, b) for a in range(30) for b in range(a)], "a long, b long")
+    assert {r["label"] for r in ngram_join.connect(labels, links).collect()} == {0}
+    assert made and max(made) == 30  # 870 directed links
