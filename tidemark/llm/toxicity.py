@@ -357,6 +357,11 @@ def fit(docs: DataFrame, labels: DataFrame, terms: int = 1500, least: int = 3, l
     enter the regression; both bound the model, not the rows it is counted and fitted on. With no labelled
     row of one of the classes the classifier has no terms and every score is the same low one.
     """
+    with common.scratch(docs.sparkSession):
+        return _fit(docs, labels, terms, least, lexicon)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, terms: int, least: int, lexicon: int) -> Model:
     spark = docs.sparkSession
     scores = log_probabilities(count_trigrams(docs))
     shared = spark.sparkContext.broadcast(scores)
