@@ -77,3 +77,25 @@ def test_no_state_store_stays_open(spark, docs):
     field.setAccessible(True)
     open_ = [str(k) for k in field.get(None).keys().toList().mkString("\n").split("\n") if "dedup-state" in k]
     assert open_ == []
+
+
+def test_workers_give_memory_back(spark):
+    def run(batches):
+        for batch in batches:
+            held = [bytes(1000) for _ in range(200_000)]
+            yield batch.slice(0, len(held) and batch.num_rows)
+
+    def held(batches):
+        import re
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        text = open("/proc/self/smaps_rollup").read()
+        yield pa.RecordBatch.from_pydict({"kb": [int(re.search(r"Pss_Anon:\s+(\d+)", text)[1])]})
+
+    one = spark.range(0, 1, 1, 1)
+    before = one.mapInArrow(held, "kb long").first()["kb"]
+    one.mapInArrow(common.lean(run), "id long").collect()
+    assert one.mapInArrow(held, "kb long").first()["kb"] < before + 60_000

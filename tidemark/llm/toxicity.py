@@ -75,7 +75,7 @@ def count_trigrams(docs: DataFrame) -> np.ndarray:
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"trigram": hit.astype(np.int64), "n": total[hit]})
 
-    counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "trigram long, n long")
+    counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(common.lean(run), "trigram long, n long")
     cube = np.zeros(SIZE ** 3, np.int64)
     for row in counted.groupBy("trigram").agg(F.sum("n").alias("n")).toLocalIterator():  # at most SIZE ** 3 rows
         cube[row["trigram"]] = row["n"]
@@ -267,7 +267,7 @@ def marked(docs: DataFrame, scores, carry: list[str]) -> DataFrame:
             kept = batch.drop_columns([whole_text])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(texts, pa.string())], names=[*kept.schema.names, "marked"])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("marked", T.StringType())]))
+    return rows.mapInArrow(common.lean(run), T.StructType([*rows.schema.fields[:-1], T.StructField("marked", T.StringType())]))
 
 
 def words_in(rows: DataFrame, scores, known: dict[str, float] | None = None) -> DataFrame:
@@ -278,7 +278,7 @@ def words_in(rows: DataFrame, scores, known: dict[str, float] | None = None) ->
             words = [words_of(restorer.cut_marked(text)) for text in batch.column("marked").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(words, pa.string())], names=["toxic", "words"])
 
-    return rows.select("toxic", "marked").mapInArrow(run, T.StructType([rows.schema["toxic"], T.StructField("words", T.StringType())])).distinct()
+    return rows.select("toxic", "marked").mapInArrow(common.lean(run), T.StructType([rows.schema["toxic"], T.StructField("words", T.StringType())])).distinct()
 
 
 @dataclass
@@ -345,7 +345,7 @@ def counted_terms(rows: DataFrame, beginnings: bool, piece: int = 16 << 20, boun
                 size = 0
         yield from emit()
 
-    return common.pin(rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(
+    return common.pin(rows.mapInArrow(common.lean(count), "term string, clean long, toxic long").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
 
 
@@ -447,7 +447,7 @@ def score(docs: DataFrame, model: Model, carry: list[str] | None = None, text: s
                 [*kept.columns, pa.array(chance, pa.float64()), pa.array((chance >= 0.7).astype(np.int32))],
                 names=[*kept.schema.names, "score", "predicted"])
 
-    return rows.mapInArrow(run, T.StructType([
+    return rows.mapInArrow(common.lean(run), T.StructType([
         *rows.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
 
 
